@@ -1,0 +1,52 @@
+"""How much of a user's clicking goes to a category or subcategory."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def user_affinity(interactions: DataFrame, news: DataFrame, level: str = "category") -> DataFrame:
+    """Clicks per user and category (or subcategory) and their share of the user's clicks.
+
+    Clicks are counted per user and item before they meet the catalogue, and
+    the user's total is a window over the few category rows of that user.
+    """
+    clicked = (
+        interactions.filter(F.col("label") == 1)
+        .groupBy("user_id", "news_id")
+        .agg(F.count("*").alias("n"))
+    )
+    per_level = (
+        clicked.join(news.select("news_id", level), "news_id")
+        .groupBy("user_id", level)
+        .agg(F.sum("n").alias(f"user_{level}_clicks"))
+    )
+    total = F.sum(f"user_{level}_clicks").over(Window.partitionBy("user_id"))
+    return per_level.withColumn(f"user_{level}_affinity", F.col(f"user_{level}_clicks") / total)
+
+
+def build_affinity_features(
+    interactions: DataFrame, news: DataFrame, learned_from: DataFrame | None = None
+) -> DataFrame:
+    """Attach both affinities to each interaction, 0 where the user never clicked there.
+
+    ``learned_from`` names the interactions the affinities come from (train, to
+    keep labels of later splits out); by default the rows themselves.
+    """
+    source = interactions if learned_from is None else learned_from
+    by_category = user_affinity(source, news, "category")
+    by_subcategory = user_affinity(source, news, "subcategory").drop("user_subcategory_clicks")
+    return (
+        interactions.join(news.select("news_id", "category", "subcategory"), "news_id", "left")
+        .join(by_category, ["user_id", "category"], "left")
+        .join(by_subcategory, ["user_id", "subcategory"], "left")
+        .fillna(
+            {
+                "user_category_affinity": 0.0,
+                "user_category_clicks": 0,
+                "user_subcategory_affinity": 0.0,
+            }
+        )
+        .drop("category", "subcategory")
+    )
