@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# At most this many keys can each hold more than 1/HOT_KEYS of the rows,
-# which is what bounds the broadcast table of hot keys.
+# Only this many of the largest keys are salted, which bounds their broadcast table;
+# no key outside them can hold more than 1/HOT_KEYS of the rows.
 HOT_KEYS = 4096
 
 
@@ -25,34 +26,35 @@ def top_per_group(
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
 
-def _fans(df: DataFrame, on: Sequence[str], rows_per_task: int, name: str) -> DataFrame:
-    """Keys too big for one task, with the number of pieces to deal them into.
-
-    A hot key holds more than 1/HOT_KEYS of the rows, so there are at most
-    HOT_KEYS of them and the result is safe to broadcast.
-    """
-    total = df.agg(F.count("*").alias("n")).scalar()
-    task_rows = F.greatest(F.lit(float(rows_per_task)), total / F.lit(float(HOT_KEYS)))
-    return (
-        df.groupBy(*on)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > task_rows)
-        .select(*on, F.ceil(F.col("_n") / task_rows).cast("int").alias(name))
+def _fans(sizes: DataFrame, on: Sequence[str], rows_per_task: int, name: str) -> DataFrame:
+    """The largest keys and the number of pieces to deal each into; at most HOT_KEYS rows."""
+    largest = sizes.filter(F.col("_n") > rows_per_task).orderBy(F.desc("_n")).limit(HOT_KEYS)
+    return F.broadcast(
+        largest.select(*on, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias(name))
     )
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], rows_per_task: int = 100_000
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    rows_per_task: int = 100_000,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Inner equi-join on a many-to-many key where one key may hold much of either side.
 
     Rows of a hot key are dealt into pieces on the side where it is hot and
     repeated, for that key only, once per piece of the other side. Every pair of
     pieces meets in exactly one task; all other keys are joined as usual.
+    ``sizes`` (the key and ``_n``) saves counting when both sides' sizes are known.
     """
     on = list(on)
-    left_fans = F.broadcast(_fans(left, on, rows_per_task, "_lf"))
-    right_fans = F.broadcast(_fans(right, on, rows_per_task, "_rf"))
+
+    def counted(df: DataFrame) -> DataFrame:
+        return df.groupBy(*on).agg(F.count("*").alias("_n")) if sizes is None else sizes
+
+    left_fans = _fans(counted(left), on, rows_per_task, "_lf")
+    right_fans = _fans(counted(right), on, rows_per_task, "_rf")
 
     def deal(df: DataFrame, own: str, own_salt: str, other: str, other_salt: str) -> DataFrame:
         fans = {n: F.coalesce(F.col(n), F.lit(1)) for n in ("_lf", "_rf")}
@@ -80,10 +82,10 @@ def positions(
 ) -> DataFrame:
     """Row number and group size without putting a whole group into one task.
 
-    ``chunks`` are expressions, coarse to fine, that are non-decreasing along
-    ``order`` (for example growing prefixes of the leading sort key). Rows are
-    numbered inside the finest chunk; running counts over the far fewer chunks
-    supply what comes before it. Null order keys come first.
+    ``chunks`` are one or two expressions, coarse then fine, that do not
+    decrease along ``order`` (for example ranges of the leading sort key). Rows
+    are numbered inside the finest chunk; running counts over the far fewer
+    chunks supply what comes before it.
     """
     group = list(group)
     levels = [f"_c{i}" for i in range(len(chunks))]
@@ -91,32 +93,29 @@ def positions(
     inner = Window.partitionBy(*group, *levels).orderBy(*order)
     numbered = tagged.withColumn("_at", F.row_number().over(inner).cast("long"))
 
-    sizes = tagged.groupBy(*group, *levels).agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.lit(0).cast("long"))
-    for depth in range(len(levels), 0, -1):
-        parent = [*group, *levels[: depth - 1]]
-        w = Window.partitionBy(*parent).orderBy(levels[depth - 1])
-        running = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        whole = F.sum("_n").over(Window.partitionBy(*parent))
-        level = (
-            sizes.groupBy(*parent, levels[depth - 1])
-            .agg(F.sum("_n").alias("_n"))
-            .select(
-                *parent,
-                levels[depth - 1],
-                (running - F.col("_n")).alias("_lower"),
-                whole.alias("_whole"),
-            )
+    def offsets(sizes: DataFrame, parent: list[str], level: str) -> DataFrame:
+        along = Window.partitionBy(*parent).orderBy(level)
+        return sizes.select(
+            *parent,
+            level,
+            (F.sum("_n").over(along) - F.col("_n")).alias(f"_before{level}"),
+            F.sum("_n").over(Window.partitionBy(*parent)).alias("_whole"),
         )
-        before = _null_safe(before, level, [*parent, levels[depth - 1]]).withColumn(
-            "_before", F.col("_before") + F.col("_lower")
-        )
-        before = before.drop("_lower") if depth == 1 else before.drop("_lower", "_whole")
-    before = before.select(*group, *levels, "_before", F.col("_whole").alias(size))
+
+    sizes = tagged.groupBy(*group, *levels).agg(F.count("*").alias("_n"))
+    if len(levels) == 1:
+        before = offsets(sizes, group, levels[0])
+    else:
+        coarse = sizes.groupBy(*group, levels[0]).agg(F.sum("_n").alias("_n"))
+        fine = offsets(sizes, [*group, levels[0]], levels[1]).drop("_whole")
+        before = _null_safe(fine, offsets(coarse, group, levels[0]), [*group, levels[0]])
+    ahead = F.col("_at")
+    for level in levels:
+        ahead = ahead + F.col(f"_before{level}")
     return (
         _null_safe(numbered, before, [*group, *levels])
-        .withColumn(position, F.col("_at") + F.col("_before"))
-        .drop("_at", "_before", *levels)
+        .withColumns({position: ahead, size: F.col("_whole")})
+        .drop("_at", "_whole", *levels, *[f"_before{c}" for c in levels])
     )
 
 
@@ -189,13 +188,19 @@ def approximate_quantiles(
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; one of our own only where none is set."""
     context = spark.sparkContext
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="feedloom-"))
-    return context.getCheckpointDir()
+    return named or context.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise into the shared folder, so a lost executor costs no replay of the loop."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For results that several later steps read: they are computed once, their
+    lineage ends here, and a lost executor costs no replay. Parquet keeps
+    column pruning for the readers.
+    """
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -38,11 +38,11 @@ def time_features(interactions: DataFrame, dow_base: str = "monday") -> DataFram
     )
 
 
-def item_chunks(df: DataFrame, name: str = "news_id") -> list[Column]:
-    """Order-keeping chunks of an item id: ranges of a number, growing prefixes of a text."""
+def item_chunk(df: DataFrame, name: str = "news_id") -> Column:
+    """Order-keeping chunk of an item id: a range of a number, a prefix of a text."""
     if isinstance(df.schema[name].dataType, T.NumericType):
-        return [F.floor(F.col(name) / F.lit(size)) for size in (10_000_000, 10_000)]
-    return [F.substring(F.col(name), 1, length) for length in (3, 5)]
+        return F.floor(F.col(name) / F.lit(10_000))
+    return F.substring(F.col(name), 1, 5)
 
 
 def position_features(
@@ -54,7 +54,7 @@ def position_features(
     placed = positions(
         interactions,
         ["impression_id"],
-        chunks or item_chunks(interactions),
+        chunks or [item_chunk(interactions)],
         order,
         position="ctx_position_in_impression",
         size="ctx_impression_size",

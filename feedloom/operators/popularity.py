@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.columns import decimals
-from feedloom.functions.frames import top_per_group
+from feedloom.functions.frames import top_per_group, written
 
 
 def popularity_score(items: DataFrame, time_decay: bool = True) -> DataFrame:
@@ -17,7 +17,7 @@ def popularity_score(items: DataFrame, time_decay: bool = True) -> DataFrame:
     return items.withColumn("popularity_score", clicks)
 
 
-def _by_score(score: str = "popularity_score") -> list[Column]:
+def _by_score() -> list[Column]:
     # Ties go to the smaller id; rounding keeps equal scores equal.
     return [F.desc("_order"), F.asc("news_id")]
 
@@ -68,8 +68,8 @@ def popularity_lists(
     global list. Both lists are short by definition (top_n and top_n // 5), so
     they ride along as arrays: no user-by-item rows are made.
     """
-    overall = popular_global(items, top_n)
-    by_category = popular_by_category(items, top_n)
+    overall = written(popular_global(items, top_n))
+    by_category = written(popular_by_category(items, top_n))
     global_ids = _as_list(overall).scalar()
     category_ids = _as_list(by_category, "category").withColumnRenamed("ids", "category_ids")
     listed = overall.select("news_id").union(by_category.select("news_id")).distinct()

@@ -13,7 +13,7 @@ from feedloom.functions.columns import (
     epoch_seconds,
     has_text,
 )
-from feedloom.functions.frames import approximate_quantiles, exact_quantiles
+from feedloom.functions.frames import approximate_quantiles, exact_quantiles, written
 
 INTERACTION_KEY = ("user_id", "news_id", "impression_id")
 
@@ -116,20 +116,24 @@ def time_split(
     rel_error: float = 0.0,
 ) -> DataFrame:
     """Tag each row train, val or test by time, so nothing later leaks into train."""
-    bounds = split_bounds(interactions, train, val, test, rel_error)
-    bound = bounds.select(F.struct("q0", "q1").alias("b")).scalar()
-    at = F.col("timestamp_unix")
-    split = F.when(at <= bound["q0"], "train").when(at <= bound["q1"], "val").otherwise("test")
-    return interactions.withColumn("split", split)
+    found = split_bounds(interactions, train, val, test, rel_error)
+    bound = found.select(F.struct("q0", "q1").alias("b")).scalar()
+    at, bounds = F.col("timestamp_unix"), F.col("_bounds")
+    split = F.when(at <= bounds["q0"], "train").when(at <= bounds["q1"], "val").otherwise("test")
+    return interactions.withColumn("_bounds", bound).withColumn("split", split).drop("_bounds")
 
 
 def prepare(behaviors: DataFrame, news: DataFrame, remove_duplicates: bool = True) -> DataFrame:
-    """Parsed behaviours to clean interactions with a split column."""
+    """Parsed behaviours to clean interactions with a split column.
+
+    The cleaned rows are written once; the median, the split bounds and the
+    result read them from there.
+    """
     parsed = parse_history(parse_impressions(behaviors))
     kept = keep_known_items(drop_incomplete(parsed), news)
     if remove_duplicates:
         kept = dedup_interactions(kept)
-    return time_split(impute_median_time(add_epoch(kept)))
+    return time_split(written(impute_median_time(written(add_epoch(kept)))))
 
 
 def prep_statistics(behaviors: DataFrame, news: DataFrame) -> DataFrame:
@@ -143,7 +147,7 @@ def prep_statistics(behaviors: DataFrame, news: DataFrame) -> DataFrame:
         F.col("user_id").isNotNull() & F.col("news_id").isNotNull() & F.col("label").isNotNull()
     )
     survivor = F.min(F.struct("timestamp_unix", (-F.col("label")).alias("unlabel")))
-    keyed = (
+    keyed = written(
         parsed.withColumn("_complete", complete)
         .groupBy(*INTERACTION_KEY, "_complete")
         .agg(F.count("*").alias("copies"), survivor.alias("kept"))
@@ -152,7 +156,7 @@ def prep_statistics(behaviors: DataFrame, news: DataFrame) -> DataFrame:
         .withColumn("label", -F.col("kept")["unlabel"])
         .withColumn("timestamp_unix", F.col("kept")["timestamp_unix"])
     )
-    clean = time_split(impute_median_time(keyed.filter("_known")))
+    clean = time_split(written(impute_median_time(keyed.filter("_known"))))
 
     def split_rows(name: str):
         return F.count_if(F.col("split") == name)

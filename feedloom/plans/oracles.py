@@ -6,6 +6,8 @@ no pre-aggregation, no pruning.
 
 from __future__ import annotations
 
+from feedloom.functions.stopwords import ENGLISH
+
 # Discount positions and gains follow the metric definitions.
 _SPLIT = {"train": "0.7", "val": "0.85"}
 
@@ -447,6 +449,75 @@ CTES["per_list"] = (
 )
 
 
+def _terms(name: str, news: str, columns: str) -> dict[str, tuple[tuple[str, ...], str]]:
+    """TF-IDF tables over one catalogue: words, then terms, vocabulary and weights."""
+    stop = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH)
+    return {
+        f"{name}_words": (
+            (news,) if news in CTES else (),
+            f"""
+            SELECT news_id, w, row_number() OVER (PARTITION BY news_id ORDER BY i) AS i FROM (
+                SELECT news_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (
+                    SELECT news_id,
+                           regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS ws
+                    FROM (SELECT {columns} FROM {news})))
+            WHERE w NOT IN ({stop})
+            """.replace("\\\\", "\\"),
+        ),
+        f"{name}_tf": (
+            (f"{name}_words",),
+            f"""
+            SELECT news_id, term, count(*) AS tf FROM (
+                SELECT news_id, w AS term FROM {name}_words
+                UNION ALL
+                SELECT a.news_id, a.w || ' ' || b.w FROM {name}_words a
+                JOIN {name}_words b ON a.news_id = b.news_id AND b.i = a.i + 1)
+            GROUP BY news_id, term
+            """,
+        ),
+        f"{name}_vec": (
+            (f"{name}_tf",),
+            f"""
+            SELECT news_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY news_id)) AS weight
+            FROM (SELECT news_id, term, tf * (ln((1 + n) / (1 + df)) + 1) AS w
+                  FROM {name}_tf
+                  JOIN (SELECT term, sum(tf) AS total, count(*) AS df FROM {name}_tf
+                        GROUP BY term ORDER BY total DESC, term LIMIT 5000) v USING (term),
+                  (SELECT count(*) AS n FROM {news}) c)
+            """,
+        ),
+    }
+
+
+CTES.update(
+    _terms("doc", "documents", "doc_id AS news_id, lang || ' ' || source || ' ' || text AS text")
+)
+CTES.update(
+    _terms("part", "news", "news_id, category || ' ' || subcategory || ' ' || title AS text")
+)
+CTES["ecosine"] = (
+    ("part_vec", "eclicks"),
+    """
+    SELECT user_id, news_id, sum(p.w * v.weight) / any_value(norm) AS candidate_score
+    FROM (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY user_id)) AS norm FROM (
+              SELECT user_id, term, sum(weight) AS w FROM eclicks JOIN part_vec USING (news_id)
+              GROUP BY user_id, term)) p
+    JOIN part_vec v USING (term) GROUP BY user_id, news_id
+    """,
+)
+CTES["econtent"] = (
+    ("ecosine", "eclicks", "news"),
+    f"""
+    SELECT user_id, news_id, candidate_score, row_number() OVER (
+        PARTITION BY user_id ORDER BY {r("candidate_score")} DESC, news_id) AS rank
+    FROM (SELECT u.user_id, n.news_id, coalesce(c.candidate_score, 0) AS candidate_score
+          FROM (SELECT DISTINCT user_id FROM eclicks) u, news n
+          LEFT JOIN ecosine c ON c.user_id = u.user_id AND c.news_id = n.news_id)
+    ANTI JOIN eclicks USING (user_id, news_id)
+    """,
+)
+
+
 def boosted(score: str, age: str) -> str:
     return f"({score} + 1e-1 * exp(-ln(2) * greatest(coalesce({age}, 0), 0) / 24))"
 
@@ -493,6 +564,91 @@ CTES["mmr_cut"] = (
 )
 
 
+# The pool: a third from each source in turn.
+CTES["own66"] = (("elog_utop", "ecategory", "eclicks"), _own_picks(66))
+CTES["pool_popular"] = (
+    ("eusers", "eglobal", "eclicks", "own66"),
+    _popularity_picks(66).replace("FROM own ", "FROM own66 ").replace(" own o ", " own66 o "),
+)
+CTES["pool_content"] = (
+    ("econtent", "pool_popular"),
+    """
+    SELECT * FROM (
+        SELECT user_id, news_id, candidate_score,
+               row_number() OVER (PARTITION BY user_id ORDER BY c.rank) AS nth
+        FROM econtent c ANTI JOIN pool_popular p USING (user_id, news_id)) WHERE nth <= 66
+    """,
+)
+CTES["pool_collab"] = (
+    ("ecollab", "pool_popular", "pool_content"),
+    """
+    SELECT * FROM (
+        SELECT user_id, news_id, candidate_score,
+               row_number() OVER (PARTITION BY user_id ORDER BY c.rank) AS nth
+        FROM ecollab c ANTI JOIN pool_popular p USING (user_id, news_id)
+        ANTI JOIN pool_content q USING (user_id, news_id)) WHERE nth <= 66
+    """,
+)
+CTES["pool"] = (
+    ("pool_popular", "pool_content", "pool_collab"),
+    """
+    SELECT user_id, news_id, source, candidate_score,
+           row_number() OVER (PARTITION BY user_id ORDER BY part, nth) AS rank
+    FROM (SELECT user_id, news_id, source, candidate_score, 1 AS part, rank AS nth
+          FROM pool_popular
+          UNION ALL SELECT user_id, news_id, 'content_similarity', candidate_score, 2, nth
+          FROM pool_content
+          UNION ALL SELECT user_id, news_id, 'collaborative', candidate_score, 3, nth
+          FROM pool_collab)
+    """,
+)
+CTES["ebase"] = (
+    ("elog_item",),
+    """
+    SELECT *, (1 - 3e-1) * item_total_clicks / (SELECT max(item_total_clicks) FROM elog_item)
+              + 3e-1 * item_freshness_score AS base FROM elog_item
+    """,
+)
+_CUT = """
+    SELECT * FROM (
+        SELECT user_id, news_id, category, score, row_number() OVER (
+            PARTITION BY user_id ORDER BY {order} DESC, news_id) AS pos
+        FROM (SELECT user_id, news_id, category, {boosted} AS score
+              FROM {rows} JOIN ebase USING (news_id)))
+    WHERE pos <= 50
+"""
+CTES["rec_cut"] = (
+    ("pool", "ebase"),
+    _CUT.format(
+        order=r("score", 9),
+        boosted=boosted("base", "item_age_hours"),
+        rows="(SELECT user_id, news_id FROM pool SEMI JOIN customer ON c_custkey = user_id)",
+    ),
+)
+CTES["top_cut"] = (
+    ("eusers", "ebase"),
+    _CUT.format(
+        order=r("score", 9),
+        boosted=boosted("base", "item_age_hours"),
+        rows="""(SELECT user_id, news_id
+                 FROM (SELECT user_id FROM eusers SEMI JOIN customer ON c_custkey = user_id),
+                      (SELECT news_id FROM elog_item
+                       ORDER BY item_total_clicks DESC, news_id LIMIT 200))""",
+    ),
+)
+CTES["cold"] = (
+    ("eusers", "elog_item"),
+    f"""
+    SELECT c_custkey AS user_id, rank, news_id AS item_id, score,
+           'cold_start_popular' AS source, category, true AS is_cold_start
+    FROM customer ANTI JOIN eusers ON user_id = c_custkey, (
+        SELECT news_id, category, {r("item_smoothed_ctr", 4)} AS score,
+               row_number() OVER (ORDER BY item_total_clicks DESC, news_id) AS rank
+        FROM elog_item) WHERE rank <= 10
+    """,
+)
+
+
 def _needed(names: tuple[str, ...], done: list[str]) -> list[str]:
     for name in names:
         if name not in done:
@@ -572,6 +728,13 @@ def _prepared() -> str:
 
 def all_sql() -> dict[str, str]:
     mmr_state, mmr_body = _mmr("mmr_cut")
+    rec_state, rec_body = _mmr("rec_cut")
+    top_state, top_body = _mmr("top_cut")
+    warm = f"""
+        SELECT user_id, CAST(rank AS BIGINT) AS rank, news_id AS item_id, {r("score", 4)} AS score,
+               'personalized' AS source, category, false AS is_cold_start FROM ({{body}})
+        UNION ALL SELECT * FROM cold
+    """
     matrix_item = ", ".join(
         f"coalesce(i.{c}, 0) AS {c}"
         for c in (
@@ -901,6 +1064,14 @@ def all_sql() -> dict[str, str]:
                    {r("candidate_score")} AS candidate_score FROM ecollab WHERE rank <= 50
             """,
         ),
+        "tfidf": sql("doc_vec", f"SELECT news_id, term, {r('weight')} AS weight FROM doc_vec"),
+        "cand_content": sql(
+            "econtent",
+            f"""
+            SELECT user_id, rank, news_id, 'content_similarity' AS source,
+                   {r("candidate_score")} AS candidate_score FROM econtent WHERE rank <= 50
+            """,
+        ),
         "freshness_boost": sql(
             "scored",
             f"""
@@ -968,6 +1139,20 @@ def all_sql() -> dict[str, str]:
             per_model AS ({_metrics("models", "model, impression_id")})
             """,
         ),
+        "candidate_pool": sql(
+            "pool",
+            f"""
+            SELECT user_id, rank, news_id, source, {r("candidate_score")} AS candidate_score
+            FROM pool
+            """,
+        ),
+        "source_counts": sql(
+            "pool",
+            "SELECT user_id, source, count(*) AS candidates FROM pool GROUP BY user_id, source",
+        ),
+        "recommend": sql("rec_cut cold", warm.format(body=rec_body), rec_state),
+        "recommend_top_clicks": sql("top_cut cold", warm.format(body=top_body), top_state),
+        "cold_start": sql("cold", "SELECT * FROM cold"),
         "mmr_rerank": sql(
             "mmr_cut",
             f"""

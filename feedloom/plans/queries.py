@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.columns import decimals
-from feedloom.operators import affinity, collaborative, context_features, item_features, metrics
-from feedloom.operators import popularity, prep, rerank, user_features
+from feedloom.functions.frames import written
+from feedloom.operators import affinity, collaborative, content, context_features
+from feedloom.operators import item_features, metrics
+from feedloom.operators import pool, popularity, prep, rerank, user_features
+from feedloom.operators import recommend as recommending
 from feedloom.operators.feature_matrix import feature_matrix as build_matrix
 from feedloom.plans import tables
 from feedloom.sources.logs import drop_blank_impressions, parse_log_time
@@ -281,7 +284,9 @@ def context_position(spark, folder):
 
 
 def _split_log(spark, folder):
-    return prep.time_split(prep.dedup_interactions(tables.orders_log(spark, folder)))
+    """Clean, split interactions, written once for all that build on them."""
+    clean = written(prep.dedup_interactions(tables.orders_log(spark, folder)))
+    return written(prep.time_split(clean))
 
 
 def _matrix(spark, folder):
@@ -298,7 +303,7 @@ def feature_matrix(spark, folder):
 
 def _events_items(spark, folder):
     log, news = tables.events_log(spark, folder), tables.part_news(spark, folder)
-    return item_features.build_item_features(log, news)
+    return written(item_features.build_item_features(log, news))
 
 
 @query
@@ -317,6 +322,10 @@ def popular_by_category(spark, folder):
     return tidy(popularity.popular_by_category(_events_items(spark, folder)))
 
 
+def _events_clicks(spark, folder):
+    return written(collaborative.user_clicks(tables.events_log(spark, folder)))
+
+
 def _events_tastes(spark, folder):
     """Known users of the events log with their top category."""
     log, news = tables.events_log(spark, folder), tables.part_news(spark, folder)
@@ -327,7 +336,7 @@ def _events_tastes(spark, folder):
 
 @query
 def cand_popularity(spark, folder):
-    clicks = collaborative.user_clicks(tables.events_log(spark, folder))
+    clicks = _events_clicks(spark, folder)
     return tidy(
         popularity.popularity_candidates(
             _events_tastes(spark, folder), clicks, _events_items(spark, folder)
@@ -352,19 +361,19 @@ def baseline_rank(spark, folder):
 
 @query
 def user_jaccard(spark, folder):
-    clicks = collaborative.user_clicks(tables.events_log(spark, folder))
+    clicks = _events_clicks(spark, folder)
     return tidy(collaborative.user_jaccard(clicks))
 
 
 @query
 def similar_users(spark, folder):
-    clicks = collaborative.user_clicks(tables.events_log(spark, folder))
+    clicks = _events_clicks(spark, folder)
     return tidy(collaborative.similar_users(clicks))
 
 
 @query
 def cand_collab(spark, folder):
-    clicks = collaborative.user_clicks(tables.events_log(spark, folder))
+    clicks = _events_clicks(spark, folder)
     return tidy(collaborative.collaborative_candidates(clicks, clicks))
 
 
@@ -374,8 +383,10 @@ def cand_collab(spark, folder):
 def _scored_lines(spark, folder):
     """Orders log with the baseline score of each item learned from train, test rows only."""
     split = _split_log(spark, folder)
-    items = item_features.build_item_features(
-        split.filter(F.col("split") == "train"), tables.part_news(spark, folder)
+    items = written(
+        item_features.build_item_features(
+            split.filter(F.col("split") == "train"), tables.part_news(spark, folder)
+        )
     )
     test = split.filter(F.col("split") == "test")
     wanted = items.select(
@@ -461,3 +472,69 @@ def mmr_rerank(spark, folder):
     )
     picked = rerank.rerank(best, top_k=10)
     return tidy(picked, "user_id", "rank", "news_id", "category", "score")
+
+
+# Content
+
+
+@query
+def tfidf(spark, folder):
+    return tidy(content.tfidf(tables.text_news(spark, folder)))
+
+
+@query
+def cand_content(spark, folder):
+    clicks = _events_clicks(spark, folder)
+    return tidy(content.content_candidates(clicks, tables.part_news(spark, folder)))
+
+
+# Pool and recommendations
+
+
+def _events_pool(spark, folder, users, clicks, items):
+    known = users.withColumn("is_cold_start", F.lit(False))
+    return pool.candidate_pool(known, clicks, clicks, items, tables.part_news(spark, folder))
+
+
+def _events_parts(spark, folder):
+    return (
+        written(_events_tastes(spark, folder)),
+        _events_clicks(spark, folder),
+        _events_items(spark, folder),
+    )
+
+
+@query
+def candidate_pool(spark, folder):
+    return tidy(_events_pool(spark, folder, *_events_parts(spark, folder)))
+
+
+@query
+def source_counts(spark, folder):
+    rows = _events_pool(spark, folder, *_events_parts(spark, folder))
+    return tidy(metrics.source_counts(rows))
+
+
+@query
+def recommend(spark, folder):
+    users, clicks, items = _events_parts(spark, folder)
+    candidates = written(_events_pool(spark, folder, users, clicks, items))
+    scores = popularity.baseline_scores(items)
+    asked = tables.requests(spark, folder)
+    return tidy(recommending.recommend(asked, users, items, candidates, scores))
+
+
+@query
+def recommend_top_clicks(spark, folder):
+    users, items = _events_tastes(spark, folder), _events_items(spark, folder)
+    scores = popularity.baseline_scores(items)
+    asked = tables.requests(spark, folder)
+    return tidy(recommending.recommend(asked, users, items, scores=scores))
+
+
+@query
+def cold_start(spark, folder):
+    users, items = _events_tastes(spark, folder), _events_items(spark, folder)
+    cold = recommending.route(tables.requests(spark, folder), users).filter("is_cold_start")
+    listed = recommending.cold_start_list(items, 10)
+    return tidy(recommending._attach(cold, listed, "cold_start_popular", True))
