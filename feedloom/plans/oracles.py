@@ -7,6 +7,7 @@ no pre-aggregation, no pruning.
 from __future__ import annotations
 
 from feedloom.functions.stopwords import ENGLISH
+from feedloom.operators.segments import SEGMENT_FEATURES
 
 # Discount positions and gains follow the metric definitions.
 _SPLIT = {"train": "0.7", "val": "0.85"}
@@ -568,7 +569,7 @@ CTES["mmr_cut"] = (
 CTES["own66"] = (("elog_utop", "ecategory", "eclicks"), _own_picks(66))
 CTES["pool_popular"] = (
     ("eusers", "eglobal", "eclicks", "own66"),
-    _popularity_picks(66).replace("FROM own ", "FROM own66 ").replace(" own o ", " own66 o "),
+    _popularity_picks(66).replace("rank FROM own", "rank FROM own66").replace(" own o ", " own66 o "),
 )
 CTES["pool_content"] = (
     ("econtent", "pool_popular"),
@@ -1139,6 +1140,60 @@ def all_sql() -> dict[str, str]:
             per_model AS ({_metrics("models", "model, impression_id")})
             """,
         ),
+        "group_sizes": sql(
+            "olog", "SELECT impression_id, count(*) AS group_rows FROM olog GROUP BY impression_id"
+        ),
+        "pairwise_targets": sql(
+            "olog",
+            f"""
+            SELECT target, count(*) AS rows, {r("sum(weight)")} AS weight,
+                   {r("sum(weight * x * x)")} AS moment
+            FROM (
+                SELECT 0e0 AS target, 1 / n AS weight, history_length - m AS x FROM sides
+                WHERE other > 0
+                UNION ALL
+                SELECT 1e0, 1e0, max(CASE WHEN label = 1 THEN m END)
+                                 - max(CASE WHEN label = 0 THEN m END)
+                FROM sides WHERE other > 0 GROUP BY impression_id)
+            GROUP BY target
+            """,
+            """
+            sides AS (
+                SELECT *, count(*) OVER (PARTITION BY impression_id) - n AS other FROM (
+                    SELECT impression_id, label, history_length,
+                           count(*) OVER (PARTITION BY impression_id, label) AS n,
+                           avg(history_length) OVER (PARTITION BY impression_id, label) AS m
+                    FROM olog))
+            """,
+        ),
+        "seeded_sample": sql(
+            "odedup",
+            """
+            SELECT impression_id, news_id, user_id, CAST(label AS BIGINT) AS label FROM odedup
+            ORDER BY md5('42|' || impression_id || '|' || news_id), impression_id, news_id
+            LIMIT 1000
+            """,
+        ),
+        "standardised_users": sql(
+            "olog_user",
+            " UNION ALL ".join(
+                f"""
+                SELECT user_id, '{c}' AS feature,
+                       {r(f"CASE WHEN s = 0 THEN 0 ELSE ({c} - m) / s END")} AS z
+                FROM olog_user, (SELECT avg({c}) AS m, stddev_pop({c}) AS s FROM olog_user)
+                """
+                for c in SEGMENT_FEATURES
+            ),
+        ),
+        "group_profile": sql(
+            "olog_user",
+            f"""
+            SELECT user_top_category, count(*) AS users,
+                   {", ".join(f"{r(f'avg({c})')} AS {c}" for c in SEGMENT_FEATURES)},
+                   {r("count(*) / (SELECT count(*) FROM olog_user)")} AS share
+            FROM olog_user GROUP BY user_top_category
+            """,
+        ),
         "candidate_pool": sql(
             "pool",
             f"""

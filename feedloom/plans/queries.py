@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.columns import decimals
 from feedloom.functions.frames import written
-from feedloom.operators import affinity, collaborative, content, context_features
+from feedloom.operators import affinity, attribution, collaborative, content, context_features
 from feedloom.operators import item_features, metrics
+from feedloom.operators import neural, pairwise, segments
 from feedloom.operators import pool, popularity, prep, rerank, user_features
 from feedloom.operators import recommend as recommending
-from feedloom.operators.feature_matrix import feature_matrix as build_matrix
+from feedloom.operators.feature_matrix import feature_columns, feature_matrix as build_matrix
 from feedloom.plans import tables
 from feedloom.sources.logs import drop_blank_impressions, parse_log_time
 
@@ -538,3 +539,133 @@ def cold_start(spark, folder):
     cold = recommending.route(tables.requests(spark, folder), users).filter("is_cold_start")
     listed = recommending.cold_start_list(items, 10)
     return tidy(recommending._attach(cold, listed, "cold_start_popular", True))
+
+
+# Models
+
+
+def _ready_matrix(spark, folder):
+    """The feature matrix, written once, as train, val and test."""
+    matrix = written(_matrix(spark, folder).drop("title", "abstract"))
+    return [matrix.filter(F.col("split") == name) for name in ("train", "val", "test")]
+
+
+def _evaluated(scored):
+    return metrics.evaluate_ranking(scored.withColumn("score", decimals(F.col("score"), 9)))
+
+
+@query
+def group_sizes(spark, folder):
+    return tidy(pairwise.group_sizes(tables.orders_log(spark, folder)))
+
+
+@query
+def pairwise_targets(spark, folder):
+    """The rows that stand for all pairs of an impression, summed per target."""
+    log = tables.orders_log(spark, folder)
+    problem = pairwise.pairwise_problem(log, ["history_length", "timestamp_unix"])
+    return tidy(
+        problem.groupBy("target").agg(
+            F.count("*").alias("rows"),
+            F.sum("weight").alias("weight"),
+            F.sum(F.col("weight") * F.col("history_length") * F.col("history_length")).alias(
+                "moment"
+            ),
+        )
+    )
+
+
+@query
+def pairwise_linear_ranker(spark, folder):
+    train, _, test = _ready_matrix(spark, folder)
+    return tidy(_evaluated(pairwise.LinearRanker.fit(train).score(test)))
+
+
+@query
+def pairwise_tree_ranker(spark, folder):
+    train, val, test = _ready_matrix(spark, folder)
+    ranker = pairwise.TreeRanker.fit(train, val, n_estimators=5)
+    return tidy(_evaluated(ranker.score(test)))
+
+
+@query
+def grid_search(spark, folder):
+    train, val, _ = _ready_matrix(spark, folder)
+    grid = {"max_depth": [4, 6], "learning_rate": [0.05, 0.1], "n_estimators": [1, 2]}
+    _, trials = pairwise.grid_search(train, val, grid)
+    return tidy(
+        spark.createDataFrame(
+            [tuple(t[c] for c in ("max_depth", "learning_rate", "n_estimators", "ndcg_at_10")) for t in trials],
+            "max_depth int, learning_rate double, n_estimators int, ndcg_at_10 double",
+        )
+    )
+
+
+@query
+def feature_importance(spark, folder):
+    train, _, _ = _ready_matrix(spark, folder)
+    ranker = pairwise.TreeRanker.fit(train, n_estimators=3)
+    return tidy(attribution.top_features(ranker.importance(spark)))
+
+
+@query
+def mlp_ranker(spark, folder):
+    train, val, test = _ready_matrix(spark, folder)
+    ranker = neural.NeuralRanker.fit(train, val, epochs=6, epochs_per_stage=3)
+    return tidy(_evaluated(ranker.score(test)))
+
+
+@query
+def attribution_linear(spark, folder):
+    train, _, test = _ready_matrix(spark, folder)
+    ranker = pairwise.LinearRanker.fit(train)
+    return tidy(attribution.linear_attribution(ranker, test))
+
+
+@query
+def seeded_sample(spark, folder):
+    log = prep.dedup_interactions(tables.orders_log(spark, folder))
+    sample = attribution.seeded_sample(log, ["impression_id", "news_id"], 1000)
+    return tidy(sample, "impression_id", "news_id", "user_id", "label")
+
+
+@query
+def feature_column_names(spark, folder):
+    """Model inputs of the feature matrix, with their means."""
+    train, _, _ = _ready_matrix(spark, folder)
+    names = feature_columns(train)
+    means = train.agg(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.avg(c).alias("mean")) for c in names
+    ]).alias("f"))
+    return tidy(means.select(F.explode("f").alias("f")).select("f.*"))
+
+
+def _orders_users(spark, folder):
+    log, news = tables.orders_log(spark, folder), tables.part_news(spark, folder)
+    return written(user_features.build_user_features(log, news))
+
+
+@query
+def standardised_users(spark, folder):
+    users = _orders_users(spark, folder)
+    return tidy(segments.standardised_features(users, segments.SEGMENT_FEATURES))
+
+
+@query
+def segment_users(spark, folder):
+    users = _orders_users(spark, folder)
+    return tidy(segments.Segmentation.fit(users).assign(users), "user_id", "user_cluster")
+
+
+@query
+def cluster_profile(spark, folder):
+    users = _orders_users(spark, folder)
+    assigned = segments.Segmentation.fit(users).assign(users)
+    return tidy(segments.cluster_profile(assigned, segments.SEGMENT_FEATURES))
+
+
+@query
+def group_profile(spark, folder):
+    """The cluster profile with the top category as the grouping."""
+    users = _orders_users(spark, folder)
+    return tidy(segments.cluster_profile(users, segments.SEGMENT_FEATURES, "user_top_category"))
