@@ -59,9 +59,14 @@ def _as_list(ranked: DataFrame, *group: str) -> DataFrame:
 
 
 def popularity_lists(
-    users: DataFrame, seen: DataFrame, items: DataFrame, n: int, top_n: int = 100
+    users: DataFrame,
+    seen: DataFrame,
+    items: DataFrame,
+    n: int,
+    top_n: int = 100,
+    wanted: str | None = None,
 ) -> DataFrame:
-    """Per user an array of up to n popularity candidates in rank order.
+    """Per user an array of up to n (or the number in column ``wanted``) popularity candidates in rank order.
 
     ``users``: user_id, user_top_category. ``seen``: distinct user_id, news_id to
     leave out. Up to n // 3 come from the user's top category, the rest from the
@@ -80,6 +85,7 @@ def popularity_lists(
         .agg(F.collect_set("news_id").alias("seen_ids"))
     )
     empty = F.filter(F.col("global_ids"), lambda x: F.lit(False))
+    limit = F.lit(n) if wanted is None else F.col(wanted)
     lists = (
         users.join(category_ids, users["user_top_category"] == category_ids["category"], "left")
         .join(seen_listed, "user_id", "left")
@@ -88,7 +94,9 @@ def popularity_lists(
         .withColumn(
             "own",
             F.slice(
-                F.array_except(F.coalesce("category_ids", empty), F.col("seen_ids")), 1, n // 3
+                F.array_except(F.coalesce("category_ids", empty), F.col("seen_ids")),
+                F.lit(1),
+                F.floor(limit / 3).cast("int"),
             ),
         )
         .withColumn(
@@ -96,7 +104,7 @@ def popularity_lists(
             F.slice(
                 F.array_except(F.col("global_ids"), F.concat("seen_ids", "own")),
                 F.lit(1),
-                F.lit(n) - F.size("own"),
+                limit - F.size("own"),
             ),
         )
     )

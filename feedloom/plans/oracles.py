@@ -661,7 +661,7 @@ def _needed(names: tuple[str, ...], done: list[str]) -> list[str]:
 def sql(uses: str, body: str, extra: str = "") -> str:
     """A statement with the intermediate tables it needs."""
     order = _needed(tuple(uses.split()), [])
-    parts = [f"{name} AS ({CTES[name][1]})" for name in order]
+    parts = [f"{name} AS MATERIALIZED ({CTES[name][1]})" for name in order]
     if extra:
         parts.append(extra)
     recursive = "RECURSIVE " if "picks AS" in extra else ""
