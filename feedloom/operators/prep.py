@@ -88,9 +88,9 @@ def _quantiles(df: DataFrame, column: str, probabilities, rel_error: float) -> D
 
 def impute_median_time(interactions: DataFrame, rel_error: float = 0.0) -> DataFrame:
     """Give rows without a time the median time."""
-    median = _quantiles(interactions, "timestamp_unix", ["0.5"], rel_error).scalar()
+    median = _quantiles(interactions, "timestamp_unix", ["0.5"], rel_error).first()["q0"]
     return interactions.withColumn(
-        "timestamp_unix", F.coalesce(F.col("timestamp_unix"), median.cast("long"))
+        "timestamp_unix", F.coalesce(F.col("timestamp_unix"), F.lit(median).cast("long"))
     )
 
 
@@ -115,12 +115,16 @@ def time_split(
     test: float = 0.15,
     rel_error: float = 0.0,
 ) -> DataFrame:
-    """Tag each row train, val or test by time, so nothing later leaks into train."""
-    found = split_bounds(interactions, train, val, test, rel_error)
-    bound = found.select(F.struct("q0", "q1").alias("b")).scalar()
-    at, bounds = F.col("timestamp_unix"), F.col("_bounds")
-    split = F.when(at <= bounds["q0"], "train").when(at <= bounds["q1"], "val").otherwise("test")
-    return interactions.withColumn("_bounds", bound).withColumn("split", split).drop("_bounds")
+    """Tag each row train, val or test by time, so nothing later leaks into train.
+
+    The two bounds are fetched first (two numbers), so that a filter on the
+    split becomes a plain time range that reaches the scan.
+    """
+    found = split_bounds(interactions, train, val, test, rel_error).first()
+    first, second = (F.lit(found[q]).cast("long") for q in ("q0", "q1"))
+    at = F.col("timestamp_unix")
+    split = F.when(at <= first, "train").when(at <= second, "val").otherwise("test")
+    return interactions.withColumn("split", split)
 
 
 def prepare(behaviors: DataFrame, news: DataFrame, remove_duplicates: bool = True) -> DataFrame:
@@ -133,7 +137,7 @@ def prepare(behaviors: DataFrame, news: DataFrame, remove_duplicates: bool = Tru
     kept = keep_known_items(drop_incomplete(parsed), news)
     if remove_duplicates:
         kept = dedup_interactions(kept)
-    return time_split(written(impute_median_time(written(add_epoch(kept)))))
+    return time_split(impute_median_time(written(add_epoch(kept))))
 
 
 def prep_statistics(behaviors: DataFrame, news: DataFrame) -> DataFrame:
@@ -156,7 +160,7 @@ def prep_statistics(behaviors: DataFrame, news: DataFrame) -> DataFrame:
         .withColumn("label", -F.col("kept")["unlabel"])
         .withColumn("timestamp_unix", F.col("kept")["timestamp_unix"])
     )
-    clean = time_split(written(impute_median_time(keyed.filter("_known"))))
+    clean = time_split(impute_median_time(keyed.filter("_known")))
 
     def split_rows(name: str):
         return F.count_if(F.col("split") == name)

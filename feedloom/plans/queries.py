@@ -286,8 +286,7 @@ def context_position(spark, folder):
 
 def _split_log(spark, folder):
     """Clean, split interactions, written once for all that build on them."""
-    clean = written(prep.dedup_interactions(tables.orders_log(spark, folder)))
-    return written(prep.time_split(clean))
+    return prep.time_split(written(prep.dedup_interactions(tables.orders_log(spark, folder))))
 
 
 def _matrix(spark, folder):
