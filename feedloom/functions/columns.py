@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The log's 12-hour time format, item and label patterns of a packed impression.
+# The log's 12-hour time format, and what one piece of a packed impression is.
 LOG_TIME_FORMAT = "M/d/yyyy h:mm:ss a"
-PACKED_ITEM_PATTERN = r"^(.+)-\d$"
-PACKED_LABEL_PATTERN = r"-(\d)$"
+PACKED_ITEM_PATTERN = r"^.+-\d$"
 
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.columns import (
     PACKED_ITEM_PATTERN,
-    PACKED_LABEL_PATTERN,
     epoch_seconds,
     has_text,
 )
@@ -21,11 +20,12 @@ INTERACTION_KEY = ("user_id", "news_id", "impression_id")
 def parse_impressions(behaviors: DataFrame) -> DataFrame:
     """One row per shown item; pieces that are not ``id-digit`` are dropped."""
     rest = [c for c in behaviors.columns if c != "impressions"]
-    item = F.regexp_extract("_piece", PACKED_ITEM_PATTERN, 1)
-    label = F.regexp_extract("_piece", PACKED_LABEL_PATTERN, 1).try_cast("int")
     pieces = behaviors.select(*rest, F.explode(F.split("impressions", " ")).alias("_piece"))
-    return pieces.select(*rest, item.alias("news_id"), label.alias("label")).filter(
-        (F.col("news_id") != "") & F.col("label").isNotNull()
+    # The pattern fixes the last two characters, so one match serves id and label.
+    piece = F.col("_piece")
+    item = F.substring(piece, F.lit(1), F.length(piece) - 2)
+    return pieces.filter(piece.rlike(PACKED_ITEM_PATTERN)).select(
+        *rest, item.alias("news_id"), F.right(piece, F.lit(1)).cast("int").alias("label")
     )
 
 
