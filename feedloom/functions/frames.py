@@ -89,33 +89,41 @@ def positions(
     """
     group = list(group)
     levels = [f"_c{i}" for i in range(len(chunks))]
-    tagged = df.withColumns(dict(zip(levels, chunks)))
-    inner = Window.partitionBy(*group, *levels).orderBy(*order)
-    numbered = tagged.withColumn("_at", F.row_number().over(inner).cast("long"))
+    # One struct as key: null parts compare equal, and window and join share a partitioning.
+    key = F.struct(*group, *[c.alias(n) for n, c in zip(levels, chunks)])
+    tagged = df.withColumn("_key", key)
+    numbered = tagged.withColumn(
+        "_at", F.row_number().over(Window.partitionBy("_key").orderBy(*order)).cast("long")
+    )
 
     def offsets(sizes: DataFrame, parent: list[str], level: str) -> DataFrame:
         along = Window.partitionBy(*parent).orderBy(level)
-        return sizes.select(
-            *parent,
-            level,
-            (F.sum("_n").over(along) - F.col("_n")).alias(f"_before{level}"),
-            F.sum("_n").over(Window.partitionBy(*parent)).alias("_whole"),
-        )
-
-    sizes = tagged.groupBy(*group, *levels).agg(F.count("*").alias("_n"))
+        return sizes.withColumns(
+            {
+                f"_before{level}": F.sum("_n").over(along) - F.col("_n"),
+                "_whole": F.sum("_n").over(Window.partitionBy(*parent)),
+            }
+        ).drop("_n")
+
+    sizes = (
+        tagged.groupBy("_key")
+        .agg(F.count("*").alias("_n"))
+        .select("_key", "_n", *[F.col("_key")[c].alias(c) for c in (*group, *levels)])
+    )
     if len(levels) == 1:
         before = offsets(sizes, group, levels[0])
     else:
         coarse = sizes.groupBy(*group, levels[0]).agg(F.sum("_n").alias("_n"))
         fine = offsets(sizes, [*group, levels[0]], levels[1]).drop("_whole")
         before = _null_safe(fine, offsets(coarse, group, levels[0]), [*group, levels[0]])
+    parts = [f"_before{c}" for c in levels]
     ahead = F.col("_at")
-    for level in levels:
-        ahead = ahead + F.col(f"_before{level}")
+    for part in parts:
+        ahead = ahead + F.col(part)
     return (
-        _null_safe(numbered, before, [*group, *levels])
+        numbered.join(before.select("_key", "_whole", *parts), "_key")
         .withColumns({position: ahead, size: F.col("_whole")})
-        .drop("_at", "_whole", *levels, *[f"_before{c}" for c in levels])
+        .drop("_key", "_at", "_whole", *parts)
     )
 
 
