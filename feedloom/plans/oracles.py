@@ -9,10 +9,6 @@ from __future__ import annotations
 from feedloom.functions.stopwords import ENGLISH
 from feedloom.operators.segments import SEGMENT_FEATURES
 
-# Discount positions and gains follow the metric definitions.
-_SPLIT = {"train": "0.7", "val": "0.85"}
-
-
 def r(expr: str, digits: int = 6) -> str:
     """Round half up in double arithmetic, as the Spark side does."""
     return f"(floor(CAST({expr} AS DOUBLE) * 1e{digits} + 5e-1) / 1e{digits})"
@@ -767,9 +763,7 @@ def all_sql() -> dict[str, str]:
             "user_click_diversity user_avg_session_size user_avg_session_clicks"
         ).split()
     )
-    day = "CAST(isodow(to_timestamp(timestamp_unix) AT TIME ZONE 'UTC') - 1 AS BIGINT)"
     dow = "((timestamp_unix // 86400 + 3) % 7)"  # 1970-01-01 was a Thursday, 0 = Monday
-    del day
     return {
         "parse_impressions": sql(
             "parsed", "SELECT impression_id, user_id, news_id, label, timestamp_unix FROM parsed"
