@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # no key outside them can hold more than 1/HOT_KEYS of the rows.
 HOT_KEYS = 4096
 
+# Only for sessions in local mode that name no shared folder; removed when Python ends.
+_LOCAL_FOLDERS: dict[SparkSession, tempfile.TemporaryDirectory] = {}
+
 
 def top_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank"
@@ -194,12 +197,19 @@ def approximate_quantiles(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; one of our own only where none is set."""
-    context = spark.sparkContext
-    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="feedloom-"))
-    return named or context.getCheckpointDir()
+    """The folder the cluster names for checkpoints.
+
+    In local mode driver and executors are one process, so a folder of this
+    machine will do there; a cluster must name one that all its machines see.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if spark not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[spark] = tempfile.TemporaryDirectory(prefix="feedloom-")
+    return _LOCAL_FOLDERS[spark].name
 
 
 def written(df: DataFrame) -> DataFrame:
