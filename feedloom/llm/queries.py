@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import simhash
+from feedloom.llm import mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,3 +28,65 @@ def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+@_query
+def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mixed(
+        _table(spark, folder, "documents").select("doc_id", "text", "source"), keep_text=False
+    )
+    return found.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
+    )
+
+
+SQL["op4_mix_sources"] = r"""
+WITH rows AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '-')) AS h
+  FROM documents),
+totals AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source IS NULL, source) AS place
+  FROM rows GROUP BY source),
+weighed AS (
+  SELECT *, [3, 1, 2][(place - 1) % 3 + 1] AS weight, 2 * source_size AS top,
+         source_size * [2, 6, 3][(place - 1) % 3 + 1] AS lim
+  FROM totals),
+levels AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5
+             - CAST(coalesce(sum(top) OVER (ORDER BY lim, place
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
+            / CAST(sum(weight) OVER (ORDER BY lim, place
+                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM weighed),
+held AS (
+  SELECT *, (SELECT level FROM levels WHERE level * weight <= top
+             ORDER BY lim, place LIMIT 1) AS final
+  FROM levels),
+targets AS (
+  SELECT source, source_size,
+         CASE WHEN final IS NOT NULL AND final * weight <= top THEN final * weight
+              ELSE CAST(top AS DOUBLE) END AS target
+  FROM held),
+steps AS (
+  SELECT *, CASE WHEN source_size > 0
+                 THEN CAST(round(target / source_size * 16777216) AS BIGINT) ELSE 0 END AS step,
+         CAST('0x' || substr(md5('42:' || coalesce('=' || source, '-')), 1, 6) AS BIGINT) AS move
+  FROM targets),
+ends AS (
+  SELECT r.doc_id, r.size, s.source_size, s.target, s.step,
+         row_number() OVER (PARTITION BY r.source ORDER BY r.size, r.h, r.doc_id)
+           * s.step + s.move AS upto
+  FROM rows r JOIN steps s ON r.source IS NOT DISTINCT FROM s.source)
+SELECT doc_id, size, source_size, target,
+       CAST((upto // 16777216 - (upto - step) // 16777216) * size AS BIGINT) AS taken,
+       CAST(upto // 16777216 - (upto - step) // 16777216 AS INTEGER) AS copies
+FROM ends
+"""
