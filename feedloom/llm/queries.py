@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import mixing, simhash
+from feedloom.llm import mixing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +90,21 @@ SELECT doc_id, size, source_size, target,
        CAST(upto // 16777216 - (upto - step) // 16777216 AS INTEGER) AS copies
 FROM ends
 """
+
+
+def _toxicity_model(spark: SparkSession, folder: str, docs: DataFrame):
+    """Fitted on labels of other folds than the held-out one."""
+    labels = _table(spark, folder, "labels").filter(~toxicity.held_out("doc_id", 3, 1))
+    return toxicity.fit(docs, labels)
+
+
+@_query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = toxicity.scored(docs, _toxicity_model(spark, folder, docs))
+    return found.select(
+        "doc_id",
+        toxicity.held_out("doc_id", 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
