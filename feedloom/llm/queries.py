@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import mixing, simhash, toxicity
+from feedloom.llm import lines, mixing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -108,3 +108,63 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@_query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = lines.without_repeats(docs)
+    return found.select(
+        "doc_id",
+        F.col("removed_lines").cast("long").alias("removed_lines"),
+        F.length("text").cast("long").alias("kept_chars"),
+        F.md5("text").alias("kept_md5"),
+    )
+
+
+# The same rule without suffix names: shortest stretches of 50 words from and to each line, compared as lists.
+SQL["op6_line_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS content,
+         unnest(range(len(string_split(text, chr(10))))) AS line
+  FROM documents),
+worded AS (
+  SELECT doc_id, line,
+         trim(content, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS content,
+         len(regexp_extract_all(content, '[^\x20\x09-\x0D]+')) AS words
+  FROM split),
+placed AS (
+  SELECT *, row_number() OVER w AS pos,
+         sum(words) OVER w - words AS ahead
+  FROM worded WHERE words > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY line)),
+starts AS (
+  SELECT a.doc_id, a.pos AS s, min(b.pos) AS e
+  FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND b.ahead + b.words >= a.ahead + 50
+  GROUP BY 1, 2),
+ends AS (
+  SELECT b.doc_id, max(a.pos) AS s, b.pos AS e
+  FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND b.ahead + b.words >= a.ahead + 50
+  GROUP BY 1, 3),
+stretches AS (SELECT * FROM starts UNION SELECT * FROM ends),
+spelled AS (
+  SELECT t.doc_id, t.s, t.e, min(p.line) AS first_line, max(p.line) AS last_line,
+         list(p.content ORDER BY p.pos) AS content
+  FROM stretches t JOIN placed p ON p.doc_id = t.doc_id AND p.pos BETWEEN t.s AND t.e
+  GROUP BY 1, 2, 3),
+later AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, s) AS copy FROM spelled)
+  WHERE copy > 1),
+gone AS (
+  SELECT DISTINCT x.doc_id, x.line
+  FROM split x JOIN later y ON x.doc_id = y.doc_id AND x.line BETWEEN y.first_line AND y.last_line),
+kept AS (
+  SELECT x.doc_id, sum(CASE WHEN g.line IS NULL THEN 0 ELSE 1 END) AS removed_lines,
+         coalesce(string_agg(CASE WHEN g.line IS NULL THEN x.content END, chr(10) ORDER BY x.line),
+                  '') AS kept
+  FROM split x LEFT JOIN gone g ON x.doc_id = g.doc_id AND x.line = g.line
+  GROUP BY x.doc_id)
+SELECT doc_id, CAST(removed_lines AS BIGINT) AS removed_lines,
+       CAST(length(kept) AS BIGINT) AS kept_chars, md5(kept) AS kept_md5
+FROM kept
+"""
