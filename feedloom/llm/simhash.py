@@ -90,7 +90,8 @@ def grid_blocks(n: int, distance: int) -> int:
     """How many blocks to cut the coordinates into for n distinct fingerprints.
 
     More blocks mean finer cells (fewer comparisons) but more cells per
-    fingerprint. Any number gives the same links; this one costs least when a
+    fingerprint. Any number above ``distance`` gives the same links; of those that
+    leave two blocks or more to agree, this one costs least when a
     comparison costs a fiftieth of a copied row.
     """
 
@@ -99,7 +100,7 @@ def grid_blocks(n: int, distance: int) -> int:
         shared = AGREE ** (SEGMENTS * (g - distance) / g)
         return cells * (1 + n * shared / 50)
 
-    return min(range(distance + 1, distance + 9), key=cost)
+    return min(range(distance + 2, distance + 9), key=cost)
 
 
 def _cells(fingerprint: str, blocks: int, distance: int) -> Column:
