@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import lines, mixing, simhash, toxicity
+from feedloom.llm import decontaminate, lines, mixing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -168,3 +168,9 @@ SELECT doc_id, CAST(removed_lines AS BIGINT) AS removed_lines,
        CAST(length(kept) AS BIGINT) AS kept_chars, md5(kept) AS kept_md5
 FROM kept
 """
+
+
+@_query
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, _table(spark, folder, "benchmark")).drop("text_key")
