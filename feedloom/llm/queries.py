@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, lines, mixing, simhash, toxicity
+from feedloom.llm import decontaminate, lines, mixing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -174,3 +174,84 @@ FROM kept
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.leaks(docs, _table(spark, folder, "benchmark")).drop("text_key")
+
+
+@_query
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return found.drop("stratum", "n_lines")
+
+
+def _quality_sql() -> str:
+    rules = {r: e.replace(" div ", " // ") for r, (e, _) in quality.RULES.items()}
+    # // rounds down in some versions; trunc as the engine's div does
+    rules = {r: f"CAST(trunc(({a}) / ({b})) AS BIGINT)" for r, (a, b) in
+             ((r, e.split(" // ")) for r, e in rules.items())}
+    grid = ", ".join(f"('{r}', {c})" for r, (_, cutoffs) in quality.RULES.items() for c in cutoffs)
+    case = " ".join(f"WHEN rule = '{r}' THEN {e}" for r, e in rules.items())
+    first = " ".join(f"WHEN rule = '{r}' THEN {i}" for i, r in enumerate(rules))
+    share = 0.05 / len(rules)
+    return rf"""
+WITH worded AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, w[i:i+2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM worded)),
+twice AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows)
+  WHERE n > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT i + s) AS n_repeat_words
+  FROM twice, (VALUES (0), (1), (2)) t(s) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM worded)
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+counted AS (
+  SELECT d.doc_id, d.lang, len(w) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines,
+         len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed
+  FROM worded d LEFT JOIN repeats r USING (doc_id) LEFT JOIN lines l USING (doc_id)),
+measured AS (
+  SELECT *, CASE {case} END AS statistic
+  FROM counted, (SELECT DISTINCT rule FROM (VALUES {grid}) g(rule, cutoff))
+  WHERE NOT base_failed),
+sums AS (
+  SELECT m.lang, m.rule, g.cutoff, sum(l.quality) AS n, sum(1 - l.quality) AS bad,
+         sum(CASE WHEN statistic > g.cutoff THEN l.quality ELSE 0 END) AS k,
+         sum(CASE WHEN statistic > g.cutoff THEN 1 - l.quality ELSE 0 END) AS caught
+  FROM measured m JOIN (SELECT doc_id, min(quality) AS quality FROM labels
+                        WHERE quality IS NOT NULL GROUP BY doc_id) l USING (doc_id)
+  JOIN (VALUES {grid}) g(rule, cutoff) ON m.rule = g.rule
+  GROUP BY 1, 2, 3),
+terms AS (
+  SELECT *, CAST(unnest(range(CAST(k AS BIGINT) + 1)) AS DOUBLE) AS i,
+         (SELECT count(*) FROM sums) AS tests FROM sums),
+tails AS (
+  SELECT lang, rule, cutoff, n, bad, k, caught, tests,
+         sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                 + i * ln({share}) + (n - i) * ln(1 - {share}))) AS tail
+  FROM terms GROUP BY ALL),
+best AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, rule
+      ORDER BY caught / greatest(bad, 1) - k / n DESC, cutoff DESC) AS place
+    FROM tails WHERE n > 0 AND k < n AND caught > 0 AND tail <= 0.05 / tests)
+  WHERE place = 1),
+rejected AS (
+  SELECT m.doc_id, min(CASE {first.replace('rule =', 'm.rule =')} END) AS first
+  FROM measured m JOIN best b
+    ON m.lang IS NOT DISTINCT FROM b.lang AND m.rule = b.rule AND m.statistic > b.cutoff
+  GROUP BY m.doc_id)
+SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       {list(rules)}[first + 1] AS rejected_by, NOT base_failed AND first IS NULL AS kept
+FROM counted c LEFT JOIN rejected r USING (doc_id)
+"""
+
+
+SQL["op9_quality_rules"] = _quality_sql()
