@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, lines, mixing, quality, simhash, toxicity
+from feedloom.llm import decontaminate, language_model, lines, mixing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -255,3 +255,14 @@ FROM counted c LEFT JOIN rejected r USING (doc_id)
 
 
 SQL["op9_quality_rules"] = _quality_sql()
+
+
+@_query
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select(
+        "doc_id",
+        "text",
+        toxicity.held_out("doc_id", 5, 1).alias("held_out"),
+        (~toxicity.held_out("doc_id", 5, 1)).alias("training"),
+    )
+    return language_model.scores(docs, "training").drop("training")
