@@ -64,7 +64,8 @@ def _placed(lines: DataFrame) -> DataFrame:
     one = lines.groupBy(*_DOC, "line").agg(*[F.first(c).alias(c) for c in ("h", "g", "words")])
     base = written(one.withColumn("sid", F.monotonically_increasing_id()))
     shared = base.groupBy("h", "g").agg(F.min("sid").alias("name"), F.count("*").alias("n"))
-    shared = shared.filter("n > 1").select("h", "g", "name")
+    # Written, so that the join reads the lines by themselves and can split a hot id.
+    shared = written(shared.filter("n > 1").select("h", "g", "name"))
     order = Window.partitionBy(*_DOC).orderBy("line")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     lone = F.sum(F.col("name").isNull().cast("long")).over(before)
@@ -139,9 +140,9 @@ def _stretches(lines: DataFrame, min_words: int) -> DataFrame:
 def _doubled(names: DataFrame, step: int) -> DataFrame:
     """Names of twice as many lines: of suffixes that share them with another one."""
     there = Window.partitionBy(*_DOC).orderBy("pos").rangeBetween(step, step)
-    pairs = names.withColumn("then", F.first("name").over(there)).filter("then is not null")
+    pairs = written(names.withColumn("then", F.first("name").over(there)).filter("then is not null"))
     groups = pairs.groupBy("name", "then").agg(F.min("sid").alias("new"), F.count("*").alias("n"))
-    groups = groups.filter("n > 1").drop("n")
+    groups = written(groups.filter("n > 1").drop("n"))
     return pairs.join(groups, ["name", "then"]).select(*_DOC, "pos", "sid", F.col("new").alias("name"))
 
 
@@ -182,7 +183,8 @@ def repeated_runs(
     keyed = written(keyed)
     place = F.struct(*_DOC, "s")
     intervals = keyed.groupBy(*key).agg(F.min(place).alias("earliest"), F.count("*").alias("n"))
-    later = keyed.join(intervals.filter("n > 1"), key).filter(place != F.col("earliest"))
+    repeated = written(intervals.filter("n > 1").drop("n"))
+    later = keyed.join(repeated, key).filter(place != F.col("earliest"))
     return _merged(later.select(*_DOC, "first_line", "last_line"))
 
 
