@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, language_model, lines, mixing, quality, simhash, toxicity
+from feedloom.llm import decontaminate, language_model, lines, mixing, quality, simhash, surrogates, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -266,3 +266,9 @@ def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
         (~toxicity.held_out("doc_id", 5, 1)).alias("training"),
     )
     return language_model.scores(docs, "training").drop("training")
+
+
+@_query
+def op10_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.with_surrogates(docs, key="op10")
