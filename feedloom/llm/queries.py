@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, language_model, lines, mixing, quality, simhash, surrogates, toxicity
+from feedloom.llm import decontaminate, language_model, lines, mixing, quality, simhash, surrogates, token_counts, toxicity, url_filters
+
+# Where the rank files are on the machine that plans the job.
+TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -272,3 +276,109 @@ def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
 def op10_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return surrogates.with_surrogates(docs, key="op10")
+
+
+def _number(text):
+    """A number below 2**24 that SQL engines agree on."""
+    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long")
+
+
+def _after(days):
+    return F.date_add(F.lit("2024-01-01").cast("date"), days.cast("int"))
+
+
+def _drawn_entries(pages: DataFrame) -> DataFrame:
+    """Dated list entries for some hosts, parent domains, folders and URLs of the pages."""
+    urls = pages.select("url", url_filters.host_of(F.col("url")).alias("host")).filter("host is not null")
+    hosts = urls.select("host").distinct()
+
+    def draw(salt: str, column: str = "host"):
+        return _number(F.concat(F.lit(salt), F.col(column)))
+
+    def entry(name, kind, value, days, action):
+        return F.struct(
+            F.lit(name).alias("list"), F.lit(kind).alias("kind"), value.alias("value"),
+            _after(days).alias("dated"), F.lit(action).alias("action"),
+        )
+
+    added = draw("1") % 200
+    parent = F.regexp_replace("host", r"^[^.]*\.", "")
+    own = [
+        (draw("b") % 4 == 0, entry("spam", "host", F.col("host"), added, "add")),
+        ((draw("b") % 4 == 0) & (draw("r") % 2 == 0), entry("spam", "host", F.col("host"), added + 40, "remove")),
+        ((draw("b") % 4 == 0) & (draw("r") % 4 == 0), entry("spam", "host", F.col("host"), added + 110, "add")),
+        ((draw("d") % 7 == 0) & (parent.contains(".")), entry("malware", "domain", parent, draw("2") % 300, "add")),
+        ((draw("d") % 14 == 0) & (parent.contains(".")), entry("malware", "domain", parent, draw("3") % 366, "remove")),
+        (draw("p") % 5 == 0, entry("adult", "folder", F.concat("host", F.lit("/en")), draw("4") % 300, "add")),
+    ]
+    entries = hosts.select(F.explode(F.array(*[F.when(on, e) for on, e in own])).alias("e")).filter("e is not null")
+    rest = F.regexp_replace(F.regexp_replace("url", "#.*$", ""), "^[^:]*://[^/?]*", "")
+    single = urls.filter(draw("u", "url") % 20 == 0).select(
+        entry("takedown", "url", F.concat("host", rest), draw("5", "url") % 366, "add").alias("e")
+    )
+    return entries.union(single).select("e.*")
+
+
+@_query
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", _after(_number(F.concat(F.lit("f"), F.col("url"))) % 366))
+    return url_filters.judged(captures, _drawn_entries(pages))
+
+
+SQL["op1_url_filters"] = r"""
+WITH p AS (
+  SELECT page_id, url,
+         nullif(rtrim(lower(regexp_extract(url,
+           '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '') AS host,
+         regexp_replace(regexp_replace(url, '#.*$', ''), '^[^:]*://[^/?]*', '') AS rest,
+         DATE '2024-01-01' + CAST(CAST('0x' || substr(md5('f' || url), 1, 6) AS BIGINT) % 366 AS INTEGER) AS fetched
+  FROM pages),
+q AS (
+  SELECT *, host || '/' || array_to_string(list_filter(
+           string_split(regexp_replace(rest, '\?.*$', ''), '/'), lambda x: x <> ''), '/') || '/' AS place
+  FROM p),
+h AS (
+  SELECT DISTINCT host, regexp_replace(host, '^[^.]*\.', '') AS parent,
+    CAST('0x' || substr(md5('1' || host), 1, 6) AS BIGINT) AS h1,
+    CAST('0x' || substr(md5('2' || host), 1, 6) AS BIGINT) AS h2,
+    CAST('0x' || substr(md5('3' || host), 1, 6) AS BIGINT) AS h3,
+    CAST('0x' || substr(md5('4' || host), 1, 6) AS BIGINT) AS h4,
+    CAST('0x' || substr(md5('b' || host), 1, 6) AS BIGINT) AS hb,
+    CAST('0x' || substr(md5('r' || host), 1, 6) AS BIGINT) AS hr,
+    CAST('0x' || substr(md5('d' || host), 1, 6) AS BIGINT) AS hd,
+    CAST('0x' || substr(md5('p' || host), 1, 6) AS BIGINT) AS hp
+  FROM p WHERE host IS NOT NULL),
+e AS (
+  SELECT DISTINCT list, kind, value, DATE '2024-01-01' + CAST(days AS INTEGER) AS dated, action FROM (
+    SELECT 'spam' AS list, 'host' AS kind, host AS value, h1 % 200 AS days, 'add' AS action FROM h WHERE hb % 4 = 0
+    UNION ALL SELECT 'spam', 'host', host, h1 % 200 + 40, 'remove' FROM h WHERE hb % 4 = 0 AND hr % 2 = 0
+    UNION ALL SELECT 'spam', 'host', host, h1 % 200 + 110, 'add' FROM h WHERE hb % 4 = 0 AND hr % 4 = 0
+    UNION ALL SELECT 'malware', 'domain', parent, h2 % 300, 'add' FROM h WHERE hd % 7 = 0 AND contains(parent, '.')
+    UNION ALL SELECT 'malware', 'domain', parent, h3 % 366, 'remove' FROM h WHERE hd % 14 = 0 AND contains(parent, '.')
+    UNION ALL SELECT 'adult', 'folder', host || '/en', h4 % 300, 'add' FROM h WHERE hp % 5 = 0
+    UNION ALL SELECT 'takedown', 'url', host || rest,
+      CAST('0x' || substr(md5('5' || url), 1, 6) AS BIGINT) % 366, 'add'
+      FROM p WHERE host IS NOT NULL AND CAST('0x' || substr(md5('u' || url), 1, 6) AS BIGINT) % 20 = 0)),
+v AS (
+  SELECT *, lead(dated) OVER (PARTITION BY list, kind, value ORDER BY dated, action DESC) AS stop FROM e),
+hits AS (
+  SELECT q.page_id, count(*) AS n, min(v.list) AS l
+  FROM q JOIN v ON v.action = 'add' AND v.dated <= q.fetched AND (v.stop IS NULL OR q.fetched < v.stop)
+    AND CASE v.kind WHEN 'host' THEN v.value = q.host
+                    WHEN 'url' THEN v.value = q.host || q.rest
+                    WHEN 'domain' THEN q.host = v.value OR ends_with(q.host, '.' || v.value)
+                    ELSE starts_with(q.place, v.value || '/') END
+  GROUP BY q.page_id)
+SELECT q.page_id, q.url, q.fetched, q.host, coalesce(n, 0) AS n_entries, n IS NOT NULL AS blocked,
+       l AS first_list
+FROM q LEFT JOIN hits USING (page_id)
+"""
+
+
+@_query
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    edits = token_counts.drawn_edits("doc_id", "text")
+    ranks = token_counts.read_ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return token_counts.edited_counts(docs.withColumn("edits", edits), ranks)
