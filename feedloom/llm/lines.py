@@ -154,8 +154,8 @@ def repeated_runs(
     d and k are the document's id and text key. A line is deleted when it lies
     in a run of lines, of ``min_words`` words or more, that occurs
     earlier: in a document of smaller id (null last; among equal ids by text key), or
-    further up in the same one. Lines without a word belong to no run;
-    those between two lines of a run go with it. Null and empty texts have no lines.
+    further up in the same one. Lines without a word belong to no run; they go
+    when the nearest lines with words on both sides go. Null and empty texts have no lines.
     """
     lines = _placed(line_table(docs, doc_id, text))
     stretches = written(_stretches(lines, min_words))
@@ -176,7 +176,7 @@ def repeated_runs(
         else:
             part = part.withColumn("n2", F.col("n1"))
         part = part.select(
-            *_DOC, "s", "first_line", "last_line", (F.col("e") - F.col("s")).alias("m"), "n1", "n2"
+            *_DOC, "s", "e", "first_line", "last_line", (F.col("e") - F.col("s")).alias("m"), "n1", "n2"
         )
         keyed = part if keyed is None else keyed.union(part)
     key = ["m", "n1", "n2"]
@@ -185,14 +185,14 @@ def repeated_runs(
     intervals = keyed.groupBy(*key).agg(F.min(place).alias("earliest"), F.count("*").alias("n"))
     repeated = written(intervals.filter("n > 1").drop("n"))
     later = keyed.join(repeated, key).filter(place != F.col("earliest"))
-    return _merged(later.select(*_DOC, "first_line", "last_line"))
+    return _merged(later.select(*_DOC, "s", "e", "first_line", "last_line"))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
-    """Unions of spans that overlap or touch, within documents."""
-    order = Window.partitionBy(*_DOC).orderBy("first_line", "last_line")
-    upto = F.max("last_line").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = spans.withColumn("new", (F.col("first_line") > F.coalesce(upto, F.lit(-2)) + 1).cast("int"))
+    """Unions of spans of places that overlap or follow each other, within documents."""
+    order = Window.partitionBy(*_DOC).orderBy("s", "e")
+    upto = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = spans.withColumn("new", (F.col("s") > F.coalesce(upto, F.lit(-1)) + 1).cast("int"))
     opened = opened.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return opened.groupBy(*_DOC, "run").agg(
         F.min("first_line").alias("first_line"), F.max("last_line").alias("last_line")

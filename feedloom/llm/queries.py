@@ -151,17 +151,22 @@ ends AS (
   GROUP BY 1, 3),
 stretches AS (SELECT * FROM starts UNION SELECT * FROM ends),
 spelled AS (
-  SELECT t.doc_id, t.s, t.e, min(p.line) AS first_line, max(p.line) AS last_line,
-         list(p.content ORDER BY p.pos) AS content
+  SELECT t.doc_id, t.s, t.e, list(p.content ORDER BY p.pos) AS content
   FROM stretches t JOIN placed p ON p.doc_id = t.doc_id AND p.pos BETWEEN t.s AND t.e
   GROUP BY 1, 2, 3),
 later AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, s) AS copy FROM spelled)
   WHERE copy > 1),
+deleted AS (
+  SELECT DISTINCT p.doc_id, p.line, p.pos
+  FROM placed p JOIN later y ON p.doc_id = y.doc_id AND p.pos BETWEEN y.s AND y.e),
 gone AS (
-  SELECT DISTINCT x.doc_id, x.line
-  FROM split x JOIN later y ON x.doc_id = y.doc_id AND x.line BETWEEN y.first_line AND y.last_line),
+  SELECT doc_id, line FROM deleted
+  UNION
+  SELECT x.doc_id, x.line
+  FROM split x JOIN deleted a ON x.doc_id = a.doc_id AND a.line < x.line
+  JOIN deleted b ON b.doc_id = a.doc_id AND b.pos = a.pos + 1 AND b.line > x.line),
 kept AS (
   SELECT x.doc_id, sum(CASE WHEN g.line IS NULL THEN 0 ELSE 1 END) AS removed_lines,
          coalesce(string_agg(CASE WHEN g.line IS NULL THEN x.content END, chr(10) ORDER BY x.line),
