@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import random
+import re
+
+from helpers import documents, fully, odd_rows
+
+from feedloom.llm import surrogates
+from pyspark.sql import functions as F
+
+ENTITY = re.compile(
+    r"[\w.]+@[\w.]+\w|AKIA\w{16}|(?<=password=)\w+|\b[0-9a-f]{40}\b|\+1 [(]?\d+[)]?[ -]\d+-\d+"
+    r"|\b\d+\.\d+\.\d+\.\d+\b|\b\d{4}(?: \d{4}){3}\b|\b\d{16}\b|\b\d{3}-\d\d-\d{4}\b"
+)
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        n = int(d) * (2 if i % 2 else 1)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def test_distinct_entities_keep_distinct_surrogates_of_their_form(spark):
+    dice = random.Random(1)
+    made = []
+    for i in range(150):
+        made += [
+            f"user.{i}@mail{i % 7}.example.com",
+            f"{dice.randrange(256)}.{dice.randrange(256)}.{i}.{dice.randrange(256)}",
+            f"4{dice.randrange(10**15):015d}",
+            f"+1 ({dice.randrange(100, 999)}) 555-{i:04d}",
+            f"{dice.randrange(16**40):040x}",
+            f"AKIA{i:016d}",
+            f"{dice.randrange(100, 999)}-{dice.randrange(10, 99)}-{i:04d}",
+        ]
+    texts = [" and ".join(dice.choice(made) for _ in range(4)) + " end" for _ in range(500)]
+    rows = fully(surrogates.with_surrogates(documents(spark, texts), "k"))
+    pairs = {}
+    for r in rows:
+        before, after = ENTITY.findall(texts[r["doc_id"]]), ENTITY.findall(r["text"])
+        assert len(before) == len(after) == r["n_entities"] == 4
+        assert ENTITY.sub("_", texts[r["doc_id"]]) == ENTITY.sub("_", r["text"])
+        for a, b in zip(before, after):
+            assert pairs.setdefault(a, b) == b
+    assert len(set(pairs.values())) == len(pairs)
+    assert not set(pairs.values()) & set(pairs)
+    for a, b in pairs.items():
+        if re.fullmatch(r"\d{16}", a):
+            assert b[0] == "4" and luhn(b)
+        elif re.fullmatch(r"[\d.]+", a):
+            assert all(0 < int(x) < 255 for x in b.split("."))
+        elif "@" in a:
+            assert b.endswith(".com") and re.sub("[a-z]", "a", re.sub("[0-9]", "0", a)) == re.sub("[a-z]", "a", re.sub("[0-9]", "0", b))
+        elif a.startswith("AKIA"):
+            assert b.startswith("AKIA")
+        else:
+            assert len(a) == len(b)
+    # addresses of one domain stay in one domain
+    domains = {(a.split("@")[1], b.split("@")[1]) for a, b in pairs.items() if "@" in a}
+    assert len(domains) == len({a for a, _ in domains})
+    # another key, other surrogates
+    other = fully(surrogates.with_surrogates(documents(spark, texts[:5]), "l"))
+    assert all(r["text"] != next(x["text"] for x in rows if x["doc_id"] == r["doc_id"]) for r in other)
+
+
+def test_mentions_in_several_formats_and_names(spark):
+    text = (
+        "Mr. John Smith, Mrs. Jane Smith: +1 (456) 555-2186 = +1 456-555-2186; 4111 1111 1111 1111"
+        " or 4111111111111111, Bob.X1@foo.com or bob.x1@foo.com, господин Иван Петров"
+    )
+    found = fully(surrogates.with_surrogates(documents(spark, [text]), "k"))[0]
+    m = re.fullmatch(
+        r"Mr\. (\w+) (\w+), Mrs\. (\w+) (\w+): \+1 \((\d{3})\) (\d{3})-(\d{4}) = \+1 (\d{3})-(\d{3})-(\d{4});"
+        r" ([\d ]+) or (\d+), (\S+) or (\S+), господин ([А-Я][а-я]+н) ([А-Я][а-я]+)",
+        found["text"],
+    ).groups()
+    assert m[1] == m[3] != "Smith" and m[0].endswith("n") and m[2].endswith("a")
+    assert m[4:7] == m[7:10] and m[10].replace(" ", "") == m[11] and m[12] == m[13]
+    assert found["n_entities"] == 12
+
+
+def test_collisions_are_tried_again(spark):
+    """Ninety addresses of one letter at most: most first attempts collide."""
+    names = [("email", f"{a}@x.co") for a in "abcdefghijklmnopqrstuvwxyz"] + [
+        ("email", f"{a}@{b}.co") for a in "abcdefgh" for b in "pqrstuvw"
+    ]
+    df = spark.createDataFrame(names, "kind string, canon string")
+    found = {r.canon: r.surrogate for r in surrogates.assign(df.union(df), "k").collect()}
+    assert len(found) == len(names) == len(set(found.values()))
+    assert not set(found) & set(found.values())
+
+
+def test_odd_rows_and_empty_tables(spark):
+    docs = odd_rows(spark).withColumn("rid", F.lit("clash")).withColumn("parts", F.lit(1)).withColumn("news", F.lit(2))
+    rows = fully(surrogates.with_surrogates(docs, "k"))
+    key = lambda r: (str(r["doc_id"]), str(r["text"]))
+    plain = sorted(fully(docs), key=key)
+    assert [{c: r[c] for c in docs.columns} for r in sorted(rows, key=key)] == plain
+    assert {r["n_entities"] for r in rows} == {0}
+    marks = documents(spark, ["odd \x01 and \x02b \x02a marks a1@b.co\x01", "1.2.3.4"])
+    found = {r["doc_id"]: r["text"] for r in fully(surrogates.with_surrogates(marks, "k"))}
+    assert re.fullmatch("odd \x01 and \x02b \x02a marks [a-z]\\d@[a-z].co\x01", found[0])
+    assert found[1] != "1.2.3.4"
+    assert surrogates.with_surrogates(docs.limit(0), "k").count() == 0
