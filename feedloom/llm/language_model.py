@@ -223,9 +223,12 @@ def _trained(encoded: DataFrame, share: np.ndarray, end: int, rounds: tuple[int,
             trainer, kept, held = Trainer(start, share, 42 + number, 0.2), [], 0
 
             def learn() -> None:
-                word, one, two = (np.concatenate(x) for x in zip(*kept))
-                for i in range(0, len(word), BATCH):
-                    trainer.step(*(x[i : i + BATCH] for x in (word, one, two)))
+                rows, i = [np.concatenate(x) for x in zip(*kept)], 0
+                while i < len(rows[0]):
+                    # small steps at first, so that little text makes many of them too
+                    n = min(BATCH, max(256, trainer.tokens // 16))
+                    trainer.step(*(x[i : i + n] for x in rows))
+                    i += n
 
             for batch in batches:
                 for value in batch.column("classes"):
