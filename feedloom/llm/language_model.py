@@ -146,6 +146,27 @@ def _token_counts(texts: DataFrame, text: str) -> DataFrame:
     return sent.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The words of the highest counts and their counts, at most ``most``, in falling order.
+
+    Counts are put into buckets of a sixteenth of a power of two; the words of the
+    top buckets are taken as long as all of them fit, so no sort is needed.
+    """
+    step = F.floor(F.log2(F.col("c").cast("double")) * 16)
+    taken, least = 0, None
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
+    for row in sorted(sizes, key=lambda r: -r.step):  # a thousand rows at most
+        taken += row.n
+        if taken > most:
+            break
+        least = row.step
+    if least is None:
+        return {}
+    rows = counts.filter(step >= least).collect()  # at most ``most`` rows
+    found = [(bytes(r.word), r.c) for r in rows]
+    return dict(sorted(found, key=lambda x: (-x[1], x[0])))
+
+
 def _class_mass(counts: DataFrame, singles: dict[bytes, int]) -> np.ndarray:
     """Training tokens of each class."""
 
@@ -311,7 +332,7 @@ def scores(
     probability); none may clash. A token never seen in training has the Good-Turing share
     of unseen tokens. Null and empty texts are an end alone; without
     training rows every token is certain to be unknown.
-    Counts are exact and cover all words: the ``common_words`` most frequent travel
+    Counts are exact and cover all words: the most frequent ones, ``common_words`` at most, travel
     to the tasks, the others are looked up by a join on the word.
     """
     counts = written(_token_counts(docs.filter(F.col(training)), text))
@@ -319,8 +340,7 @@ def scores(
         F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1)
     ).first()
     unseen = min(0.5, (once + 0.5) / (total + 1)) if total else 1.0
-    top = counts.orderBy(F.desc("c"), "word").limit(common_words).collect()
-    words = {bytes(r.word): r.c for r in top}
+    words = _frequent(counts, common_words)
     singles = [END, *[w for w in words if w != END][: SINGLES - 1]]
     class_of = {w: i for i, w in enumerate(singles)}
     mass = _class_mass(counts, class_of)
