@@ -1,4 +1,4 @@
-"""The feature matrix: every interaction with its user, item, context and affinity features."""
+"""The feature matrix: every interaction with its user, item, context and taste features."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.operators.affinity import build_affinity_features
 from feedloom.operators.context_features import build_context_features
 from feedloom.operators.item_features import build_item_features
+from feedloom.operators.reductions import tastes, user_items
+from feedloom.operators.tastes import with_tastes
 from feedloom.operators.user_features import build_user_features
 from feedloom.sources.logs import SPLITS
 
@@ -57,17 +58,18 @@ def feature_matrix(
 ) -> DataFrame:
     """Join all feature families onto split-tagged interactions.
 
-    User, item and affinity features come from the train split alone. All
+    User, item and taste features come from the train split alone, reduced once. All
     splits are joined in one pass; unknown users and items get 0.
     ``user_clusters`` (user_id, user_cluster) adds the segment as a feature.
     """
     train = interactions.filter(F.col("split") == "train")
-    users = build_user_features(train, news)
+    reduced = user_items(train)
+    table = tastes(reduced.filter(F.col("clicks") > 0).select("user_id", "news_id", "clicks"), news)
+    users = build_user_features(train, news, reduced, table)
     if user_clusters is not None:
         users = users.join(user_clusters, "user_id", "left")
-    items = build_item_features(train, news)
-    rows = build_context_features(interactions, dow_base)
-    rows = build_affinity_features(rows, news, learned_from=train)
+    items = build_item_features(train, news, reduced=reduced)
+    rows = with_tastes(build_context_features(interactions, dow_base), news, table=table)
     new_items = [c for c in items.columns if c == "news_id" or c not in rows.columns]
     return (
         rows.join(users, "user_id", "left")

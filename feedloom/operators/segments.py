@@ -71,7 +71,7 @@ class Segmentation:
         users: DataFrame,
         min_k: int = 3,
         max_k: int = 10,
-        restarts: int = 1,
+        restarts: int = 10,
         seed: int = 42,
     ) -> Segmentation:
         """Choose the number of clusters with the best silhouette, the first of equals.
@@ -86,19 +86,23 @@ class Segmentation:
         stats = standardisation(users, names)
         rows = written(standardise(users, stats).select("user_id", "features"))
         silhouette = ClusteringEvaluator(predictionCol="user_cluster")
-        best, best_score, silhouettes = None, -1.0, {}
-        for k in range(min_k, max_k + 1):
-            runs = [
+
+        def cheapest(k: int) -> KMeansModel:
+            runs = (
                 KMeans(k=k, seed=seed + i, maxIter=300, predictionCol="user_cluster").fit(rows)
                 for i in range(restarts)
-            ]
-            model = min(runs, key=lambda m: m.summary.trainingCost)
-            if len(model.clusterCenters()) < 2:
-                continue
-            silhouettes[k] = silhouette.evaluate(model.transform(rows))
-            if best is None or silhouettes[k] > best_score:
-                best, best_score = model, silhouettes[k]
-        return cls(best, stats, silhouettes)
+            )
+            return min(runs, key=lambda model: model.summary.trainingCost)
+
+        models = {k: cheapest(k) for k in range(min_k, max_k + 1)}
+        silhouettes = {
+            k: silhouette.evaluate(model.transform(rows))
+            for k, model in models.items()
+            if len(model.clusterCenters()) > 1
+        }
+        # of equal silhouettes the smaller number of clusters
+        chosen = min(silhouettes, key=lambda k: (-silhouettes[k], k), default=None)
+        return cls(models.get(chosen), stats, silhouettes)
 
     def assign(self, users: DataFrame) -> DataFrame:
         """Users with their user_cluster."""

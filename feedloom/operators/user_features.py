@@ -6,24 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.columns import ratio
+from feedloom.operators.reductions import clicked, tastes, user_items
 
 SECONDS_PER_DAY = 86_400
 
 
-def _user_items(interactions: DataFrame) -> DataFrame:
-    """One row per user and item: the reduction that user features build on."""
-    latest = F.max(F.struct("timestamp_unix", "history_length"))
-    return interactions.groupBy("user_id", "news_id").agg(
-        F.count("*").alias("n"),
-        F.sum("label").alias("label_sum"),
-        F.count("label").alias("labelled"),
-        F.count_if(F.col("label") == 1).alias("clicks"),
-        F.min("timestamp_unix").alias("first_ts"),
-        F.max("timestamp_unix").alias("last_ts"),
-        latest.alias("latest"),
-    )
-
-
 def _stats_columns() -> list:
     return [
         F.sum("n").alias("user_total_interactions"),
@@ -63,24 +50,7 @@ def user_stats(interactions: DataFrame) -> DataFrame:
     no distinct aggregate and no self-join is needed. The history length is that
     of the latest interaction, the longest one if several share the last second.
     """
-    return _with_rates(_user_items(interactions).groupBy("user_id").agg(*_stats_columns()))
-
-
-def _clicked_items(interactions: DataFrame) -> DataFrame:
-    return (
-        interactions.filter(F.col("label") == 1)
-        .groupBy("user_id", "news_id")
-        .agg(F.count("*").alias("clicks"))
-    )
-
-
-def _clicks_by_taste(clicked: DataFrame, news: DataFrame) -> DataFrame:
-    """Clicks per user, category and subcategory."""
-    return (
-        clicked.join(news.select("news_id", "category", "subcategory"), "news_id", "left")
-        .groupBy("user_id", "category", "subcategory")
-        .agg(F.sum("clicks").alias("clicks"))
-    )
+    return _with_rates(user_items(interactions).groupBy("user_id").agg(*_stats_columns()))
 
 
 def _top_category(taste: DataFrame) -> DataFrame:
@@ -102,12 +72,12 @@ def _category_counts(taste: DataFrame) -> DataFrame:
 
 def user_top_category(interactions: DataFrame, news: DataFrame) -> DataFrame:
     """Most clicked category of each user; ties go to the first name."""
-    return _top_category(_clicks_by_taste(_clicked_items(interactions), news))
+    return _top_category(tastes(clicked(interactions), news))
 
 
 def category_diversity(interactions: DataFrame, news: DataFrame) -> DataFrame:
     """Distinct categories and subcategories clicked, 0 for users without clicks."""
-    taste = _category_counts(_clicks_by_taste(_clicked_items(interactions), news))
+    taste = _category_counts(tastes(clicked(interactions), news))
     users = interactions.select("user_id").distinct()
     return users.join(taste, "user_id", "left").fillna(0)
 
@@ -125,20 +95,26 @@ def session_stats(interactions: DataFrame) -> DataFrame:
     )
 
 
-def build_user_features(interactions: DataFrame, news: DataFrame) -> DataFrame:
+def build_user_features(
+    interactions: DataFrame,
+    news: DataFrame,
+    reduced: DataFrame | None = None,
+    table: DataFrame | None = None,
+) -> DataFrame:
     """One row per user with all user features; missing numbers are 0.
 
-    The log is read twice, once by (user, item) and once by (user, impression).
+    The log is read twice, once by (user, item) and once by (user, impression);
+    ``reduced`` and ``table`` are its rows per user and item and per taste where they are known.
     The four per-user results are already partitioned by user_id, so joining
     them moves nothing further.
     """
-    user_items = _user_items(interactions)
-    clicked = user_items.filter(F.col("clicks") > 0).select("user_id", "news_id", "clicks")
-    taste = _clicks_by_taste(clicked, news)
-    stats = _with_rates(user_items.groupBy("user_id").agg(*_stats_columns()))
+    per_item = user_items(interactions) if reduced is None else reduced
+    if table is None:
+        table = tastes(per_item.filter(F.col("clicks") > 0).select("user_id", "news_id", "clicks"), news)
+    stats = _with_rates(per_item.groupBy("user_id").agg(*_stats_columns()))
     return (
-        stats.join(_top_category(taste).drop("user_top_category_clicks"), "user_id", "left")
-        .join(_category_counts(taste), "user_id", "left")
+        stats.join(_top_category(table).drop("user_top_category_clicks"), "user_id", "left")
+        .join(_category_counts(table), "user_id", "left")
         .join(session_stats(interactions), "user_id", "left")
         .fillna(0)
     )

@@ -386,6 +386,7 @@ CTES["scored"] = (
     FROM osplit t LEFT JOIN otrain_item i USING (news_id) WHERE t.split = 'test'
     """,
 )
+CTES["scored_log"] = (CTES["scored"][0], CTES["scored"][1].replace("WHERE t.split = 'test'", ""))
 
 
 def _metrics(scored: str, keys: str) -> str:
@@ -548,14 +549,14 @@ def _mmr(cut: str, top_k: int = 10) -> tuple[str, str]:
 
 
 CTES["mmr_cut"] = (
-    ("scored",),
+    ("scored_log",),
     f"""
     SELECT * FROM (
         SELECT *, row_number() OVER (
             PARTITION BY user_id ORDER BY {r("score", 9)} DESC, news_id) AS pos
         FROM (SELECT user_id, news_id, category, {boosted("max(score)", "max(item_age_hours)")}
                          AS score
-              FROM scored GROUP BY user_id, news_id, category))
+              FROM scored_log GROUP BY user_id, news_id, category))
     WHERE pos <= 50
     """,
 )
@@ -723,7 +724,7 @@ def _prepared() -> str:
     """
 
 
-def all_sql() -> dict[str, str]:
+def _statements() -> dict[str, str]:
     mmr_state, mmr_body = _mmr("mmr_cut")
     rec_state, rec_body = _mmr("rec_cut")
     top_state, top_body = _mmr("top_cut")
@@ -1068,13 +1069,13 @@ def all_sql() -> dict[str, str]:
             """,
         ),
         "freshness_boost": sql(
-            "scored",
+            "scored_log",
             f"""
             SELECT impression_id, user_id, news_id,
                    {r(boosted("score", "item_age_hours"))} AS score,
                    {r("exp(-ln(2) * greatest(coalesce(item_age_hours, 0), 0) / 24)")}
                        AS freshness_score
-            FROM scored
+            FROM scored_log
             """,
         ),
         "ranking_metrics": sql(
@@ -1211,3 +1212,35 @@ def all_sql() -> dict[str, str]:
             mmr_state,
         ),
     }
+
+
+def all_sql() -> dict[str, str]:
+    """Every statement by query name."""
+    found = _statements()
+    matrix = found["feature_matrix"]
+    others = ", ".join(
+        c for c in ("impression_id", "user_id", "news_id", "label", "timestamp_unix", "history_length",
+                    "split", "user_top_category", "category", "subcategory", "item_first_seen_ts",
+                    "item_last_seen_ts", "user_first_interaction_ts", "user_last_interaction_ts")
+    )
+    found["feature_column_names"] = f"""
+        SELECT feature, {r("avg(value)")} AS mean FROM (
+            UNPIVOT (SELECT CAST(COLUMNS(* EXCLUDE ({others})) AS DOUBLE) FROM ({matrix})
+                     WHERE split = 'train')
+            ON COLUMNS(*) INTO NAME feature VALUE value)
+        GROUP BY feature
+    """
+    found["attribution_fixed_weights"] = " UNION ALL ".join(
+        f"""
+        SELECT '{name}' AS feature, {r(f"avg(abs({weight} * (x - m)))")} AS mean_abs_contribution,
+               {r(f"avg({weight} * (x - m))")} AS mean_contribution, count(*) AS rows
+        FROM (SELECT CAST({name} AS DOUBLE) AS x, avg({name}) OVER () AS m FROM ({matrix})
+              WHERE split = 'test')
+        """
+        for name, weight in (
+            ("ctx_impression_size", "5e-1"),
+            ("item_total_impressions", "-25e-2"),
+            ("user_total_clicks", "2e0"),
+        )
+    )
+    return found

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.columns import decimals
 from feedloom.functions.frames import written
-from feedloom.operators import affinity, attribution, collaborative, content, context_features
+from feedloom.operators import attribution, collaborative, content, context_features
 from feedloom.operators import item_features, metrics
 from feedloom.operators import neural, pairwise, segments
-from feedloom.operators import pool, popularity, prep, rerank, user_features
+from feedloom.operators import pool, popularity, prep, rerank, tastes, user_features
 from feedloom.operators import recommend as recommending
 from feedloom.operators.feature_matrix import feature_columns, feature_matrix as build_matrix
 from feedloom.plans import tables
@@ -221,20 +221,20 @@ def build_item_features(spark, folder):
 @query
 def user_category_affinity(spark, folder):
     log, news = tables.orders_log(spark, folder), tables.part_news(spark, folder)
-    return tidy(affinity.user_affinity(log, news, "category"))
+    return tidy(tastes.taste_shares(log, news, "category"))
 
 
 @query
 def user_subcategory_affinity(spark, folder):
     log, news = tables.orders_log(spark, folder), tables.part_news(spark, folder)
-    return tidy(affinity.user_affinity(log, news, "subcategory"))
+    return tidy(tastes.taste_shares(log, news, "subcategory"))
 
 
 @query
 def relational_features(spark, folder):
     log, news = tables.orders_log(spark, folder), tables.part_news(spark, folder)
     return tidy(
-        affinity.build_affinity_features(log, news),
+        tastes.with_tastes(log, news),
         "impression_id",
         "user_id",
         "news_id",
@@ -380,15 +380,14 @@ def cand_collab(spark, folder):
 # Re-ranking and metrics
 
 
-def _scored_lines(spark, folder):
-    """Orders log with the baseline score of each item learned from train, test rows only."""
+def _scored_log(spark, folder):
+    """Orders log with the baseline score of each item learned from train."""
     split = _split_log(spark, folder)
     items = written(
         item_features.build_item_features(
             split.filter(F.col("split") == "train"), tables.part_news(spark, folder)
         )
     )
-    test = split.filter(F.col("split") == "test")
     wanted = items.select(
         "news_id",
         "category",
@@ -398,14 +397,19 @@ def _scored_lines(spark, folder):
         "item_freshness_score",
     )
     scores = popularity.baseline_scores(items)
-    return test.join(wanted, "news_id", "left").join(scores, "news_id", "left").withColumn(
+    return split.join(wanted, "news_id", "left").join(scores, "news_id", "left").withColumn(
         "score", decimals(F.coalesce("score", F.lit(0.0)))
     )
 
 
+def _scored_lines(spark, folder):
+    """The held-out rows, which evaluation is about."""
+    return _scored_log(spark, folder).filter(F.col("split") == "test")
+
+
 @query
 def freshness_boost(spark, folder):
-    boosted = rerank.freshness_boost(_scored_lines(spark, folder))
+    boosted = rerank.freshness_boost(_scored_log(spark, folder))
     return tidy(boosted, "impression_id", "user_id", "news_id", "score", "freshness_score")
 
 
@@ -466,7 +470,7 @@ def model_comparison(spark, folder):
 
 @query
 def mmr_rerank(spark, folder):
-    scored = _scored_lines(spark, folder)
+    scored = _scored_log(spark, folder)
     best = scored.groupBy("user_id", "news_id", "category").agg(
         F.max("score").alias("score"), F.max("item_age_hours").alias("item_age_hours")
     )
@@ -537,7 +541,7 @@ def cold_start(spark, folder):
     users, items = _events_tastes(spark, folder), _events_items(spark, folder)
     cold = recommending.route(tables.requests(spark, folder), users).filter("is_cold_start")
     listed = recommending.cold_start_list(items, 10)
-    return tidy(recommending._attach(cold, listed, "cold_start_popular", True))
+    return tidy(recommending.attach(cold, listed, "cold_start_popular", True))
 
 
 # Models
@@ -621,6 +625,16 @@ def attribution_linear(spark, folder):
     return tidy(attribution.linear_attribution(ranker, test))
 
 
+@query
+def attribution_fixed_weights(spark, folder):
+    """Contributions to a linear score of given weights, over all held-out rows."""
+    _, _, test = _ready_matrix(spark, folder)
+    ranker = pairwise.LinearRanker(
+        ["ctx_impression_size", "item_total_impressions", "user_total_clicks"], [0.5, -0.25, 2.0]
+    )
+    return tidy(attribution.linear_attribution(ranker, test))
+
+
 @query
 def seeded_sample(spark, folder):
     log = prep.dedup_interactions(tables.orders_log(spark, folder))
@@ -631,7 +645,7 @@ def seeded_sample(spark, folder):
 @query
 def feature_column_names(spark, folder):
     """Model inputs of the feature matrix, with their means."""
-    train, _, _ = _ready_matrix(spark, folder)
+    train = tidy(_ready_matrix(spark, folder)[0])
     names = feature_columns(train)
     means = train.agg(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.avg(c).alias("mean")) for c in names
