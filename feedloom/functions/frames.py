@@ -9,10 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Only this many of the largest keys are salted, which bounds their broadcast table;
-# no key outside them can hold more than 1/HOT_KEYS of the rows.
-HOT_KEYS = 4096
-
 # Only for sessions in local mode that name no shared folder; removed when Python ends.
 _LOCAL_FOLDERS: dict[SparkSession, tempfile.TemporaryDirectory] = {}
 
@@ -30,9 +26,13 @@ def top_per_group(
 
 
 def _fans(sizes: DataFrame, on: Sequence[str], rows_per_task: int, name: str) -> DataFrame:
-    """The largest keys and the number of pieces to deal each into; at most HOT_KEYS rows."""
-    largest = sizes.filter(F.col("_n") > rows_per_task).orderBy(F.desc("_n")).limit(HOT_KEYS)
-    return F.broadcast(
+    """Every key of over rows_per_task rows and the number of pieces to deal it into.
+
+    Written, so that Spark knows the size and broadcasts the table while its size
+    check allows: one row per rows_per_task rows of the log at most.
+    """
+    largest = sizes.filter(F.col("_n") > rows_per_task)
+    return written(
         largest.select(*on, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias(name))
     )
 

@@ -38,11 +38,36 @@ def time_features(interactions: DataFrame, dow_base: str = "monday") -> DataFram
     )
 
 
-def item_chunk(df: DataFrame, name: str = "news_id") -> Column:
-    """Order-keeping chunk of an item id: a range of a number, a prefix of a text."""
+CHUNKS = 128
+
+
+def _id_number(df: DataFrame, name: str) -> Column:
+    """A whole number that does not decrease along the ids.
+
+    Of a text, the seven bytes after the beginning that all ids share, which is
+    the one that the first and the last have in common.
+    """
     if isinstance(df.schema[name].dataType, T.NumericType):
-        return F.floor(F.col(name) / F.lit(10_000))
-    return F.substring(F.col(name), 1, 5)
+        return F.floor(F.col(name)).cast("long")
+    raw = F.encode(F.col(name), "UTF-8")
+    first, last = F.col("first"), F.col("last")
+    alike = F.filter(
+        F.sequence(F.lit(0), F.least(F.length(first), F.length(last))),
+        lambda i: F.substring(first, F.lit(1), i) == F.substring(last, F.lit(1), i),
+    )
+    ends = df.agg(F.min(raw).alias("first"), F.max(raw).alias("last"))
+    shared = ends.select(F.coalesce(F.size(alike) - 1, F.lit(0)).alias("n")).scalar()
+    digits = F.rpad(F.hex(F.substring(raw, shared + 1, F.lit(7))), 14, "0")
+    return F.conv(digits, 16, 10).cast("long")
+
+
+def item_chunk(df: DataFrame, name: str = "news_id") -> Column:
+    """Order-keeping chunk of an item id: which of CHUNKS stretches of about equal rows it is in."""
+    number = _id_number(df, name)
+    shares = [i / CHUNKS for i in range(1, CHUNKS)]
+    bounds = df.agg(F.approx_percentile(number, shares, 10 * CHUNKS).alias("b")).scalar()
+    # Sorted in among the bounds, the id comes after all bounds below it.
+    return F.array_position(F.sort_array(F.array_append(bounds, number)), number)
 
 
 def position_features(
