@@ -154,7 +154,11 @@ def prep_statistics(behaviors: DataFrame, news: DataFrame) -> DataFrame:
     keyed = written(
         parsed.withColumn("_complete", complete)
         .groupBy(*INTERACTION_KEY, "_complete")
-        .agg(F.count("*").alias("copies"), survivor.alias("kept"))
+        .agg(
+            F.count("*").alias("copies"),
+            survivor.alias("kept"),
+            F.bool_or(F.col("history_length") == 0).alias("_no_history"),
+        )
         .join(news.select("news_id", F.lit(True).alias("_known")), "news_id", "left")
         .withColumn("_known", F.col("_complete") & F.col("_known").isNotNull())
         .withColumn("label", -F.col("kept")["unlabel"])
@@ -189,7 +193,7 @@ def prep_statistics(behaviors: DataFrame, news: DataFrame) -> DataFrame:
         ).alias("categories"),
     )
     raw = behaviors.agg(F.count("*").alias("raw_behaviors"))
-    empty = parsed.filter(F.col("history_length") == 0).agg(
+    empty = keyed.filter("_no_history").agg(
         F.count_distinct("user_id").alias("users_with_empty_history")
     )
     out = kept_stats

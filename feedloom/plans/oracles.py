@@ -688,10 +688,11 @@ _ITEM_ALL = f"""
     {r("item_freshness_score")} AS item_freshness_score
 """
 _MEDIAN = """
-    (SELECT timestamp_unix FROM (
-        SELECT timestamp_unix, row_number() OVER (ORDER BY timestamp_unix) AS rn,
-               count(*) OVER () AS n FROM {log} WHERE timestamp_unix IS NOT NULL)
-     WHERE rn = ceil(n * 0.5))
+    middle AS MATERIALIZED (
+        SELECT timestamp_unix AS t FROM (
+            SELECT timestamp_unix, row_number() OVER (ORDER BY timestamp_unix) AS rn,
+                   count(*) OVER () AS n FROM {log} WHERE timestamp_unix IS NOT NULL)
+        WHERE rn = ceil(n * 0.5))
 """
 
 
@@ -704,15 +705,16 @@ def _mean_metrics(kinds: tuple[str, ...]) -> str:
 def _prepared() -> str:
     """Clean packed interactions with imputed time and split."""
     return f"""
-        kept AS (
+        kept AS MATERIALIZED (
             SELECT * EXCLUDE (rn) FROM (
                 SELECT p.*, row_number() OVER (
                     PARTITION BY user_id, news_id, impression_id
                     ORDER BY timestamp_unix NULLS FIRST, label DESC, history NULLS FIRST) AS rn
                 FROM parsed p JOIN pnews USING (news_id)) WHERE rn = 1),
-        timed AS (
-            SELECT * REPLACE (coalesce(timestamp_unix, {_MEDIAN.format(log="kept")})
-                              AS timestamp_unix) FROM kept),
+        {_MEDIAN.format(log="kept").strip()},
+        timed AS MATERIALIZED (
+            SELECT * EXCLUDE (t) REPLACE (coalesce(timestamp_unix, t) AS timestamp_unix)
+            FROM kept LEFT JOIN middle ON true),
         prepared AS (
             SELECT d.*, CASE WHEN timestamp_unix <= b1 THEN 'train'
                              WHEN timestamp_unix <= b2 THEN 'val' ELSE 'test' END AS split
@@ -802,9 +804,10 @@ def _statements() -> dict[str, str]:
             "parsed",
             f"""
             SELECT impression_id, user_id, news_id, label,
-                   coalesce(timestamp_unix, {_MEDIAN.format(log="parsed")}) AS timestamp_unix
-            FROM parsed
+                   coalesce(timestamp_unix, t) AS timestamp_unix
+            FROM parsed LEFT JOIN middle ON true
             """,
+            _MEDIAN.format(log="parsed"),
         ),
         "time_split": sql(
             "olog",
