@@ -78,6 +78,25 @@ def feature_matrix(
     )
 
 
+def candidate_features(
+    rows: DataFrame,
+    news: DataFrame,
+    table: DataFrame,
+    at: int,
+    dow_base: str = "monday",
+) -> DataFrame:
+    """Candidates with the context and taste columns that rankers are trained on.
+
+    ``rows`` hold user_id, news_id and both sides' features. A user's
+    candidates are looked at as one impression shown at the second ``at``;
+    ``table`` are tastes (``reductions.tastes``) of the users' past.
+    """
+    shown = rows.withColumns(
+        {"impression_id": F.col("user_id"), "timestamp_unix": F.lit(at).cast("long")}
+    )
+    return with_tastes(build_context_features(shown, dow_base), news, table=table).fillna(0)
+
+
 def run_feature_pipeline(interactions: DataFrame, news: DataFrame, **options) -> dict[str, DataFrame]:
     """User features, item features and one enriched frame per split."""
     train = interactions.filter(F.col("split") == "train")

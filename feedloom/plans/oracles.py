@@ -623,6 +623,26 @@ CTES["rec_cut"] = (
         rows="(SELECT user_id, news_id FROM pool SEMI JOIN customer ON c_custkey = user_id)",
     ),
 )
+for _log in ("elog",):
+    CTES[f"{_log}_category"] = ((_log, "news"), _affinity(_log, "category"))
+CTES["ranked_cut"] = (
+    ("pool", "elog", "elog_item", "elog_category"),
+    _CUT.replace("JOIN ebase USING (news_id)", "").format(
+        order=r("score", 9),
+        boosted=boosted("base", "item_age_hours"),
+        rows="""(
+            SELECT p.user_id, p.news_id, i.category, i.item_age_hours,
+                   -125e-3 * (row_number() OVER (PARTITION BY p.user_id ORDER BY p.news_id)
+                              / count(*) OVER (PARTITION BY p.user_id))
+                   + 2e0 * i.item_smoothed_ctr + 5e-1 * coalesce(a.user_category_affinity, 0)
+                   + 25e-2 * u.user_ctr AS base
+            FROM pool p SEMI JOIN customer ON c_custkey = p.user_id
+            JOIN elog_item i USING (news_id)
+            JOIN (SELECT user_id, coalesce(avg(label), 0) AS user_ctr FROM elog GROUP BY user_id) u
+              ON u.user_id = p.user_id
+            LEFT JOIN elog_category a ON a.user_id = p.user_id AND a.category = i.category)""",
+    ),
+)
 CTES["top_cut"] = (
     ("eusers", "ebase"),
     _CUT.format(
@@ -730,6 +750,7 @@ def _statements() -> dict[str, str]:
     mmr_state, mmr_body = _mmr("mmr_cut")
     rec_state, rec_body = _mmr("rec_cut")
     top_state, top_body = _mmr("top_cut")
+    ranked_state, ranked_body = _mmr("ranked_cut")
     warm = f"""
         SELECT user_id, CAST(rank AS BIGINT) AS rank, news_id AS item_id, {r("score", 4)} AS score,
                'personalized' AS source, category, false AS is_cold_start FROM ({{body}})
@@ -1138,6 +1159,23 @@ def _statements() -> dict[str, str]:
             per_model AS ({_metrics("models", "model, impression_id")})
             """,
         ),
+        "model_comparison_ranked": sql(
+            "scored otrain_category",
+            f"""
+            SELECT model, count(*) AS groups,
+                   {_mean_metrics(("precision", "recall", "ndcg", "map"))}
+            FROM per_model GROUP BY model
+            """,
+            f"""
+            models AS (
+                SELECT 'baseline' AS model, impression_id, news_id, label, score FROM scored
+                UNION ALL
+                SELECT 'linear', impression_id, news_id, label,
+                       {r("2e0 * coalesce(item_smoothed_ctr, 0) + 5e-1 * coalesce(user_category_affinity, 0)")}
+                FROM scored LEFT JOIN otrain_category USING (user_id, category)),
+            per_model AS ({_metrics("models", "model, impression_id")})
+            """,
+        ),
         "group_sizes": sql(
             "olog", "SELECT impression_id, count(*) AS group_rows FROM olog GROUP BY impression_id"
         ),
@@ -1204,6 +1242,7 @@ def _statements() -> dict[str, str]:
             "SELECT user_id, source, count(*) AS candidates FROM pool GROUP BY user_id, source",
         ),
         "recommend": sql("rec_cut cold", warm.format(body=rec_body), rec_state),
+        "recommend_ranked": sql("ranked_cut cold", warm.format(body=ranked_body), ranked_state),
         "recommend_top_clicks": sql("top_cut cold", warm.format(body=top_body), top_state),
         "cold_start": sql("cold", "SELECT * FROM cold"),
         "mmr_rerank": sql(

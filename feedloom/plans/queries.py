@@ -14,7 +14,9 @@ from feedloom.operators import item_features, metrics
 from feedloom.operators import neural, pairwise, segments
 from feedloom.operators import pool, popularity, prep, rerank, tastes, user_features
 from feedloom.operators import recommend as recommending
-from feedloom.operators.feature_matrix import feature_columns, feature_matrix as build_matrix
+from feedloom.operators.feature_matrix import candidate_features, feature_columns
+from feedloom.operators.feature_matrix import feature_matrix as build_matrix
+from feedloom.operators.reductions import clicked, tastes as taste_table
 from feedloom.plans import tables
 from feedloom.sources.logs import drop_blank_impressions, parse_log_time
 
@@ -468,6 +470,27 @@ def model_comparison(spark, folder):
     return tidy(metrics.compare_models(rows, scorers))
 
 
+@query
+def model_comparison_ranked(spark, folder):
+    """The popularity baseline against a linear ranker with given weights, on held-out rows."""
+    log, news = _scored_lines(spark, folder), tables.part_news(spark, folder)
+    past = _split_log(spark, folder).filter(F.col("split") == "train")
+    rows = written(tastes.with_tastes(log, news, learned_from=past))
+    ranker = pairwise.LinearRanker(["item_smoothed_ctr", "user_category_affinity"], [2.0, 0.5])
+    scorers = {
+        "baseline": lambda df: df,
+        "linear": lambda df: ranker.score(df).withColumn("score", decimals(F.col("score"))),
+    }
+    return tidy(metrics.compare_models(rows, scorers))
+
+
+@query
+def permutation_importance(spark, folder):
+    """How much NDCG@10 of the ranker with given weights loses per shuffled feature."""
+    _, _, test = _ready_matrix(spark, folder)
+    return tidy(attribution.permutation_importance(_GIVEN.score, test, _GIVEN.features))
+
+
 @query
 def mmr_rerank(spark, folder):
     scored = _scored_log(spark, folder)
@@ -528,6 +551,33 @@ def recommend(spark, folder):
     return tidy(recommending.recommend(asked, users, items, candidates, scores))
 
 
+# Weights of a linear ranker whose results SQL can follow.
+_GIVEN = pairwise.LinearRanker(
+    ["ctx_normalized_position", "item_smoothed_ctr", "user_category_affinity", "user_ctr"],
+    [-0.125, 2.0, 0.5, 0.25],
+)
+
+
+@query
+def recommend_ranked(spark, folder):
+    """Recommendations scored by a ranker on the features it was trained on."""
+    log, news = tables.events_log(spark, folder), tables.part_news(spark, folder)
+    users = written(user_features.build_user_features(log.withColumn("history_length", F.lit(0)), news))
+    items = _events_items(spark, folder)
+    asked = tables.requests(spark, folder)
+    candidates = written(_events_pool(spark, folder, *_events_parts(spark, folder)))
+    table = written(taste_table(clicked(log), news))
+    now = log.agg(F.max("timestamp_unix")).first()[0]
+    ranked = recommending.recommend(
+        asked,
+        users,
+        items,
+        candidates,
+        scorer=lambda rows: _GIVEN.score(candidate_features(rows, news, table, now)),
+    )
+    return tidy(ranked)
+
+
 @query
 def recommend_top_clicks(spark, folder):
     users, items = _events_tastes(spark, folder), _events_items(spark, folder)
