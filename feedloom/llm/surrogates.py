@@ -30,7 +30,8 @@ PATTERNS: dict[str, str] = {
     r"|\bAKIA[0-9A-Z]{16}\b|\b(?=[0-9a-f]{0,40}[a-f])(?=[a-f]{0,40}[0-9])[0-9a-f]{32,64}+\b",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
-    "phone": r"\+\d{1,3}[\x20-]?\(?\d{2,4}\)?(?:[\x20-]?\d{2,4}){2,4}+\b",
+    "phone": r"\+\d{1,3}[\x20-]?\(?\d{2,4}\)?(?:[\x20-]?\d{2,4}){2,4}+\b"
+    r"|(?<![\d(.-])(?:\(\d{3}\)\x20?|\d{3}[.-])\d{3}[.-]\d{4}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])\d{4}(?:([\x20-]?)\d{4}){2}[\x20-]?\d{1,7}(?![\d-])".replace("([", "(?:["),
     "name": rf"(?=\p{{Lu}})(?:(?<={_TITLE})|(?<={_TITLE}{_NAME}\x20)){_NAME}\b",
@@ -68,7 +69,7 @@ def _type(entity: Column, before: Column, after: Column) -> Column:
     for t in ("ip", "phone", "ssn", "card", "iban"):
         shape = {
             "ip": r"^(?:\d{1,3}\.){3}\d{1,3}$",
-            "phone": r"^\+[\d\x20()-]+$",
+            "phone": r"^(?:\+[\d\x20()-]+|(?:\(\d{3}\)\x20?|\d{3}[.-])\d{3}[.-]\d{4})$",
             "ssn": r"^\d{3}-\d{2}-\d{4}$",
             "card": r"^\d{4}[\d\x20-]{9,}$",
             "iban": r"^[A-Z]{2}\d{2}[A-Z0-9\x20]{8,}$",

@@ -81,6 +81,16 @@ def test_mentions_in_several_formats_and_names(spark):
     assert found["n_entities"] == 12
 
 
+def test_phone_numbers_without_country(spark):
+    texts = ["call (784) 555-8120 or 784-555-8120 or 784.555.8120, not 1784-555-81201 or 2.0."]
+    found = fully(surrogates.with_surrogates(documents(spark, texts), "k"))[0]
+    m = re.fullmatch(
+        r"call \((\d{3})\) (\d{3})-(\d{4}) or (\d{3})-(\d{3})-(\d{4}) or (\d{3})\.(\d{3})\.(\d{4}), not 1784-555-81201 or 2.0.",
+        found["text"],
+    ).groups()
+    assert m[:3] == m[3:6] == m[6:] and "".join(m[:3]) != "7845558120"
+
+
 def test_collisions_are_tried_again(spark):
     """Ninety addresses of one letter at most: most first attempts collide."""
     names = [("email", f"{a}@x.co") for a in "abcdefghijklmnopqrstuvwxyz"] + [
