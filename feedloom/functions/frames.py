@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -212,13 +213,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[spark].name
 
 
+# Tables written inside each open scratch block, the innermost last.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables of a block when it ends.
+
+    Results are read from those tables: write or collect them inside the block.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     For results that several later steps read: they are computed once, their
     lineage ends here, and a lost executor costs no replay. Parquet keeps
-    column pruning for the readers.
+    column pruning for the readers. ``scratch`` deletes such tables.
     """
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -145,3 +145,16 @@ def test_recommend_routes_and_guards(spark, interactions, news):
     for bad in (0, 101):
         with pytest.raises(ValueError):
             recommend.recommend(asked, users, items, scores=scores, top_k=bad)
+
+
+def test_scratch_deletes_what_it_wrote(spark):
+    from feedloom.functions.frames import scratch, shared_folder, written
+    from feedloom.sources.logs import path_exists
+
+    folder = f"{shared_folder(spark)}/tables"
+    kept = written(spark.range(3))
+    with scratch(spark):
+        inside = written(spark.range(5))
+        assert inside.count() == 5
+        gone = inside.inputFiles()[0].rsplit("/", 1)[0]
+    assert kept.count() == 3 and path_exists(spark, folder) and not path_exists(spark, gone)
