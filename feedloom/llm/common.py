@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A word is a run of anything but ASCII white space; bytes.split() cuts at the same six bytes.
@@ -34,12 +34,3 @@ def free_name(columns: Sequence[str], wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
-
-
-def same(left: Column, right: Column) -> Column:
-    return left.eqNullSafe(right)
-
-
-def one_row(df: DataFrame):
-    """The single row of a global aggregate."""
-    return df.first()
