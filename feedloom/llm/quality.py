@@ -118,9 +118,10 @@ def thresholds(
 
     ``counted`` has the columns of COUNTS. The holdout are documents with a
     label that pass the base rules; the good ones give each rule
-    a share of ``alpha`` of false rejections. Of the cutoffs that hold, the one with
-    the largest difference between the rejected shares of bad and good holdouts is
-    taken, the higher one among equals; one that rejects no bad document is not used.
+    a share of ``alpha`` of false rejections. Rules choose in turn: of the cutoffs that hold,
+    the one with the largest difference between the shares of bad holdouts it rejects anew and
+    of good ones it rejects, the higher one among equals. A rule without a positive
+    difference stays off. Since all cutoffs that hold do so at once, any choice among them is safe.
     """
     known = (
         labels.filter(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
@@ -160,11 +161,32 @@ def thresholds(
         _chosen(alpha, delta),
         "stratum string, n long, bad long, rule string, cutoff int, k long, caught long, tests long",
     )
-    gain = F.col("caught") / F.greatest("bad", F.lit(1)) - F.col("k") / F.col("n")
-    best = passed.filter("caught > 0").groupBy("stratum", "rule").agg(
-        F.max(F.struct(gain.alias("gain"), "cutoff")).alias("b")
-    )
-    return best.select("stratum", "rule", "b.cutoff")
+    passed = written(passed)
+    left, chosen = held.filter("good = 0").select(F.col(stratum).alias("stratum"), *COUNTS), None
+    for rule, (_, cutoffs) in RULES.items():
+        over = F.array(*[F.struct(F.lit(c).alias("at"), (_statistic(rule) > c).alias("over")) for c in cutoffs])
+        fresh = (
+            left.select(F.col("stratum").alias("s"), F.inline(over))
+            .groupBy("s", "at")
+            .agg(F.count_if("over").alias("fresh"))
+        )
+        gain = F.col("fresh") / F.col("bad") - F.col("k") / F.col("n")
+        best = (
+            passed.filter(F.col("rule") == rule)
+            .join(fresh, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("cutoff") == F.col("at")))
+            .filter((F.col("fresh") > 0) & (gain > 0))
+            .groupBy("stratum", "rule")
+            .agg(F.max(F.struct(gain.alias("gain"), "cutoff")).alias("b"))
+        )
+        best = written(best.select("stratum", "rule", "b.cutoff"))
+        found = best.select(F.col("stratum").alias("s"), "cutoff")
+        left = (
+            left.join(found, F.col("stratum").eqNullSafe(F.col("s")), "left")
+            .filter(F.col("cutoff").isNull() | (_statistic(rule) <= F.col("cutoff")))
+            .drop("s", "cutoff")
+        )
+        chosen = best if chosen is None else chosen.union(best)
+    return chosen
 
 
 def judged(

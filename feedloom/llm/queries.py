@@ -200,6 +200,29 @@ def _quality_sql() -> str:
     case = " ".join(f"WHEN rule = '{r}' THEN {e}" for r, e in rules.items())
     first = " ".join(f"WHEN rule = '{r}' THEN {i}" for i, r in enumerate(rules))
     share = 0.05 / len(rules)
+    # Rules choose in turn; each counts the bad documents that those before it leave.
+    turns = "".join(
+        f"""
+fresh{i} AS (
+  SELECT m.lang, g.cutoff, count(*) FILTER (m.statistic > g.cutoff) AS fresh
+  FROM measured m JOIN known l ON l.doc_id = m.doc_id AND l.quality = 0
+  JOIN (VALUES {grid}) g(rule, cutoff) ON g.rule = m.rule
+  WHERE m.rule = '{r}' {f"AND m.doc_id NOT IN (SELECT doc_id FROM gone{i - 1})" if i else ""}
+  GROUP BY 1, 2),
+best{i} AS (
+  SELECT lang, cutoff FROM (
+    SELECT t.lang, t.cutoff, row_number() OVER (PARTITION BY t.lang
+      ORDER BY f.fresh / t.bad - t.k / t.n DESC, t.cutoff DESC) AS place
+    FROM tails t JOIN fresh{i} f ON t.lang IS NOT DISTINCT FROM f.lang AND t.cutoff = f.cutoff
+    WHERE t.rule = '{r}' AND t.n > 0 AND t.k < t.n AND t.tail <= 0.05 / t.tests
+      AND f.fresh > 0 AND f.fresh / t.bad - t.k / t.n > 0)
+  WHERE place = 1),
+gone{i} AS (
+  SELECT m.doc_id FROM measured m JOIN best{i} b
+    ON m.lang IS NOT DISTINCT FROM b.lang AND m.rule = '{r}' AND m.statistic > b.cutoff
+  {f"UNION SELECT doc_id FROM gone{i - 1}" if i else ""}),"""
+        for i, r in enumerate(rules)
+    )
     return rf"""
 WITH worded AS (
   SELECT doc_id, lang, coalesce(text, '') AS text,
@@ -230,12 +253,13 @@ measured AS (
   SELECT *, CASE {case} END AS statistic
   FROM counted, (SELECT DISTINCT rule FROM (VALUES {grid}) g(rule, cutoff))
   WHERE NOT base_failed),
+known AS (
+  SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 sums AS (
   SELECT m.lang, m.rule, g.cutoff, sum(l.quality) AS n, sum(1 - l.quality) AS bad,
          sum(CASE WHEN statistic > g.cutoff THEN l.quality ELSE 0 END) AS k,
          sum(CASE WHEN statistic > g.cutoff THEN 1 - l.quality ELSE 0 END) AS caught
-  FROM measured m JOIN (SELECT doc_id, min(quality) AS quality FROM labels
-                        WHERE quality IS NOT NULL GROUP BY doc_id) l USING (doc_id)
+  FROM measured m JOIN known l USING (doc_id)
   JOIN (VALUES {grid}) g(rule, cutoff) ON m.rule = g.rule
   GROUP BY 1, 2, 3),
 terms AS (
@@ -246,12 +270,8 @@ tails AS (
          sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
                  + i * ln({share}) + (n - i) * ln(1 - {share}))) AS tail
   FROM terms GROUP BY ALL),
-best AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY lang, rule
-      ORDER BY caught / greatest(bad, 1) - k / n DESC, cutoff DESC) AS place
-    FROM tails WHERE n > 0 AND k < n AND caught > 0 AND tail <= 0.05 / tests)
-  WHERE place = 1),
+{turns}
+best AS ({" UNION ALL ".join(f"SELECT lang, '{r}' AS rule, cutoff FROM best{i}" for i, r in enumerate(rules))}),
 rejected AS (
   SELECT m.doc_id, min(CASE {first.replace('rule =', 'm.rule =')} END) AS first
   FROM measured m JOIN best b
