@@ -1,15 +1,16 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation.
 
-Tokens fall into classes: each of the most frequent tokens is one, all others go by the
-hash of their ending. Two context classes predict the next one,
+Tokens fall into classes, whose number follows the vocabulary: each of the most frequent
+tokens is one, all others go by the hash of their ending. The two tokens before predict the
+next one's class c and then the token among its class,
 
-    s(w | a, b) = (R[a] C1 + R[b] C2) . Q[w] + bias[w],
+    r = (R[class of a] + D[a]) C1 + (R[class of b] + D[b]) C2,
+    s(c | a, b) = r . Q[c] + bias[c],    s(w | c, a, b) = r . S[w] + log share of w in c,
 
-and a token's probability is that of its class times its share of the class's
-training tokens. Parameters are learned by noise-contrastive
-estimation in numpy, on all training documents: every task trains on its rows,
-the tasks' parameters are averaged, and further rounds go on from there. With two
-context classes the normalisers of all contexts come from one batch of matrix products.
+both normalised exactly. Every common word has a row of D and of S; the other words of a class
+share one, and the probability of their row goes by their counts. Parameters
+are learned by noise-contrastive estimation in numpy, on all training documents: every task
+trains on its rows, the tasks' parameters are averaged, and further rounds go on from there.
 """
 
 from __future__ import annotations
@@ -28,24 +29,34 @@ from feedloom.functions.frames import written
 from feedloom.llm.common import lower_words
 
 SINGLES, ENDINGS, WIDTH, NOISE, BATCH = 256, 512, 16, 32, 8192
-CLASSES = SINGLES + ENDINGS
+CLASSES = SINGLES + ENDINGS  # at least
+WITHIN, CHUNK, BLOCK = 8, 32_768, 1024
 END = b""  # no word is empty
 _FLUSH = 500_000
 
 
-def ending_class(token: bytes) -> int:
-    return SINGLES + crc32(token[-3:]) % ENDINGS
+def endings_for(distinct: int) -> int:
+    """Ending classes for so many distinct words: about their square root, ENDINGS at least."""
+    return ENDINGS << max(0, round(np.log2(max(distinct, 1) / ENDINGS**2) / 2))
+
+
+def ending_class(token: bytes, endings: int = ENDINGS) -> int:
+    """The class of the last three bytes; an ending's words are dealt to more classes as these grow."""
+    pieces = endings // ENDINGS
+    piece = (crc32(token) % pieces).to_bytes(4, "little") if pieces > 1 else b""
+    return SINGLES + crc32(token[-3:] + piece) % endings
 
 
 class Parameters:
-    """R, C1, C2, Q and bias of the model, as views of one vector."""
+    """R, C1, C2, Q and bias of the classes, as views of one vector."""
 
-    shapes = ((CLASSES, WIDTH), (WIDTH, WIDTH), (WIDTH, WIDTH), (CLASSES, WIDTH), (CLASSES,))
-    size = sum(int(np.prod(s)) for s in shapes)
+    size = CLASSES * (2 * WIDTH + 1) + 2 * WIDTH**2  # for the least number of classes
 
     def __init__(self, flat: np.ndarray):
+        n_classes = (len(flat) - 2 * WIDTH**2) // (2 * WIDTH + 1)
+        shapes = ((n_classes, WIDTH), (WIDTH, WIDTH), (WIDTH, WIDTH), (n_classes, WIDTH), (n_classes,))
         self.flat, parts, at = flat, [], 0
-        for shape in self.shapes:
+        for shape in shapes:
             n = int(np.prod(shape))
             parts.append(flat[at : at + n].reshape(shape))
             at += n
@@ -54,15 +65,41 @@ class Parameters:
     @classmethod
     def start(cls, share: np.ndarray, seed: int = 42) -> Parameters:
         """Small random vectors; the bias is the log share of each class."""
-        made = cls(np.random.default_rng(seed).normal(0, 0.1, cls.size).astype(np.float32))
+        size = len(share) * (2 * WIDTH + 1) + 2 * WIDTH**2
+        made = cls(np.random.default_rng(seed).normal(0, 0.1, size).astype(np.float32))
         made.C1[:], made.C2[:] = np.eye(WIDTH), np.eye(WIDTH)
         made.bias[:] = np.log(share)
         return made
 
 
-def contexts(classes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """The classes one and two tokens before each token of one text; ends before its start."""
-    padded = np.concatenate(([end, end], classes))
+class Slots:
+    """What has a row of D and S: first the rest of each class, then each common word.
+
+    ``order`` lists the slots by class; those of class c are order[first[c]:first[c + 1]].
+    """
+
+    def __init__(self, class_of: np.ndarray, mass: np.ndarray, n_classes: int):
+        self.class_of = class_of
+        self.order = np.argsort(class_of, kind="stable")
+        self.first = np.searchsorted(class_of[self.order], np.arange(n_classes + 1))
+        # a class without mass has even shares of next to nothing
+        mass = mass + 1e-9
+        own = np.bincount(class_of, mass, n_classes)
+        self.log_share = np.log(mass / own[class_of])
+        self.until = np.cumsum(mass[self.order])
+
+    def noise(self, classes: np.ndarray, dice: np.random.Generator) -> np.ndarray:
+        """WITHIN slots of each class, drawn by their shares."""
+        below = np.concatenate(([0.0], self.until))[self.first]
+        low, high = below[classes], below[classes + 1]
+        drawn = low[:, None] + dice.random((len(classes), WITHIN)) * (high - low)[:, None]
+        at = np.searchsorted(self.until, drawn, side="right")
+        return self.order[np.clip(at, self.first[classes][:, None], self.first[classes + 1][:, None] - 1)]
+
+
+def contexts(slots: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The slots one and two tokens before each token of one text; ends before its start."""
+    padded = np.concatenate(([end, end], slots))
     return padded[1:-1], padded[:-2]
 
 
@@ -73,22 +110,72 @@ def _add(target: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     target += np.bincount(flat, rows.ravel(), target.size).reshape(target.shape)
 
 
+class Rows:
+    """Rows of D or S in training: few change in a step, and each counts how often it did."""
+
+    def __init__(self, start: np.ndarray, rate: float):
+        self.x, self.rate = start.astype(np.float32), rate
+        self.grown, self.times = np.ones_like(self.x), np.zeros(len(self.x), np.float32)
+
+    def add(self, at: np.ndarray, rows: np.ndarray) -> None:
+        order = np.argsort(at, kind="stable")
+        found = at[order]
+        first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        own, g = found[first], np.add.reduceat(rows[order], first, axis=0)
+        self.grown[own] += g**2
+        self.x[own] += self.rate * g / np.sqrt(self.grown[own])
+        self.times[own] += np.diff(np.append(first, len(at)))
+
+
 class Trainer:
     """Noise-contrastive estimation by Adagrad over batches of tokens.
 
-    A batch shares its noise classes, so its scores are one matrix product.
+    A batch shares its noise classes, so its scores are one matrix product. Without
+    ``slots`` a token is its class; with them D and S are learned too.
     """
 
-    def __init__(self, start: np.ndarray, share: np.ndarray, seed: int, rate: float = 0.1):
+    def __init__(
+        self,
+        start: np.ndarray,
+        share: np.ndarray,
+        seed: int,
+        rate: float = 0.1,
+        slots: Slots | None = None,
+        words: np.ndarray | None = None,
+    ):
         self.p, self.share, self.rate = Parameters(start.astype(np.float32)), share, rate
         self.log_kp = np.log(NOISE * share).astype(np.float32)
-        self.grown = np.full(Parameters.size, 1e-2, np.float32)
+        self.grown = np.full(len(start), 1e-2, np.float32)
         self.dice, self.tokens = np.random.default_rng(seed), 0
+        self.slots = slots
+        if slots is not None:
+            self.D, self.S = Rows(words[0], rate), Rows(words[1], rate)
+
+    def _within(self, word: np.ndarray, classes: np.ndarray, r: np.ndarray, dr: np.ndarray) -> None:
+        """Learn S from the tokens that do not fill their class; adds what r learns to dr."""
+        at = np.flatnonzero(classes >= SINGLES)
+        if not len(at):
+            return
+        word, noise, r = word[at], self.slots.noise(classes[at], self.dice), r[at]
+        own, other = self.S.x[word], self.S.x[noise]
+        # shares are both the noise and the bias, so only their number is left
+        up = 0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ij->i", r, own) - np.log(WITHIN)))
+        down = -0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ikj->ik", r, other) - np.log(WITHIN)))
+        up, down = up.astype(np.float32), down.astype(np.float32)
+        dr[at] += up[:, None] * own + np.einsum("ik,ikj->ij", down, other)
+        pulled = np.concatenate((up[:, None], down), axis=1)[:, :, None] * r[:, None, :]
+        self.S.add(np.concatenate((word[:, None], noise), axis=1).ravel(), pulled.reshape(-1, WIDTH))
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        p, g = self.p, Parameters(np.zeros(Parameters.size, np.float32))
-        noise = self.dice.choice(CLASSES, NOISE, p=self.share)
+        p, g, slots = self.p, Parameters(np.zeros(len(self.p.flat), np.float32)), self.slots
+        noise = self.dice.choice(len(self.share), NOISE, p=self.share)
+        target_slot, contexts_slots = word, np.concatenate((one, two))
+        if slots is not None:
+            word, one, two = (slots.class_of[x] for x in (word, one, two))
         a, b = p.R[one], p.R[two]
+        if slots is not None:
+            own = self.D.x[contexts_slots]
+            a, b = a + own[: len(a)], b + own[len(a) :]
         r = a @ p.C1 + b @ p.C2
         target, odds = p.Q[word], p.bias - self.log_kp
         data = np.einsum("ij,ij->i", r, target) + odds[word]
@@ -97,14 +184,19 @@ class Trainer:
         up = 0.5 - 0.5 * np.tanh(0.5 * data)
         down = -0.5 - 0.5 * np.tanh(0.5 * other)
         dr = up[:, None] * target + down @ p.Q[noise]
+        if slots is not None:
+            self._within(target_slot, word, r, dr)
         _add(g.Q, word, up[:, None] * r)
         np.add.at(g.Q, noise, down.T @ r)
-        g.bias += np.bincount(word, up, CLASSES)
+        g.bias += np.bincount(word, up, len(self.share))
         np.add.at(g.bias, noise, down.sum(0))
         g.C1 += a.T @ dr
         g.C2 += b.T @ dr
-        _add(g.R, one, dr @ p.C1.T)
-        _add(g.R, two, dr @ p.C2.T)
+        da, db = dr @ p.C1.T, dr @ p.C2.T
+        _add(g.R, one, da)
+        _add(g.R, two, db)
+        if slots is not None:
+            self.D.add(contexts_slots, np.concatenate((da, db)))
         g.flat /= len(word)
         self.grown += g.flat**2
         p.flat += self.rate * g.flat / np.sqrt(self.grown)
@@ -112,7 +204,10 @@ class Trainer:
 
 
 def log_probabilities(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Score tables A1[a, w] (bias included) and A2[b, w], and log normalisers Z[a, b]."""
+    """Score tables of classes A1[a, c] (bias included) and A2[b, c], and log normalisers Z[a, b].
+
+    For contexts without rows of their own.
+    """
     p = Parameters(flat)
     one, two = p.R @ p.C1 @ p.Q.T + p.bias, p.R @ p.C2 @ p.Q.T
     m1, m2 = one.max(1), two.max(1)
@@ -120,6 +215,41 @@ def log_probabilities(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
     return one.astype(np.float32), two.astype(np.float32), z.astype(np.float32)
 
 
+def _log_sum(scores: np.ndarray) -> np.ndarray:
+    top = scores.max(1)
+    return np.log(np.exp(scores - top[:, None]).sum(1, dtype=float)) + top
+
+
+def log_likelihoods(
+    flat: np.ndarray, words: np.ndarray, slots: Slots, word: np.ndarray, one: np.ndarray, two: np.ndarray
+) -> np.ndarray:
+    """Log probability of each slot ``word`` after the slots ``two`` and ``one``."""
+    p, (D, S) = Parameters(flat), words
+    found, log_share = np.empty(len(word)), slots.log_share.astype(np.float32)
+    for i in range(0, len(word), CHUNK):
+        w, a, b = (x[i : i + CHUNK] for x in (word, one, two))
+        c = slots.class_of[w]
+        r = (p.R[slots.class_of[a]] + D[a]) @ p.C1 + (p.R[slots.class_of[b]] + D[b]) @ p.C2
+        log_p = np.einsum("ij,ij->i", r, p.Q[c]).astype(float) + p.bias[c]
+        for j in range(0, len(w), 2048):
+            log_p[j : j + 2048] -= _log_sum(r[j : j + 2048] @ p.Q.T + p.bias)
+        by_class = np.argsort(c, kind="stable")
+        by_class = by_class[np.searchsorted(c[by_class], SINGLES) :]
+        log_p[by_class] += np.einsum("ij,ij->i", r[by_class], S[w[by_class]]) + slots.log_share[w[by_class]]
+        bounds = np.flatnonzero(np.diff(c[by_class], prepend=-1, append=-1))
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            own = c[by_class[low]]
+            members = slots.order[slots.first[own] : slots.first[own + 1]]
+            vectors, shares = S[members].T, log_share[members]
+            # a frequent class is cut too, so that the scores of a piece stay small
+            piece = max(1, 2_000_000 // len(members))
+            for j in range(low, high, piece):
+                at = by_class[j : min(j + piece, high)]
+                log_p[at] -= _log_sum(r[at] @ vectors + shares)
+        found[i : i + CHUNK] = log_p
+    return found
+
+
 def _token_counts(texts: DataFrame, text: str) -> DataFrame:
     """(word, c) of all tokens, ends included; every task sends each word once or a few times."""
 
@@ -167,44 +297,45 @@ def _frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
     return dict(sorted(found, key=lambda x: (-x[1], x[0])))
 
 
-def _class_mass(counts: DataFrame, singles: dict[bytes, int]) -> np.ndarray:
+def _class_mass(counts: DataFrame, singles: dict[bytes, int], endings: int) -> np.ndarray:
     """Training tokens of each class."""
+    n_classes = SINGLES + endings
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mass = np.zeros(CLASSES, np.int64)
+        mass = np.zeros(n_classes, np.int64)
         for batch in batches:
             words = batch.column("word").to_pylist()
-            at = [singles[w] if w in singles else ending_class(w) for w in words]
+            at = [singles[w] if w in singles else ending_class(w, endings) for w in words]
             np.add.at(mass, at, batch.column("c").to_numpy())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(CLASSES), pa.int32()), pa.array(mass)], names=["class", "mass"]
+            [pa.array(range(n_classes), pa.int32()), pa.array(mass)], names=["class", "mass"]
         )
 
     rows = counts.mapInArrow(summed, "class int, mass long").groupBy("class").agg(F.sum("mass"))
-    found = np.zeros(CLASSES)
+    found = np.zeros(n_classes)
     for row in rows.toLocalIterator():  # one row per class
         found[row[0]] = row[1]
     return found
 
 
-def _encoded(docs: DataFrame, text: str, common: dict[bytes, tuple[int, float, float]]) -> DataFrame:
-    """Texts as classes: n, classes (two bytes each), the words that are not common and their places.
+def _encoded(docs: DataFrame, text: str, common: dict[bytes, float], endings: int) -> DataFrame:
+    """Texts as slots: n, slots (four bytes each), the words that are not common and their places.
 
-    common: class, log10(c + 0.5) and log10 of the share in the class of the frequent words;
-    base and within are sums of the latter two over a text's common words.
+    common: log10(c + 0.5) of the frequent words in the order of their slots; base is its
+    sum over a text's common words.
     """
+    n_classes = SINGLES + endings
     rest = [c for c in docs.columns if c != text]
     schema = docs.select(*rest).schema
     for name, kind in (
-        ("n", "long"), ("n_common", "long"), ("base", "double"), ("within", "double"),
-        ("classes", "binary"), ("rare", ArrayType(BinaryType())), ("places", ArrayType(IntegerType())),
+        ("n", "long"), ("n_common", "long"), ("base", "double"),
+        ("slots", "binary"), ("rare", ArrayType(BinaryType())), ("places", ArrayType(IntegerType())),
     ):
         schema = schema.add(name, kind)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {w: i for i, w in enumerate(common)}
-        numbers = np.array([*common.values(), (0, 0.0, 0.0)])
-        classes, base, within = numbers[:, 0].astype(np.uint16), numbers[:, 1], numbers[:, 2]
+        base = np.array([*common.values(), 0.0])
         get, last = index.get, len(index)
         for batch in batches:
             rows = []
@@ -213,35 +344,76 @@ def _encoded(docs: DataFrame, text: str, common: dict[bytes, tuple[int, float, f
                 at = np.fromiter((get(w, last) for w in words), np.int64, len(words))
                 places = np.flatnonzero(at == last).tolist()
                 rare = [words[i] for i in places]
-                own = classes[at]
-                own[places] = [ending_class(w) for w in rare]
+                own = (at + n_classes).astype(np.int32)
+                own[places] = [ending_class(w, endings) for w in rare]
                 known = len(words) - len(rare)
-                rows.append((len(words), known, base[at].sum(), within[at].sum(), own.tobytes(), rare, places))
+                rows.append((len(words), known, base[at].sum(), own.tobytes(), rare, places))
             kinds = (
-                pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+                pa.int64(), pa.int64(), pa.float64(),
                 pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()),
             )
             made = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in rest] + made,
-                names=[*rest, "n", "n_common", "base", "within", "classes", "rare", "places"],
+                names=[*rest, "n", "n_common", "base", "slots", "rare", "places"],
             )
 
     return docs.select(*rest, text).mapInArrow(encoded, schema)
 
 
-def _trained(encoded: DataFrame, share: np.ndarray, end: int, rounds: tuple[int, ...]) -> np.ndarray:
-    """Parameters after one pass over all rows, averaged over tasks after each round.
+def _sent(trainer: Trainer) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """A task's parameters as (block, places, weights, values); of D and S the changed rows only."""
+    yield -1, np.zeros(1, np.int32), np.array([trainer.tokens], np.float32), trainer.p.flat
+    for part, rows in enumerate((trainer.D, trainer.S)):
+        for low in range(0, len(rows.x), BLOCK):
+            at = low + np.flatnonzero(rows.times[low : low + BLOCK])
+            if len(at):
+                places = (part * len(rows.x) + at).astype(np.int32)
+                yield part * (1 << 24) + low // BLOCK, places, rows.times[at], rows.x[at]
+
+
+_SENT = "block int, places binary, weights binary, rows binary"
+
+
+def _message(block: int, places: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    values = (block, places.tobytes(), weights.tobytes(), rows.astype(np.float32).tobytes())
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([v], k) for v, k in zip(values, kinds)], names=["block", "places", "weights", "rows"]
+    )
+
+
+def _mean(messages: pa.Table) -> pa.Table:
+    """The weighted mean of each place of a block, over the tasks that sent it."""
+    kinds = {"places": np.int32, "weights": np.float32, "rows": np.float32}
+    sent = [[np.frombuffer(x.as_py(), k) for x in messages.column(c)] for c, k in kinds.items()]
+    places = np.unique(np.concatenate(sent[0]))
+    width = len(sent[2][0]) // len(sent[0][0])
+    total, weight = np.zeros((len(places), width)), np.zeros(len(places))
+    for own, times, rows in zip(*sent):
+        at = np.searchsorted(places, own)  # a task sends a place once
+        total[at] += times[:, None].astype(float) * rows.reshape(-1, width)
+        weight[at] += times
+    block = messages.column("block")[0].as_py()
+    return pa.Table.from_batches([_message(block, places, weight.astype(np.float32), total / weight[:, None])])
+
+
+def _trained(
+    encoded: DataFrame, share: np.ndarray, slots: Slots, end: int, rounds: tuple[int, ...]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Parameters of classes and slots after one pass over all rows, averaged over tasks after each round.
 
     Rows fall into sum(rounds) folds by a hash; a round takes the next of its folds, the
-    first ones few, so that tasks part from a common, already useful model.
+    first ones few, so that tasks part from a common, already useful model. A row of D or S
+    is averaged over the tasks that changed it, by how often they did.
     """
     flat, folds, done = Parameters.start(share).flat, sum(rounds), 0
+    words = np.zeros((2, len(slots.class_of), WIDTH), np.float32)
     for number, take in enumerate(rounds):
-        start = flat
+        start = flat, words
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trainer, kept, held = Trainer(start, share, 42 + number, 0.2), [], 0
+            trainer, kept, held = Trainer(start[0], share, 42 + number, 0.2, slots, start[1]), [], 0
 
             def learn() -> None:
                 rows, i = [np.concatenate(x) for x in zip(*kept)], 0
@@ -252,8 +424,8 @@ def _trained(encoded: DataFrame, share: np.ndarray, end: int, rounds: tuple[int,
                     i += n
 
             for batch in batches:
-                for value in batch.column("classes"):
-                    own = np.frombuffer(value.as_py(), np.uint16).astype(np.int64)
+                for value in batch.column("slots"):
+                    own = np.frombuffer(value.as_py(), np.int32).astype(np.int64)
                     kept.append((own, *contexts(own, end)))
                     held += len(own)
                     if held >= BATCH:
@@ -262,47 +434,52 @@ def _trained(encoded: DataFrame, share: np.ndarray, end: int, rounds: tuple[int,
             if held:
                 learn()
             if trainer.tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([trainer.p.flat.tolist()], pa.list_(pa.float32())), pa.array([trainer.tokens])],
-                    names=["flat", "tokens"],
-                )
+                for message in _sent(trainer):
+                    yield _message(*message)
 
         fold = F.pmod(F.xxhash64(F.lit("fold"), "rid"), F.lit(folds))
-        rows = encoded.filter((fold >= done) & (fold < done + take)).select("classes")
-        sent = rows.mapInArrow(task, "flat array<float>, tokens long")
-        mean = (
-            sent.select("tokens", F.posexplode("flat").alias("i", "x"))
-            .groupBy("i")
-            .agg((F.sum(F.col("x") * F.col("tokens")) / F.sum("tokens")).alias("x"))
-        )
-        found = mean.toPandas()  # one row per parameter
-        if len(found):
-            flat = np.zeros(Parameters.size, np.float32)
-            flat[found["i"].to_numpy()] = found["x"].to_numpy()
+        rows = encoded.filter((fold >= done) & (fold < done + take)).select("slots")
+        means = rows.mapInArrow(task, _SENT).groupBy("block").applyInArrow(_mean, _SENT)
+        words = words.copy()
+        for row in means.toLocalIterator():  # as many rows as blocks
+            if row.block < 0:
+                flat = np.frombuffer(row.rows, np.float32)
+            else:
+                at = np.frombuffer(row.places, np.int32)
+                words.reshape(-1, WIDTH)[at] = np.frombuffer(row.rows, np.float32).reshape(-1, WIDTH)
         done += take
-    return flat
+    return flat, words
 
 
-def _scored(encoded: DataFrame, flat: np.ndarray, end: int) -> DataFrame:
-    """(rid, log10, rare): log10 of the classes of common tokens, and of each rare word's class."""
-    tables = log_probabilities(flat)
+def _scored(
+    encoded: DataFrame, flat: np.ndarray, words: np.ndarray, slots: Slots, rest: np.ndarray, end: int
+) -> DataFrame:
+    """(rid, log10, rare): log10 of common tokens, and of each rare word's slot per training token in it.
+
+    rest: training tokens of the rest of each class.
+    """
+    log10_rest = np.log10(np.maximum(rest, 1.0))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two, z = tables
         for batch in batches:
-            sums, rares = [], []
-            for classes, rare, places in zip(*[batch.column(c) for c in ("classes", "rare", "places")]):
-                own = np.frombuffer(classes.as_py(), np.uint16).astype(np.int64)
-                a, b = contexts(own, end)
-                log10 = (one[a, own] + two[b, own] - z[a, b]).astype(float) / np.log(10)
-                at = places.as_py()
-                each = log10[at].tolist()
+            texts = [np.frombuffer(v.as_py(), np.int32).astype(np.int64) for v in batch.column("slots")]
+            if not texts:
+                continue
+            before = [contexts(own, end) for own in texts]
+            word = np.concatenate(texts)
+            one, two = (np.concatenate(x) for x in zip(*before))
+            found = log_likelihoods(flat, words, slots, word, one, two) / np.log(10)
+            sums, rares, at = [], [], 0
+            for own, rare, places in zip(texts, batch.column("rare"), batch.column("places")):
+                log10, at = found[at : at + len(own)], at + len(own)
+                places = places.as_py()
+                each = log10[places]
                 merged: dict[bytes, list] = {}
-                for word, x in zip(rare.as_py(), each):
-                    seen = merged.setdefault(word, [0, 0.0])
+                for w, x in zip(rare.as_py(), (each - log10_rest[own[places]]).tolist()):
+                    seen = merged.setdefault(w, [0, 0.0])
                     seen[0] += 1
                     seen[1] += x
-                sums.append(float(log10.sum()) - sum(each))
+                sums.append(float(log10.sum() - each.sum()))
                 rares.append([{"word": w, "times": n, "log10": x} for w, (n, x) in merged.items()])
             kind = pa.list_(
                 pa.struct([("word", pa.binary()), ("times", pa.int64()), ("log10", pa.float64())])
@@ -312,7 +489,7 @@ def _scored(encoded: DataFrame, flat: np.ndarray, end: int) -> DataFrame:
                 names=["rid", "log10", "rare"],
             )
 
-    return encoded.select("rid", "classes", "rare", "places").mapInArrow(
+    return encoded.select("rid", "slots", "rare", "places").mapInArrow(
         scored, "rid long, log10 double, rare array<struct<word: binary, times: bigint, log10: double>>"
     )
 
@@ -333,7 +510,7 @@ def scores(
     of unseen tokens. Null and empty texts are an end alone; without
     training rows every token is certain to be unknown.
     Counts are exact and cover all words: the most frequent ones, ``common_words`` at most, travel
-    to the tasks, the others are looked up by a join on the word.
+    to the tasks and have vectors of their own, the others are looked up by a join on the word.
     """
     counts = written(_token_counts(docs.filter(F.col(training)), text))
     total, distinct, once = counts.agg(
@@ -342,41 +519,41 @@ def scores(
     unseen = min(0.5, (once + 0.5) / (total + 1)) if total else 1.0
     words = _frequent(counts, common_words)
     singles = [END, *[w for w in words if w != END][: SINGLES - 1]]
-    class_of = {w: i for i, w in enumerate(singles)}
-    mass = _class_mass(counts, class_of)
+    single_class = {w: i for i, w in enumerate(singles)}
+    endings = endings_for(distinct)
+    n_classes = SINGLES + endings
+    mass = _class_mass(counts, single_class, endings)
     share = (mass + 0.5) / (mass + 0.5).sum()
-
-    def entry(word: bytes, c: int) -> tuple[int, float, float]:
-        own = class_of[word] if word in class_of else ending_class(word)
-        return own, float(np.log10(c + 0.5)), float(np.log10(c / mass[own]))
-
-    common = {w: entry(w, c) for w, c in words.items()}
+    classes = [single_class[w] if w in single_class else ending_class(w, endings) for w in words]
+    class_of = np.array([*range(n_classes), *classes], np.int64)
+    own = np.array([*words.values()], float)
+    rest_mass = np.maximum(mass - np.bincount(class_of[n_classes:], own, n_classes), 0.0)
+    slots = Slots(class_of, np.concatenate((rest_mass, own)), n_classes)
+    common = {w: float(np.log10(c + 0.5)) for w, c in words.items()}
+    end = n_classes + list(words).index(END) if END in words else single_class[END]
     rest = [c for c in docs.columns if c != text]
     encoded = written(
-        _encoded(docs.select(*rest, text), text, common).withColumn("rid", F.monotonically_increasing_id())
+        _encoded(docs.select(*rest, text), text, common, endings).withColumn("rid", F.monotonically_increasing_id())
     )
     learning = encoded.filter(F.col(training))
-    flat = _trained(learning, share, class_of[END], rounds)
-    partial = written(_scored(encoded, flat, class_of[END]))
+    flat, vectors = _trained(learning, share, slots, end, rounds)
+    partial = written(_scored(encoded, flat, vectors, slots, rest_mass, end))
 
     asked = partial.select("rid", F.inline("rare"))
-    own = F.element_at(F.array(*[F.lit(float(m)) for m in mass]), F.col("class") + 1)
-    ending = (F.crc32(F.substring("word", -3, 3)) % ENDINGS + SINGLES).cast("int")
     looked = (
         asked.join(counts, "word", "left")
-        .withColumn("class", ending)
         .select(
             "rid",
             F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"),
             (F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("base"),
-            F.when(F.col("c") > 0, F.col("log10") + F.col("times") * F.log10(F.col("c") / own))
+            F.when(F.col("c") > 0, F.col("log10") + F.col("times") * F.log10("c"))
             .otherwise(0.0)
             .alias("seen"),
         )
         .groupBy("rid")
         .agg(*[F.sum(c).alias(f"rare_{c}") for c in ("known", "base", "seen")])
     )
-    joined = encoded.drop("classes", "rare", "places").join(partial.drop("rare"), "rid").join(
+    joined = encoded.drop("slots", "rare", "places").join(partial.drop("rare"), "rid").join(
         looked, "rid", "left"
     )
     zero = F.lit(0.0)
@@ -384,7 +561,7 @@ def scores(
     log_unseen = float(np.log10(unseen))
     log_known = float(np.log10(1 - unseen)) if total else 0.0
     score = (
-        F.col("log10") + F.col("within") + F.coalesce("rare_seen", zero)
+        F.col("log10") + F.coalesce("rare_seen", zero)
         + known * log_known + (F.col("n") - known) * log_unseen
     )
     per_token = float(np.log10(total + 0.5 * (distinct + 1)))

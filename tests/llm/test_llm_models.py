@@ -75,6 +75,42 @@ def test_training_beats_the_unigram_on_held_out_texts(spark):
     assert score > base + 0.2
 
 
+def test_words_of_one_class_have_their_own_followers(spark):
+    """Forty words of one ending, each with its own follower of another ending, among 300 more frequent words."""
+    dice = random.Random(2)
+
+    def text():
+        out = []
+        for _ in range(60):
+            i = dice.randrange(40)
+            out += [*(f"f{dice.randrange(300)}" for _ in range(9)), f"a{i}ing", f"b{i}ion"]
+        return " ".join(out)
+
+    learned = [*(text() for _ in range(250)), *(" ".join(f"f{i}" for i in range(300)) for _ in range(300))]
+    pairs = [(i, (i + k) % 40) for k in (0, 7) for i in range(40)]
+    docs = documents(spark, [*learned, *(f"f1 f2 a{i}ing b{j}ion" for i, j in pairs)])
+    docs = docs.withColumn("training", F.col("doc_id") < len(learned)).coalesce(1)
+    found = {r["doc_id"] - len(learned): r["score"] for r in fully(lm.scores(docs, "training", rounds=(1, 2)))}
+    right, wrong = (sum(found[i + k] for i in range(40)) / 40 for k in (0, 40))
+    assert right > wrong + 0.5
+
+
+def test_slots_are_normalised_and_classes_follow_the_vocabulary():
+    dice = np.random.default_rng(3)
+    class_of = np.concatenate((np.arange(lm.CLASSES), dice.integers(256, lm.CLASSES, 3000), np.arange(256)))
+    slots = lm.Slots(class_of, dice.integers(1, 50, len(class_of)) * (np.arange(len(class_of)) >= 256.0), lm.CLASSES)
+    flat = dice.normal(0, 0.5, lm.Parameters.size).astype(np.float32)
+    words = dice.normal(0, 0.5, (2, len(class_of), lm.WIDTH)).astype(np.float32)
+    every = np.flatnonzero((class_of >= 256) | (np.arange(len(class_of)) >= 256))
+    log_p = lm.log_likelihoods(flat, words, slots, every, np.full(len(every), 900), np.full(len(every), 5))
+    assert np.exp(log_p).sum() == pytest.approx(1, abs=1e-3)
+    drawn = slots.noise(np.repeat([300, 767], 500), dice)
+    assert {*class_of[drawn[:500]].ravel()} == {300} and {*class_of[drawn[500:]].ravel()} == {767}
+    assert [lm.endings_for(n) for n in (0, 1000, 2**18, 2**20, 2**24)] == [512, 512, 512, 1024, 4096]
+    assert max(lm.ending_class(f"w{i}ing".encode(), 4096) for i in range(99)) < 256 + 4096
+    assert len({lm.ending_class(f"w{i}ing".encode(), 4096) for i in range(99)}) == 8
+
+
 def test_gradients_raise_the_odds_of_what_was_seen():
     share = np.full(lm.CLASSES, 1 / lm.CLASSES)
     trainer = lm.Trainer(lm.Parameters.start(share).flat, share, 1, 0.2)
