@@ -144,6 +144,7 @@ class Trainer:
         words: np.ndarray | None = None,
     ):
         self.p, self.share, self.rate = Parameters(start.astype(np.float32)), share, rate
+        self.start = start, words
         self.log_kp = np.log(NOISE * share).astype(np.float32)
         self.grown = np.full(len(start), 1e-2, np.float32)
         self.dice, self.tokens = np.random.default_rng(seed), 0
@@ -153,18 +154,23 @@ class Trainer:
 
     def _within(self, word: np.ndarray, classes: np.ndarray, r: np.ndarray, dr: np.ndarray) -> None:
         """Learn S from the tokens that do not fill their class; adds what r learns to dr."""
-        at = np.flatnonzero(classes >= SINGLES)
+        at = np.argsort(classes, kind="stable")
+        at = at[np.searchsorted(classes[at], SINGLES) :]
         if not len(at):
             return
-        word, noise, r = word[at], self.slots.noise(classes[at], self.dice), r[at]
-        own, other = self.S.x[word], self.S.x[noise]
+        word, own_class, r = word[at], classes[at], r[at]
+        first = np.flatnonzero(np.diff(own_class, prepend=-1))
+        noise = self.slots.noise(own_class[first], self.dice)  # a class shares its noise in a batch
+        own = self.S.x[word]
+        other = np.repeat(self.S.x[noise], np.diff(np.append(first, len(at))), axis=0)
         # shares are both the noise and the bias, so only their number is left
-        up = 0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ij->i", r, own) - np.log(WITHIN)))
-        down = -0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ikj->ik", r, other) - np.log(WITHIN)))
-        up, down = up.astype(np.float32), down.astype(np.float32)
+        up = 0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ij->i", r, own) - np.float32(np.log(WITHIN))))
+        down = -0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ikj->ik", r, other) - np.float32(np.log(WITHIN))))
         dr[at] += up[:, None] * own + np.einsum("ik,ikj->ij", down, other)
-        pulled = np.concatenate((up[:, None], down), axis=1)[:, :, None] * r[:, None, :]
-        self.S.add(np.concatenate((word[:, None], noise), axis=1).ravel(), pulled.reshape(-1, WIDTH))
+        pushed = np.add.reduceat(down[:, :, None] * r[:, None, :], first, axis=0)
+        self.S.add(
+            np.concatenate((word, noise.ravel())), np.concatenate((up[:, None] * r, pushed.reshape(-1, WIDTH)))
+        )
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         p, g, slots = self.p, Parameters(np.zeros(len(self.p.flat), np.float32)), self.slots
@@ -216,8 +222,10 @@ def log_probabilities(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _log_sum(scores: np.ndarray) -> np.ndarray:
+    """Log of the rows' sums of exp(scores); overwrites these."""
     top = scores.max(1)
-    return np.log(np.exp(scores - top[:, None]).sum(1, dtype=float)) + top
+    scores -= top[:, None]
+    return np.log(np.exp(scores, out=scores).sum(1)).astype(float) + top
 
 
 def log_likelihoods(
@@ -225,27 +233,30 @@ def log_likelihoods(
 ) -> np.ndarray:
     """Log probability of each slot ``word`` after the slots ``two`` and ``one``."""
     p, (D, S) = Parameters(flat), words
-    found, log_share = np.empty(len(word)), slots.log_share.astype(np.float32)
+    found = np.empty(len(word))
+    # the bias as a last component, for which contexts have a one
+    to_class = np.column_stack((p.Q, p.bias)).T.copy()
+    to_word = np.column_stack((S, slots.log_share))[slots.order].astype(np.float32)
     for i in range(0, len(word), CHUNK):
         w, a, b = (x[i : i + CHUNK] for x in (word, one, two))
         c = slots.class_of[w]
         r = (p.R[slots.class_of[a]] + D[a]) @ p.C1 + (p.R[slots.class_of[b]] + D[b]) @ p.C2
         log_p = np.einsum("ij,ij->i", r, p.Q[c]).astype(float) + p.bias[c]
-        for j in range(0, len(w), 2048):
-            log_p[j : j + 2048] -= _log_sum(r[j : j + 2048] @ p.Q.T + p.bias)
+        r1 = np.column_stack((r, np.ones(len(r), np.float32)))
+        for j in range(0, len(w), 256):
+            log_p[j : j + 256] -= _log_sum(r1[j : j + 256] @ to_class)
         by_class = np.argsort(c, kind="stable")
         by_class = by_class[np.searchsorted(c[by_class], SINGLES) :]
         log_p[by_class] += np.einsum("ij,ij->i", r[by_class], S[w[by_class]]) + slots.log_share[w[by_class]]
         bounds = np.flatnonzero(np.diff(c[by_class], prepend=-1, append=-1))
         for low, high in zip(bounds[:-1], bounds[1:]):
             own = c[by_class[low]]
-            members = slots.order[slots.first[own] : slots.first[own + 1]]
-            vectors, shares = S[members].T, log_share[members]
+            vectors = to_word[slots.first[own] : slots.first[own + 1]].T
             # a frequent class is cut too, so that the scores of a piece stay small
-            piece = max(1, 2_000_000 // len(members))
+            piece = max(1, 250_000 // vectors.shape[1])
             for j in range(low, high, piece):
                 at = by_class[j : min(j + piece, high)]
-                log_p[at] -= _log_sum(r[at] @ vectors + shares)
+                log_p[at] -= _log_sum(r1[at] @ vectors)
         found[i : i + CHUNK] = log_p
     return found
 
@@ -362,21 +373,22 @@ def _encoded(docs: DataFrame, text: str, common: dict[bytes, float], endings: in
 
 
 def _sent(trainer: Trainer) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """A task's parameters as (block, places, weights, values); of D and S the changed rows only."""
-    yield -1, np.zeros(1, np.int32), np.array([trainer.tokens], np.float32), trainer.p.flat
+    """A task's changes as (block, places, weights, values); of D and S the changed rows only."""
+    yield -1, np.zeros(1, np.int32), np.array([trainer.tokens], np.float32), trainer.p.flat - trainer.start[0]
     for part, rows in enumerate((trainer.D, trainer.S)):
         for low in range(0, len(rows.x), BLOCK):
             at = low + np.flatnonzero(rows.times[low : low + BLOCK])
             if len(at):
                 places = (part * len(rows.x) + at).astype(np.int32)
-                yield part * (1 << 24) + low // BLOCK, places, rows.times[at], rows.x[at]
+                yield part * (1 << 24) + low // BLOCK, places, rows.times[at], rows.x[at] - trainer.start[1][part][at]
 
 
 _SENT = "block int, places binary, weights binary, rows binary"
 
 
 def _message(block: int, places: np.ndarray, weights: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-    values = (block, places.tobytes(), weights.tobytes(), rows.astype(np.float32).tobytes())
+    # changes are small numbers, for which half precision is enough
+    values = (block, places.tobytes(), weights.tobytes(), rows.astype(np.float16).tobytes())
     kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays(
         [pa.array([v], k) for v, k in zip(values, kinds)], names=["block", "places", "weights", "rows"]
@@ -384,8 +396,8 @@ def _message(block: int, places: np.ndarray, weights: np.ndarray, rows: np.ndarr
 
 
 def _mean(messages: pa.Table) -> pa.Table:
-    """The weighted mean of each place of a block, over the tasks that sent it."""
-    kinds = {"places": np.int32, "weights": np.float32, "rows": np.float32}
+    """The weighted mean change of each place of a block, over the tasks that sent it."""
+    kinds = {"places": np.int32, "weights": np.float32, "rows": np.float16}
     sent = [[np.frombuffer(x.as_py(), k) for x in messages.column(c)] for c, k in kinds.items()]
     places = np.unique(np.concatenate(sent[0]))
     width = len(sent[2][0]) // len(sent[0][0])
@@ -443,10 +455,10 @@ def _trained(
         words = words.copy()
         for row in means.toLocalIterator():  # as many rows as blocks
             if row.block < 0:
-                flat = np.frombuffer(row.rows, np.float32)
+                flat = flat + np.frombuffer(row.rows, np.float16)
             else:
                 at = np.frombuffer(row.places, np.int32)
-                words.reshape(-1, WIDTH)[at] = np.frombuffer(row.rows, np.float32).reshape(-1, WIDTH)
+                words.reshape(-1, WIDTH)[at] += np.frombuffer(row.rows, np.float16).reshape(-1, WIDTH)
         done += take
     return flat, words
 
