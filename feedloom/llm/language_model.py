@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
+from zlib import compress, crc32, decompress
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +42,9 @@ def endings_for(distinct: int) -> int:
 
 def ending_class(token: bytes, endings: int = ENDINGS) -> int:
     """The class of the last three bytes; an ending's words are dealt to more classes as these grow."""
-    pieces = endings // ENDINGS
-    piece = (crc32(token) % pieces).to_bytes(4, "little") if pieces > 1 else b""
-    return SINGLES + crc32(token[-3:] + piece) % endings
+    # four at least, so that no ending makes its class far larger than the others
+    piece = crc32(token) % (endings // ENDINGS * 4)
+    return SINGLES + crc32(token[-3:] + piece.to_bytes(4, "little")) % endings
 
 
 class Parameters:
@@ -261,6 +261,25 @@ def log_likelihoods(
     return found
 
 
+def _packed(words: np.ndarray) -> bytes:
+    """Rows of D and S as they travel to tasks."""
+    return compress(words.tobytes(), 1)
+
+
+def _unpacked(sent: bytes) -> np.ndarray:
+    return np.frombuffer(decompress(sent), np.float16).reshape(2, -1, WIDTH)
+
+
+def _slot_bytes(slots: np.ndarray) -> bytes:
+    """Two low bytes of each slot, then the high ones, which are mostly alike."""
+    return (slots & 0xFFFF).astype(np.uint16).tobytes() + (slots >> 16).astype(np.uint16).tobytes()
+
+
+def _slots_from(sent: bytes) -> np.ndarray:
+    low, high = np.frombuffer(sent, np.uint16).astype(np.int64).reshape(2, -1)
+    return low + (high << 16)
+
+
 def _token_counts(texts: DataFrame, text: str) -> DataFrame:
     """(word, c) of all tokens, ends included; every task sends each word once or a few times."""
 
@@ -330,7 +349,7 @@ def _class_mass(counts: DataFrame, singles: dict[bytes, int], endings: int) -> n
 
 
 def _encoded(docs: DataFrame, text: str, common: dict[bytes, float], endings: int) -> DataFrame:
-    """Texts as slots: n, slots (four bytes each), the words that are not common and their places.
+    """Texts as slots: n, slots (two low and two high bytes each), the words that are not common and their places.
 
     common: log10(c + 0.5) of the frequent words in the order of their slots; base is its
     sum over a text's common words.
@@ -355,10 +374,10 @@ def _encoded(docs: DataFrame, text: str, common: dict[bytes, float], endings: in
                 at = np.fromiter((get(w, last) for w in words), np.int64, len(words))
                 places = np.flatnonzero(at == last).tolist()
                 rare = [words[i] for i in places]
-                own = (at + n_classes).astype(np.int32)
+                own = at + n_classes
                 own[places] = [ending_class(w, endings) for w in rare]
                 known = len(words) - len(rare)
-                rows.append((len(words), known, base[at].sum(), own.tobytes(), rare, places))
+                rows.append((len(words), known, base[at].sum(), _slot_bytes(own), rare, places))
             kinds = (
                 pa.int64(), pa.int64(), pa.float64(),
                 pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()),
@@ -420,12 +439,13 @@ def _trained(
     is averaged over the tasks that changed it, by how often they did.
     """
     flat, folds, done = Parameters.start(share).flat, sum(rounds), 0
-    words = np.zeros((2, len(slots.class_of), WIDTH), np.float32)
+    words = np.zeros((2, len(slots.class_of), WIDTH), np.float16)
     for number, take in enumerate(rounds):
-        start = flat, words
+        start = flat, _packed(words)
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trainer, kept, held = Trainer(start[0], share, 42 + number, 0.2, slots, start[1]), [], 0
+            trainer = Trainer(start[0], share, 42 + number, 0.2, slots, _unpacked(start[1]))
+            kept, held = [], 0
 
             def learn() -> None:
                 rows, i = [np.concatenate(x) for x in zip(*kept)], 0
@@ -437,7 +457,7 @@ def _trained(
 
             for batch in batches:
                 for value in batch.column("slots"):
-                    own = np.frombuffer(value.as_py(), np.int32).astype(np.int64)
+                    own = _slots_from(value.as_py())
                     kept.append((own, *contexts(own, end)))
                     held += len(own)
                     if held >= BATCH:
@@ -470,17 +490,18 @@ def _scored(
 
     rest: training tokens of the rest of each class.
     """
-    log10_rest = np.log10(np.maximum(rest, 1.0))
+    log10_rest, sent = np.log10(np.maximum(rest, 1.0)), _packed(words)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors = _unpacked(sent)
         for batch in batches:
-            texts = [np.frombuffer(v.as_py(), np.int32).astype(np.int64) for v in batch.column("slots")]
+            texts = [_slots_from(v.as_py()) for v in batch.column("slots")]
             if not texts:
                 continue
             before = [contexts(own, end) for own in texts]
             word = np.concatenate(texts)
             one, two = (np.concatenate(x) for x in zip(*before))
-            found = log_likelihoods(flat, words, slots, word, one, two) / np.log(10)
+            found = log_likelihoods(flat, vectors, slots, word, one, two) / np.log(10)
             sums, rares, at = [], [], 0
             for own, rare, places in zip(texts, batch.column("rare"), batch.column("places")):
                 log10, at = found[at : at + len(own)], at + len(own)
