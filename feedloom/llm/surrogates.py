@@ -23,12 +23,13 @@ _TITLE = rf"\b(?:{_MALE}|{_FEMALE})\.?\x20"
 _SECRET = r"(?i:password|passwd|secret|token|api_key|apikey)\x20?[=:]\x20?[\"']?"
 
 # Types in the order in which they are tried. No pattern has a capturing group; repeats that
-# could be tried again at every length are possessive.
+# could be tried again at every length are possessive, and lengths are bounded only where a standard
+# bounds them (host names, phone numbers, IBANs, cards).
 PATTERNS: dict[str, str] = {
-    "email": r"(?<![\w.%+-])[\w.%+-]{1,128}+@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,24}\b",
+    "email": r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,127}[A-Za-z]{2,63}\b",
     # the short look-behind is cheap and spares the long one at most places
-    "secret": rf"(?<=[=:\"']|[=:]\x20)(?<={_SECRET})[A-Za-z0-9+/_-]{{8,128}}+"
-    r"|\bAKIA[0-9A-Z]{16}\b|\b(?=[0-9a-f]{0,40}[a-f])(?=[a-f]{0,40}[0-9])[0-9a-f]{32,64}+\b",
+    "secret": rf"(?<=[=:\"']|[=:]\x20)(?<={_SECRET})[A-Za-z0-9+/_-]{{8,}}+"
+    r"|\bAKIA[0-9A-Z]{16}\b|\b(?=[0-9]*+[a-f])(?=[a-f]*+[0-9])[0-9a-f]{32,}+\b",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
     "phone": r"\+\d{1,3}[\x20-]?\(?\d{2,4}\)?(?:[\x20-]?\d{2,4}){2,4}+\b"

@@ -102,6 +102,25 @@ def test_collisions_are_tried_again(spark):
     assert not set(found) & set(found.values())
 
 
+def test_long_entities_are_replaced_whole(spark):
+    dice = random.Random(5)
+    letters = "ABCDEFGHijklmnopqrst0123456789"
+    long = ["".join(dice.choice(letters) for _ in range(n)) for n in (129, 300, 10_000)]
+    long += [long[2][:128] + x for x in ("a" * 82, "b" * 82)]
+    hexes = ["".join(dice.choice("0123456789abcdef") for _ in range(n)) for n in (65, 128, 1000)] + ["1" * 60 + "a" * 5]
+    mail = ["x" * 200 + "@mail.example.com", "y@" + "a1." * 20 + "example.org"]
+    texts = [*(f"token={x} end" for x in long), *(f"key {x} end" for x in hexes), *(f"to {x} end" for x in mail)]
+    rows = {r["doc_id"]: r for r in fully(surrogates.with_surrogates(documents(spark, texts), "k"))}
+    made = [rows[i]["text"].removeprefix("token=").split()[-2] for i in range(len(texts))]
+    for i, x in enumerate([*long, *hexes, *mail]):
+        assert rows[i]["n_entities"] == 1 and rows[i]["text"].endswith(" end")
+        assert len(made[i]) == len(x)
+        for at in range(0, len(x) - 20, 20):
+            assert x[at : at + 20] not in rows[i]["text"] or x in mail or len(set(x[at : at + 20])) == 1
+    assert "x" * 9 not in made[-2] and not made[-1].startswith("y@a1.")
+    assert len(set(made)) == len(made) and made[3][:100] != made[4][:100]
+
+
 def test_odd_rows_and_empty_tables(spark):
     docs = odd_rows(spark).withColumn("rid", F.lit("clash")).withColumn("parts", F.lit(1)).withColumn("news", F.lit(2))
     rows = fully(surrogates.with_surrogates(docs, "k"))
