@@ -483,6 +483,16 @@ def _trained(
     return flat, words
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about eight chunks of tokens, a row at least."""
+    for batch in batches:
+        sizes = np.cumsum([len(v.as_py()) // 4 for v in batch.column("slots")])
+        cuts = np.flatnonzero(np.diff(sizes // (8 * CHUNK), prepend=0)).tolist()
+        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if high > low:
+                yield batch.slice(low, high - low)
+
+
 def _scored(
     encoded: DataFrame, flat: np.ndarray, words: np.ndarray, slots: Slots, rest: np.ndarray, end: int
 ) -> DataFrame:
@@ -494,10 +504,8 @@ def _scored(
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = _unpacked(sent)
-        for batch in batches:
+        for batch in _pieces(batches):
             texts = [_slots_from(v.as_py()) for v in batch.column("slots")]
-            if not texts:
-                continue
             before = [contexts(own, end) for own in texts]
             word = np.concatenate(texts)
             one, two = (np.concatenate(x) for x in zip(*before))
