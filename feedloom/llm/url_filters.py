@@ -41,11 +41,11 @@ def validity(entries: DataFrame) -> DataFrame:
     )
 
 
-def questions(url: Column, depth: int = 8) -> Column:
+def questions(url: Column, depth: int | None = None) -> Column:
     """The (kind, value) pairs a URL asks for, as an array.
 
     url: the URL without scheme and fragment; host; domain: the host and every parent with
-    a dot; folder: host and the first 1 to ``depth`` parts of the path.
+    a dot; folder: host and the first parts of the path, 1 to ``depth`` or all of them.
     """
     host, path = host_of(url), F.regexp_extract(url, _URL, 2)
     labels = F.split(host, r"\.")
@@ -60,7 +60,7 @@ def questions(url: Column, depth: int = 8) -> Column:
         lambda i: pair("domain", F.array_join(F.slice(labels, i, n), ".")),
     )
     parts = F.filter(F.split(path, "/"), lambda p: p != "")
-    top = F.least(F.size(parts), F.lit(depth))
+    top = F.size(parts) if depth is None else F.least(F.size(parts), F.lit(depth))
     folders = F.when(
         top > 0,
         F.transform(
@@ -77,7 +77,7 @@ def judged(
     entries: DataFrame,
     url: str = "url",
     fetched: str = "fetched",
-    depth: int = 8,
+    depth: int | None = None,
 ) -> DataFrame:
     """The input rows with host, n_entries (intervals that hold), blocked and first_list added.
 

@@ -200,6 +200,20 @@ def test_captures_match_a_replay_of_the_lists(spark):
     assert sum(n > 0 for n, _ in rows.values()) > 30
 
 
+def test_folders_of_any_depth_are_asked_for(spark):
+    path = "/".join(f"p{i}" for i in range(30))
+    captures = spark.createDataFrame(
+        [(n, f"http://a.b/{'/'.join(path.split('/')[:n])}/x.html", day(9)) for n in (7, 8, 9, 29)],
+        "page_id long, url string, fetched date",
+    )
+    entries = spark.createDataFrame(
+        [("l", "folder", f"a.b/{'/'.join(path.split('/')[:n])}", day(1), "add") for n in (8, 9, 29)],
+        "list string, kind string, value string, dated date, action string",
+    )
+    found = {r["page_id"]: r["n_entries"] for r in fully(url_filters.judged(captures, entries))}
+    assert found == {7: 0, 8: 1, 9: 2, 29: 3}
+
+
 def test_urls_odd_rows_and_empty_tables(spark):
     rows = [(1, "http://a.b/c", day(3)), (1, "http://a.b/c", day(3)), (None, None, None), (2, "http://" + "x" * 50_000, day(1))]
     captures = spark.createDataFrame(rows, "page_id long, url string, fetched date").withColumn("rid", F.lit("clash")).withColumn("at", F.lit(1))
