@@ -8,7 +8,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontaminate, language_model, lines, mixing, quality, simhash, surrogates, token_counts, toxicity, url_filters
+from feedloom.functions.frames import written
+from feedloom.llm import (
+    conversation_trie,
+    decontaminate,
+    language_model,
+    lines,
+    mixing,
+    periodic_runs,
+    quality,
+    simhash,
+    surrogates,
+    token_counts,
+    toxicity,
+    url_filters,
+)
+from feedloom.llm.common import word_count
 
 # Where the rank files are on the machine that plans the job.
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
@@ -407,3 +422,118 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     edits = token_counts.drawn_edits("doc_id", "text")
     ranks = token_counts.read_ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
     return token_counts.edited_counts(docs.withColumn("edits", edits), ranks)
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """Texts as they are, but in every tenth document, by a hash of its id, a group of words repeats to the end."""
+    space = " \t\n\x0b\x0c\r"
+    words = F.split(F.btrim("text", F.lit(space)), r"[\x20\x09-\x0D]+")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    n, g = F.size("_w"), F.expr("_h div 10")
+    a = g % n
+    period = F.expr("1").cast("long") + F.floor((n - F.col("_a")) / (g % 8 + 3))
+    listed = docs.select("*", h.alias("_h")).withColumn(
+        "_w", F.when((F.col("_h") % 10 == 0) & (word_count(F.col("text")) > 0), words)
+    )
+    placed = listed.withColumn("_a", a).withColumn("_p", period)
+    turned = F.transform(
+        F.sequence(F.lit(0).cast("long"), n.cast("long") - 1),
+        lambda i: F.element_at(
+            "_w", F.when(i < F.col("_a"), i + 1).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p") + 1).cast("int")
+        ),
+    )
+    text = F.when(F.col("_w").isNull(), F.col("text")).otherwise(F.array_join(turned, " "))
+    return placed.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(_with_periods(docs))
+    first = F.array_sort(
+        "runs",
+        lambda x, y: F.when(x["length"] != y["length"], F.sign(y["length"] - x["length"]).cast("int"))
+        .when(x["start"] != y["start"], F.sign(x["start"] - y["start"]).cast("int"))
+        .otherwise(F.sign(x["period"] - y["period"]).cast("int")),
+    )
+    best = F.get(first, F.lit(0))
+    line = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("1000").cast("long").alias("_k"),
+        F.sha2(F.array_join(F.transform(line, lambda t: F.concat(t, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "start", "length", "period",
+        F.expr("_k * length div period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
+def _rebuilt(turns: DataFrame) -> DataFrame:
+    """Conversations that begin with some turns of every twentieth one."""
+    base = turns.filter(F.col("conv_id") % 20 == 0).select(
+        F.col("conv_id").alias("base"), F.slice("turns", 1, 3).alias("lead")
+    )
+    h = (F.crc32(F.col("conv_id").cast("string")) % 4).cast("int")
+    placed = turns.withColumn("base", F.col("conv_id") - F.col("conv_id") % 20).withColumn("h", h)
+    own = F.expr("slice(turns, h + 1, greatest(size(turns) - h, 0))")
+    lead = F.when(F.col("lead").isNull(), F.slice("turns", 1, 0)).otherwise(F.expr("slice(lead, 1, h)"))
+    return placed.join(base, "base", "left").select("conv_id", F.concat(lead, own).alias("turns"))
+
+
+@_query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.sequences(_table(spark, folder, "conversations"))
+    return conversation_trie.prefix_nodes(_rebuilt(written(turns)))
+
+
+SQL["op13_conversation_trie"] = r"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+         md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+spelled AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM own),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+             list_transform(range(1, len(s) + 1), lambda i: CAST(ord(s[i]) AS BIGINT))),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+             lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+           4294967295) % 4 AS h
+  FROM spelled),
+rebuilt AS (
+  SELECT i.conv_id, b.pos, b.words, b.said FROM ids i JOIN own b ON b.conv_id = i.base WHERE b.pos <= i.h
+  UNION ALL
+  SELECT i.conv_id, o.pos, o.words, o.said FROM ids i JOIN own o ON o.conv_id = i.conv_id WHERE o.pos > i.h),
+placed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS depth, words, said FROM rebuilt),
+prefixes AS (
+  SELECT conv_id, depth, words, list(said) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM placed
+  UNION ALL
+  SELECT conv_id, 0, 0, [] FROM ids),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words
+  FROM prefixes GROUP BY path, depth),
+ended AS (
+  SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ends
+  FROM (SELECT conv_id, path, depth, max(depth) OVER (PARTITION BY conv_id) AS last FROM prefixes)
+  WHERE depth = last GROUP BY path),
+below AS (
+  SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (
+  SELECT n.*, coalesce(b.n_children, 0) AS n_children FROM nodes n LEFT JOIN below b ON b.path = n.path),
+sums AS (
+  SELECT p.path, sum((u.n_convs - 1) * u.words) AS saved_tokens,
+         sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves
+  FROM counted u JOIN prefixes p ON p.conv_id = u.conv_id AND p.depth <= u.depth
+  GROUP BY p.path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, t.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM counted n JOIN sums s ON s.path = n.path
+LEFT JOIN nodes t ON n.depth > 0 AND t.path = list_slice(n.path, 1, n.depth - 1)
+LEFT JOIN ended e ON e.path = n.path
+"""
