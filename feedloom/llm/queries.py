@@ -18,6 +18,7 @@ from feedloom.llm import (
     periodic_runs,
     quality,
     simhash,
+    suffix_buckets,
     surrogates,
     token_counts,
     toxicity,
@@ -471,6 +472,19 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = suffix_buckets.without_repeats(docs)
+    return found.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def _rebuilt(turns: DataFrame) -> DataFrame:
     """Conversations that begin with some turns of every twentieth one."""
     base = turns.filter(F.col("conv_id") % 20 == 0).select(
