@@ -30,11 +30,11 @@ from pyspark.sql import types as T
 from feedloom.functions.frames import written
 from feedloom.llm.common import free_name, text_key
 
-_SLICE = 1 << 20  # window starts hashed together; longer texts are cut, with the overlap they need
-_HELD = 1 << 20  # items a task settles among themselves before they travel
+_SLICE = 1 << 19  # window starts hashed together; longer texts are cut, with the overlap they need
+_HELD = 1 << 19  # items a task settles among themselves before they travel
 _BUCKET_BYTES = 1 << 24  # bytes of text to a bucket
-_SEEN = 8  # times a task has to see a q-gram for it to be counted
-_HOT_ITEMS, _HOT_SHARE = 20_000, 4e-6
+_REFINED = 1 << 21  # bytes refined together, and those of one more q-gram
+_HOT_ITEMS, _HOT_SHARE = 20_000, 1e-5
 
 _FLAGS = "d long, k long, lo long, n int"
 _PACKED = "bucket int, settled boolean, d binary, k binary, items binary, name binary, sub binary, low binary, high binary, n binary"
@@ -152,8 +152,8 @@ def _items(slices: list[tuple[int, int, bytes]], width: int, hot: np.ndarray | N
 def _hot_names(keyed: DataFrame, width: int) -> np.ndarray:
     """q-grams that stand for more than a given share of all items, sorted.
 
-    Counted per task first; those that no task sees ``_SEEN`` times among a million items are below it
-    anyway. At most 1 / share of them, so the driver holds two megabytes.
+    Counted per task first; those that are rarer in every piece of every task are rarer in all. At
+    most 1 / share of them, so the driver holds less than a megabyte.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +161,7 @@ def _hot_names(keyed: DataFrame, width: int) -> np.ndarray:
 
         def tell() -> pa.RecordBatch:
             name, often = np.unique(np.concatenate(held), return_counts=True)
-            often_enough = often >= _SEEN
+            often_enough = often >= max(2, 0.75 * _HOT_SHARE * size)
             name = np.concatenate([name[often_enough].view(np.int64), [0]])
             often = np.concatenate([often[often_enough], [size]])
             total = np.zeros(len(name), bool)
@@ -310,9 +310,24 @@ def refined(data: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
 
 
 def _refine(table: pa.Table, width: int) -> pa.Table:
-    """Windows of items that a smaller text has too, as stretches."""
-    d, k, lo = (table.column(c).to_numpy() for c in ("d", "k", "lo"))
+    """Windows of items that a smaller text has too, as stretches. Some q-grams at a time."""
+    name, d, k, lo = (table.column(c).to_numpy() for c in ("name", "d", "k", "lo"))
     blobs = table.column("bytes").to_pylist()
+    order = np.argsort(name, kind="stable")
+    size = np.array([len(b) for b in blobs])[order]
+    new = np.concatenate([[True], np.diff(name[order]) != 0])
+    piece = (np.cumsum(size) - size)[new] // _REFINED
+    starts = np.flatnonzero(new)[np.concatenate([[True], np.diff(piece) != 0])]
+    out = []
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
+        own = order[a:b]
+        out.append(_repeats(d[own], k[own], lo[own], [blobs[i] for i in own.tolist()], width))
+    columns = [np.concatenate(c) for c in zip(*out)]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, list(_SETTLED)[:4])], schema=pa.schema(list(_SETTLED)[:4]))
+
+
+def _repeats(d: np.ndarray, k: np.ndarray, lo: np.ndarray, blobs: list[bytes], width: int) -> tuple:
+    """(d, k, lo, n) of the stretches of windows in some items that an item of smaller d has too."""
     size = np.array([len(b) for b in blobs])
     data = np.frombuffer(b"".join(blobs), np.uint8)
     end = np.cumsum(size)
@@ -322,13 +337,11 @@ def _refine(table: pa.Table, width: int) -> pa.Table:
     least = np.full(int(pointer.max(initial=-1)) + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, pointer[live], d[item[live]])
     gone = live[least[pointer[live]] < d[item[live]]]
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(gone) != 1) | (np.diff(item[gone]) != 0)])) if len(gone) else gone
-    n = np.diff(new, append=len(gone))
+    new = np.ones(len(gone), bool)
+    new[1:] = (np.diff(gone) != 1) | (np.diff(item[gone]) != 0)
+    new = np.flatnonzero(new)
     own = item[gone[new]]
-    at = gone[new] - (end - size)[own]
-    return pa.table(
-        [pa.array(d[own]), pa.array(k[own]), pa.array(lo[own] + at), pa.array(n, pa.int32())], schema=pa.schema(list(_SETTLED)[:4])
-    )
+    return d[own], k[own], lo[own] + gone[new] - (end - size)[own], np.diff(new, append=len(gone))
 
 
 def repeated_windows(

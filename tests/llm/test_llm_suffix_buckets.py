@@ -65,8 +65,7 @@ def test_equals_brute_force(spark, width):
 
 
 def test_hot_buckets_and_cut_texts_change_nothing(spark, monkeypatch):
-    """With every q-gram that a task sees twice held for hot, and texts cut every 64 windows."""
-    monkeypatch.setattr(suffix_buckets, "_SEEN", 2)
+    """With every q-gram that a task sees twice held for hot."""
     monkeypatch.setattr(suffix_buckets, "_HOT_ITEMS", 1)
     texts = drawn(7, 50)
     texts += [prose(1, 40) + f" {i}" for i in range(30)]
