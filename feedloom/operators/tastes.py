@@ -14,7 +14,7 @@ def taste_shares(interactions: DataFrame, news: DataFrame, level: str = "categor
     name = f"user_{level}"
     summed = table.groupBy("user_id", level).agg(F.sum("clicks").alias(f"{name}_clicks"))
     everything = F.sum(f"{name}_clicks").over(Window.partitionBy("user_id"))
-    return summed.withColumn(f"{name}_affinity", F.col(f"{name}_clicks") / everything)
+    return summed.withColumn(f"{name}_share", F.col(f"{name}_clicks") / everything)
 
 
 def _profiles(table: DataFrame) -> DataFrame:
@@ -70,7 +70,7 @@ def with_tastes(
         for level in ("category", "subcategory")
     }
     shares = {
-        f"user_{level}_affinity": F.coalesce(clicks / F.col("_all"), F.lit(0.0))
+        f"user_{level}_share": F.coalesce(clicks / F.col("_all"), F.lit(0.0))
         for level, clicks in liked.items()
     }
     return rows.withColumns({"user_category_clicks": liked["category"], **shares}).drop(

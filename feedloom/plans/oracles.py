@@ -248,10 +248,10 @@ def _events_items() -> dict[str, tuple[tuple[str, ...], str]]:
 CTES.update(_events_items())
 
 
-def _affinity(log: str, level: str) -> str:
+def _share(log: str, level: str) -> str:
     return f"""
         SELECT user_id, {level}, count(*) AS user_{level}_clicks,
-               count(*) / t.total AS user_{level}_affinity
+               count(*) / t.total AS user_{level}_share
         FROM {log} JOIN news USING (news_id)
         JOIN (SELECT user_id, count(*) AS total FROM {log} JOIN news USING (news_id)
               WHERE label = 1 GROUP BY user_id) t USING (user_id)
@@ -261,7 +261,7 @@ def _affinity(log: str, level: str) -> str:
 
 for _log in ("olog", "otrain"):
     for _level in ("category", "subcategory"):
-        CTES[f"{_log}_{_level}"] = ((_log, "news"), _affinity(_log, _level))
+        CTES[f"{_log}_{_level}"] = ((_log, "news"), _share(_log, _level))
 
 
 def _turns(dow: str) -> str:
@@ -624,7 +624,7 @@ CTES["rec_cut"] = (
     ),
 )
 for _log in ("elog",):
-    CTES[f"{_log}_category"] = ((_log, "news"), _affinity(_log, "category"))
+    CTES[f"{_log}_category"] = ((_log, "news"), _share(_log, "category"))
 CTES["ranked_cut"] = (
     ("pool", "elog", "elog_item", "elog_category"),
     _CUT.replace("JOIN ebase USING (news_id)", "").format(
@@ -634,7 +634,7 @@ CTES["ranked_cut"] = (
             SELECT p.user_id, p.news_id, i.category, i.item_age_hours,
                    -125e-3 * (row_number() OVER (PARTITION BY p.user_id ORDER BY p.news_id)
                               / count(*) OVER (PARTITION BY p.user_id))
-                   + 2e0 * i.item_smoothed_ctr + 5e-1 * coalesce(a.user_category_affinity, 0)
+                   + 2e0 * i.item_smoothed_ctr + 5e-1 * coalesce(a.user_category_share, 0)
                    + 25e-2 * u.user_ctr AS base
             FROM pool p SEMI JOIN customer ON c_custkey = p.user_id
             JOIN elog_item i USING (news_id)
@@ -709,7 +709,7 @@ _ITEM_ALL = f"""
 """
 _MEDIAN = """
     middle AS MATERIALIZED (
-        SELECT timestamp_unix AS t FROM (
+        SELECT max(timestamp_unix) AS t FROM (
             SELECT timestamp_unix, row_number() OVER (ORDER BY timestamp_unix) AS rn,
                    count(*) OVER () AS n FROM {log} WHERE timestamp_unix IS NOT NULL)
         WHERE rn = ceil(n * 0.5))
@@ -734,7 +734,7 @@ def _prepared() -> str:
         {_MEDIAN.format(log="kept").strip()},
         timed AS MATERIALIZED (
             SELECT * EXCLUDE (t) REPLACE (coalesce(timestamp_unix, t) AS timestamp_unix)
-            FROM kept LEFT JOIN middle ON true),
+            FROM kept, middle),
         prepared AS (
             SELECT d.*, CASE WHEN timestamp_unix <= b1 THEN 'train'
                              WHEN timestamp_unix <= b2 THEN 'val' ELSE 'test' END AS split
@@ -826,7 +826,7 @@ def _statements() -> dict[str, str]:
             f"""
             SELECT impression_id, user_id, news_id, label,
                    coalesce(timestamp_unix, t) AS timestamp_unix
-            FROM parsed LEFT JOIN middle ON true
+            FROM parsed, middle
             """,
             _MEDIAN.format(log="parsed"),
         ),
@@ -939,18 +939,18 @@ def _statements() -> dict[str, str]:
             """,
         ),
         "build_item_features": sql("elog_item", f"SELECT {_ITEM_ALL} FROM elog_item"),
-        "user_category_affinity": sql(
+        "user_category_share": sql(
             "olog_category",
             f"""
             SELECT user_id, category, user_category_clicks,
-                   {r("user_category_affinity")} AS user_category_affinity FROM olog_category
+                   {r("user_category_share")} AS user_category_share FROM olog_category
             """,
         ),
-        "user_subcategory_affinity": sql(
+        "user_subcategory_share": sql(
             "olog_subcategory",
             f"""
             SELECT user_id, subcategory, user_subcategory_clicks,
-                   {r("user_subcategory_affinity")} AS user_subcategory_affinity
+                   {r("user_subcategory_share")} AS user_subcategory_share
             FROM olog_subcategory
             """,
         ),
@@ -958,9 +958,9 @@ def _statements() -> dict[str, str]:
             "olog news olog_category olog_subcategory",
             f"""
             SELECT o.impression_id, o.user_id, o.news_id, CAST(o.label AS BIGINT) AS label,
-                   {r("coalesce(a.user_category_affinity, 0)")} AS user_category_affinity,
+                   {r("coalesce(a.user_category_share, 0)")} AS user_category_share,
                    coalesce(a.user_category_clicks, 0) AS user_category_clicks,
-                   {r("coalesce(b.user_subcategory_affinity, 0)")} AS user_subcategory_affinity
+                   {r("coalesce(b.user_subcategory_share, 0)")} AS user_subcategory_share
             FROM olog o LEFT JOIN news n USING (news_id)
             LEFT JOIN olog_category a ON a.user_id = o.user_id AND a.category = n.category
             LEFT JOIN olog_subcategory b
@@ -1001,9 +1001,9 @@ def _statements() -> dict[str, str]:
                    o.ctx_position_in_impression, o.ctx_impression_size,
                    {r("o.ctx_position_in_impression / o.ctx_impression_size")}
                        AS ctx_normalized_position,
-                   {r("coalesce(a.user_category_affinity, 0)")} AS user_category_affinity,
+                   {r("coalesce(a.user_category_share, 0)")} AS user_category_share,
                    coalesce(a.user_category_clicks, 0) AS user_category_clicks,
-                   {r("coalesce(b.user_subcategory_affinity, 0)")} AS user_subcategory_affinity,
+                   {r("coalesce(b.user_subcategory_share, 0)")} AS user_subcategory_share,
                    {matrix_user}, {matrix_user_rounded}, u.user_top_category,
                    i.category, i.subcategory,
                    CAST(coalesce(i.item_title_length, 0) AS BIGINT) AS item_title_length,
@@ -1171,7 +1171,7 @@ def _statements() -> dict[str, str]:
                 SELECT 'baseline' AS model, impression_id, news_id, label, score FROM scored
                 UNION ALL
                 SELECT 'linear', impression_id, news_id, label,
-                       {r("2e0 * coalesce(item_smoothed_ctr, 0) + 5e-1 * coalesce(user_category_affinity, 0)")}
+                       {r("2e0 * coalesce(item_smoothed_ctr, 0) + 5e-1 * coalesce(user_category_share, 0)")}
                 FROM scored LEFT JOIN otrain_category USING (user_id, category)),
             per_model AS ({_metrics("models", "model, impression_id")})
             """,

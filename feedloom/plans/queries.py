@@ -221,13 +221,13 @@ def build_item_features(spark, folder):
 
 
 @query
-def user_category_affinity(spark, folder):
+def user_category_share(spark, folder):
     log, news = tables.orders_log(spark, folder), tables.part_news(spark, folder)
     return tidy(tastes.taste_shares(log, news, "category"))
 
 
 @query
-def user_subcategory_affinity(spark, folder):
+def user_subcategory_share(spark, folder):
     log, news = tables.orders_log(spark, folder), tables.part_news(spark, folder)
     return tidy(tastes.taste_shares(log, news, "subcategory"))
 
@@ -241,9 +241,9 @@ def relational_features(spark, folder):
         "user_id",
         "news_id",
         "label",
-        "user_category_affinity",
+        "user_category_share",
         "user_category_clicks",
-        "user_subcategory_affinity",
+        "user_subcategory_share",
     )
 
 
@@ -476,7 +476,7 @@ def model_comparison_ranked(spark, folder):
     log, news = _scored_lines(spark, folder), tables.part_news(spark, folder)
     past = _split_log(spark, folder).filter(F.col("split") == "train")
     rows = written(tastes.with_tastes(log, news, learned_from=past))
-    ranker = pairwise.LinearRanker(["item_smoothed_ctr", "user_category_affinity"], [2.0, 0.5])
+    ranker = pairwise.LinearRanker(["item_smoothed_ctr", "user_category_share"], [2.0, 0.5])
     scorers = {
         "baseline": lambda df: df,
         "linear": lambda df: ranker.score(df).withColumn("score", decimals(F.col("score"))),
@@ -553,7 +553,7 @@ def recommend(spark, folder):
 
 # Weights of a linear ranker whose results SQL can follow.
 _GIVEN = pairwise.LinearRanker(
-    ["ctx_normalized_position", "item_smoothed_ctr", "user_category_affinity", "user_ctr"],
+    ["ctx_normalized_position", "item_smoothed_ctr", "user_category_share", "user_ctr"],
     [-0.125, 2.0, 0.5, 0.25],
 )
 
