@@ -50,22 +50,52 @@ def test_similar_users_equal_brute_force(spark, skewed_clicks, min_common):
     assert {u: v for u, v in expected.items() if v} == dict(found)
 
 
-def test_the_hottest_items_make_no_pairs(spark, skewed_clicks):
-    sets, clicks = skewed_clicks
+def drawn_profiles(spark, shape, seed=5, n=150):
+    """Item sets of profiles: few hot items, many rare ones, a wide middle, or all of it."""
+    dice = random.Random(seed)
+    sets = {}
+    for p in range(n):
+        hot = {i for i in range(30) if dice.random() < (0.9 if shape == "hot" else 0.4)}
+        rare = {1000 + dice.randrange(200) for _ in range(dice.randrange(6))}
+        middle = {100 + dice.randrange(60) for _ in range(dice.randrange(12))}
+        sets[p] = {"hot": hot | rare, "rare": rare, "middle": middle, "all": hot | rare | middle}[shape]
+    if shape == "all":
+        sets |= {n + i: set(range(25)) for i in range(40)}  # copies: ties everywhere
+    rows = [(p, i) for p, own in sets.items() for i in own]
+    return sets, spark.createDataFrame(rows, "profile long, news_id long")
+
+
+@pytest.mark.parametrize("shape", ["hot", "rare", "middle", "all"])
+@pytest.mark.parametrize(("keep", "min_common"), [(3, 3), (7, 1)])
+def test_best_overlaps_equal_brute_force(spark, shape, keep, min_common):
+    sets, items = drawn_profiles(spark, shape)
+    found = defaultdict(list)
+    for r in collaborative.best_overlaps(items, keep, min_common).collect():
+        found[r["left"]].append((-r["common"], r["right"]))
+    for p, own in sets.items():
+        near = [(-len(own & s), v) for v, s in sets.items() if v != p and len(own & s) >= min_common]
+        assert sorted(found[p])[:keep] == sorted(near)[:keep], p
+
+
+def test_fifty_hot_items_make_few_pairs(spark):
+    """All profiles share fifty items; all pairs would be 360,000, and 18 million rows of a join."""
+    rows = [(p, i) for p in range(600) for i in [*range(50), 1000 + p // 2, 5000 + p]]
+    items = spark.createDataFrame(rows, "profile long, news_id long")
+    made: dict = {}
+    found = defaultdict(list)
+    for r in collaborative.best_overlaps(items, 5, 3, made).collect():
+        found[r["left"]].append((-r["common"], r["right"]))
+    assert sum(made.values()) < 600 * 20, made
+    for p in (0, 1, 77, 599):
+        twin = p ^ 1
+        near = [(-51, twin)] + [(-50, v) for v in range(8) if v not in (p, twin)]
+        assert sorted(found[p])[:5] == near[:5]
+
+
+def test_equal_sets_are_one_profile(spark, skewed_clicks):
+    _, clicks = skewed_clicks
     profiles = collaborative.click_profiles(clicks, 3)
-    items = collaborative.profile_items(clicks, profiles)
     assert profiles.filter(F.col("user_id") % 3 == 0).select("profile").distinct().count() <= 2
-    overlaps = collaborative.profile_overlaps(items, 3).count()
-    by_profile = defaultdict(set)
-    for r in items.collect():
-        by_profile[r["profile"]].add(r["news_id"])
-    keys = sorted(by_profile)
-    expected = sum(
-        len(by_profile[a] & by_profile[b]) >= 3
-        for i, a in enumerate(keys)
-        for b in keys[i + 1 :]
-    )
-    assert overlaps == expected
 
 
 def test_collaborative_candidates_equal_brute_force(spark, skewed_clicks):
