@@ -207,6 +207,41 @@ def test_content_candidates_equal_brute_force(spark, grid):
     assert dict(found) == expected
 
 
+def drawn_vectors(dice, n, terms):
+    """Texts of a few topics, with unit vectors of some of the topic's terms and some others."""
+    out = []
+    for _ in range(n):
+        topic = dice.randrange(40) * 20
+        own = {topic + dice.randrange(20) for _ in range(6)} | {dice.randrange(terms) for _ in range(2)}
+        weights = [dice.uniform(0.2, 1.0) for _ in own]
+        length = math.sqrt(sum(w * w for w in weights))
+        out.append((sorted(own), [w / length for w in weights]))
+    return out
+
+
+@pytest.mark.parametrize(("n_texts", "block_texts", "routes"), [(6000, 500, 512), (3000, 100, 4)])
+def test_pruned_search_is_exact_and_compares_few(spark, monkeypatch, n_texts, block_texts, routes):
+    monkeypatch.setattr(content, "ROUTES", routes)
+    dice = random.Random(11)
+    texts, users = drawn_vectors(dice, n_texts, 800), drawn_vectors(dice, 60, 800)
+    kind = "terms array<int>, weights array<double>"
+    vectors = spark.createDataFrame([(i, *v) for i, v in enumerate(texts)], f"text_id long, {kind}")
+    asking = spark.createDataFrame([(i, i % 3, *v) for i, v in enumerate(users)], f"user_id long, texts int, {kind}")
+    compared = spark.sparkContext.accumulator(0)
+    found = defaultdict(list)
+    rows = content.similar_texts(asking, vectors, 10, 16, block_texts, compared).collect()
+    for r in rows:
+        found[r["user_id"]].append((-math.floor(r["score"] * 1e6 + 0.5), r["text_id"]))
+    for u, (terms, weights) in enumerate(users):
+        own = dict(zip(terms, weights))
+        scored = [
+            (-math.floor(sum(own.get(t, 0.0) * w for t, w in zip(*v)) * 1e6 + 0.5), i)
+            for i, v in enumerate(texts)
+        ]
+        assert sorted(found[u])[: 10 + u % 3] == sorted(scored)[: 10 + u % 3]
+    assert compared.value < (0.15 if routes > 4 else 0.4) * len(users) * n_texts
+
+
 def test_popularity_and_pool(spark, interactions, news):
     items = build_item_features(interactions, news)
     clicks = collaborative.user_clicks(interactions)
