@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.columns import decimals
 from feedloom.functions.frames import written
-from feedloom.operators import attribution, collaborative, content, context_features
+from feedloom.operators import attribution, boosting, collaborative, content, context_features
 from feedloom.operators import item_features, metrics
 from feedloom.operators import neural, pairwise, segments
 from feedloom.operators import pool, popularity, prep, rerank, tastes, user_features
@@ -637,27 +637,27 @@ def pairwise_linear_ranker(spark, folder):
 @query
 def pairwise_tree_ranker(spark, folder):
     train, val, test = _ready_matrix(spark, folder)
-    ranker = pairwise.TreeRanker.fit(train, val, n_estimators=5)
-    return tidy(_evaluated(ranker.score(test)))
+    return tidy(_evaluated(boosting.TreeRanker.fit(train, val).score(test)))
 
 
 @query
 def grid_search(spark, folder):
+    """All combinations of the default grid: two sizes each of six models from the same scans."""
     train, val, _ = _ready_matrix(spark, folder)
-    grid = {"max_depth": [4, 6], "learning_rate": [0.05, 0.1], "n_estimators": [1, 2]}
-    _, trials = pairwise.grid_search(train, val, grid)
+    _, trials = boosting.grid_search(train, val)
+    columns = ("max_depth", "learning_rate", "n_estimators", "trees", "ndcg_at_10")
     return tidy(
         spark.createDataFrame(
-            [tuple(t[c] for c in ("max_depth", "learning_rate", "n_estimators", "ndcg_at_10")) for t in trials],
-            "max_depth int, learning_rate double, n_estimators int, ndcg_at_10 double",
+            [tuple(t[c] for c in columns) for t in trials],
+            "max_depth int, learning_rate double, n_estimators int, trees int, ndcg_at_10 double",
         )
     )
 
 
 @query
 def feature_importance(spark, folder):
-    train, _, _ = _ready_matrix(spark, folder)
-    ranker = pairwise.TreeRanker.fit(train, n_estimators=3)
+    train, val, _ = _ready_matrix(spark, folder)
+    ranker = boosting.TreeRanker.fit(train, val)
     return tidy(attribution.top_features(ranker.importance(spark)))
 
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.operators.pairwise import TreeRanker
+from feedloom.operators.boosting import TreeRanker
 from feedloom.operators.popularity import lookup_scores
 from feedloom.sources.logs import path_exists
 
@@ -44,7 +44,7 @@ class ServingInputs:
 
 def load_serving(spark: SparkSession, artifacts: str, features: str) -> ServingInputs:
     """The tree ranker if there is one, else the popularity baseline; features if present."""
-    if path_exists(spark, f"{artifacts}/tree_ranker/metadata"):
+    if path_exists(spark, f"{artifacts}/tree_ranker/forest"):
         ranker = TreeRanker.load(spark, f"{artifacts}/tree_ranker")
         kind, scorer = "tree_ranker", ranker.score
     elif path_exists(spark, f"{artifacts}/baseline/item_scores"):
