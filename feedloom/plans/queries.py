@@ -664,10 +664,56 @@ def feature_importance(spark, folder):
 @query
 def mlp_ranker(spark, folder):
     train, val, test = _ready_matrix(spark, folder)
-    ranker = neural.NeuralRanker.fit(train, val, epochs=6, epochs_per_stage=3)
+    ranker = neural.NeuralRanker.fit(train, val)
     return tidy(_evaluated(ranker.score(test)))
 
 
+@query
+def model_comparison_fitted(spark, folder):
+    """The popularity baseline against fitted tree and neural rankers, on held-out rows."""
+    split, news = written(_split_log(spark, folder)), tables.part_news(spark, folder)
+    matrix = written(build_matrix(split, news).drop("title", "abstract"))
+    train, val, test = [matrix.filter(F.col("split") == name) for name in ("train", "val", "test")]
+    tree, network = boosting.TreeRanker.fit(train, val), neural.NeuralRanker.fit(train, val)
+    items = item_features.build_item_features(split.filter(F.col("split") == "train"), news)
+    scores = written(popularity.baseline_scores(items))
+    scorers = {
+        "popularity_baseline": lambda df: popularity.lookup_scores(df, scores),
+        "tree_ranker": tree.score,
+        "neural_ranker": network.score,
+    }
+    rounded = {
+        name: lambda df, f=f: f(df).withColumn("score", decimals(F.col("score"), 9))
+        for name, f in scorers.items()
+    }
+    return tidy(metrics.compare_models(test, rounded))
+
+
+@query
+def recommend_fitted(spark, folder):
+    """Recommendations scored by a tree ranker that is fitted on the log's own features."""
+    log, news = tables.events_log(spark, folder), tables.part_news(spark, folder)
+    past = written(prep.dedup_interactions(log.withColumn("history_length", F.lit(0))))
+    matrix = written(build_matrix(prep.time_split(past), news).drop("title", "abstract"))
+    train, val = (matrix.filter(F.col("split") == s) for s in ("train", "val"))
+    # candidates have no place in a past impression
+    known = [c for c in feature_columns(train) if c.startswith(("ctx_hour", "ctx_day", "item_", "user_"))]
+    ranker = boosting.TreeRanker.fit(train, val, known)
+    users = written(user_features.build_user_features(log.withColumn("history_length", F.lit(0)), news))
+    items = _events_items(spark, folder)
+    candidates = written(_events_pool(spark, folder, *_events_parts(spark, folder)))
+    table = written(taste_table(clicked(log), news))
+    now = log.agg(F.max("timestamp_unix")).first()[0]
+    ranked = recommending.recommend(
+        tables.requests(spark, folder),
+        users,
+        items,
+        candidates,
+        scorer=lambda rows: ranker.score(candidate_features(rows, news, table, now)),
+    )
+    return tidy(ranked)
+
+
 @query
 def attribution_linear(spark, folder):
     train, _, test = _ready_matrix(spark, folder)
