@@ -1,13 +1,15 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation.
 
 Tokens fall into classes, whose number follows the vocabulary: each of the most frequent
-tokens is one, all others go by the hash of their ending. The two tokens before predict the
-next one's class c and then the token among its class,
+tokens is one, all others go by the hash of their ending. Classes in a row make a group. The two tokens
+before predict the next one's group g, then its class c among the group, then the token among its class,
 
     r = (R[class of a] + D[a]) C1 + (R[class of b] + D[b]) C2,
-    s(c | a, b) = r . Q[c] + bias[c],    s(w | c, a, b) = r . S[w] + log share of w in c,
+    s(g | a, b) = r . U[g] + top[g],    s(c | g, a, b) = r . Q[c] + bias[c],
+    s(w | c, a, b) = r . S[w] + log share of w in c,
 
-both normalised exactly. Every common word has a row of D and of S; the other words of a class
+all normalised exactly, so that a token asks for some groups, classes and words, not for all
+classes. Every common word has a row of D and of S; the other words of a class
 share one, and the probability of their row goes by their counts. Parameters
 are learned by noise-contrastive estimation in numpy, on all training documents: every task
 trains on its rows, the tasks' parameters are averaged, and further rounds go on from there.
@@ -30,7 +32,8 @@ from feedloom.llm.common import lower_words
 
 SINGLES, ENDINGS, WIDTH, NOISE, BATCH = 256, 512, 16, 32, 8192
 CLASSES = SINGLES + ENDINGS  # at least
-WITHIN, CHUNK, BLOCK = 8, 32_768, 1024
+WITHIN, CHUNK, BLOCK = 8, 131_072, 1024
+GROUP = 32  # classes of a group; their numbers are whole multiples of it
 END = b""  # no word is empty
 _FLUSH = 500_000
 
@@ -48,27 +51,35 @@ def ending_class(token: bytes, endings: int = ENDINGS) -> int:
 
 
 class Parameters:
-    """R, C1, C2, Q and bias of the classes, as views of one vector."""
+    """R, C1, C2, Q and bias of the classes, U and top of the groups, as views of one vector."""
 
-    size = CLASSES * (2 * WIDTH + 1) + 2 * WIDTH**2  # for the least number of classes
+    size = CLASSES * (2 * WIDTH + 1) + 2 * WIDTH**2 + CLASSES // GROUP * (WIDTH + 1)  # for the least number of classes
 
     def __init__(self, flat: np.ndarray):
-        n_classes = (len(flat) - 2 * WIDTH**2) // (2 * WIDTH + 1)
-        shapes = ((n_classes, WIDTH), (WIDTH, WIDTH), (WIDTH, WIDTH), (n_classes, WIDTH), (n_classes,))
+        per_group = GROUP * (2 * WIDTH + 1) + WIDTH + 1
+        n_groups = (len(flat) - 2 * WIDTH**2) // per_group
+        n_classes = n_groups * GROUP
+        shapes = (
+            (n_classes, WIDTH), (WIDTH, WIDTH), (WIDTH, WIDTH), (n_classes, WIDTH), (n_classes,),
+            (n_groups, WIDTH), (n_groups,),
+        )
         self.flat, parts, at = flat, [], 0
         for shape in shapes:
             n = int(np.prod(shape))
             parts.append(flat[at : at + n].reshape(shape))
             at += n
-        self.R, self.C1, self.C2, self.Q, self.bias = parts
+        self.R, self.C1, self.C2, self.Q, self.bias, self.U, self.top = parts
 
     @classmethod
     def start(cls, share: np.ndarray, seed: int = 42) -> Parameters:
-        """Small random vectors; the bias is the log share of each class."""
-        size = len(share) * (2 * WIDTH + 1) + 2 * WIDTH**2
+        """Small random vectors; the biases are log shares of each group and of classes in it."""
+        n_groups = len(share) // GROUP
+        size = len(share) * (2 * WIDTH + 1) + 2 * WIDTH**2 + n_groups * (WIDTH + 1)
         made = cls(np.random.default_rng(seed).normal(0, 0.1, size).astype(np.float32))
         made.C1[:], made.C2[:] = np.eye(WIDTH), np.eye(WIDTH)
-        made.bias[:] = np.log(share)
+        top = np.log(share.reshape(n_groups, GROUP).sum(1))
+        made.top[:] = top
+        made.bias[:] = np.log(share) - np.repeat(top, GROUP)
         return made
 
 
@@ -145,7 +156,10 @@ class Trainer:
     ):
         self.p, self.share, self.rate = Parameters(start.astype(np.float32)), share, rate
         self.start = start, words
-        self.log_kp = np.log(NOISE * share).astype(np.float32)
+        self.top_share = share.reshape(-1, GROUP).sum(1)
+        self.top_share /= self.top_share.sum()
+        self.log_kp = np.log(NOISE * self.top_share).astype(np.float32)
+        self.groups = Slots(np.arange(len(share)) // GROUP, share, len(self.top_share))
         self.grown = np.full(len(start), 1e-2, np.float32)
         self.dice, self.tokens = np.random.default_rng(seed), 0
         self.slots = slots
@@ -172,9 +186,29 @@ class Trainer:
             np.concatenate((word, noise.ravel())), np.concatenate((up[:, None] * r, pushed.reshape(-1, WIDTH)))
         )
 
+    def _in_group(self, word: np.ndarray, r: np.ndarray, dr: np.ndarray, g: Parameters) -> None:
+        """Learn Q and bias of the classes among their groups; adds what r learns to dr."""
+        at = np.argsort(word // GROUP, kind="stable")
+        word, r = word[at], r[at]
+        group = word // GROUP
+        first = np.flatnonzero(np.diff(group, prepend=-1))
+        counts = np.diff(np.append(first, len(at)))
+        noise = self.groups.noise(group[first], self.dice)  # a group shares its noise in a batch
+        odds = (self.p.bias - self.groups.log_share - np.log(WITHIN)).astype(np.float32)
+        own, other = self.p.Q[word], np.repeat(self.p.Q[noise], counts, axis=0)
+        data = np.einsum("ij,ij->i", r, own) + odds[word]
+        against = np.einsum("ij,ikj->ik", r, other) + np.repeat(odds[noise], counts, axis=0)
+        up, down = 0.5 - 0.5 * np.tanh(0.5 * data), -0.5 - 0.5 * np.tanh(0.5 * against)
+        dr[at] += up[:, None] * own + np.einsum("ik,ikj->ij", down, other)
+        pushed = np.add.reduceat(down[:, :, None] * r[:, None, :], first, axis=0)
+        _add(g.Q, word, up[:, None] * r)
+        _add(g.Q, noise.ravel(), pushed.reshape(-1, WIDTH))
+        g.bias += np.bincount(word, up, len(self.share))
+        g.bias += np.bincount(noise.ravel(), np.add.reduceat(down, first, axis=0).ravel(), len(self.share))
+
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         p, g, slots = self.p, Parameters(np.zeros(len(self.p.flat), np.float32)), self.slots
-        noise = self.dice.choice(len(self.share), NOISE, p=self.share)
+        noise = self.dice.choice(len(self.top_share), NOISE, p=self.top_share)
         target_slot, contexts_slots = word, np.concatenate((one, two))
         if slots is not None:
             word, one, two = (slots.class_of[x] for x in (word, one, two))
@@ -183,19 +217,21 @@ class Trainer:
             own = self.D.x[contexts_slots]
             a, b = a + own[: len(a)], b + own[len(a) :]
         r = a @ p.C1 + b @ p.C2
-        target, odds = p.Q[word], p.bias - self.log_kp
-        data = np.einsum("ij,ij->i", r, target) + odds[word]
-        other = r @ p.Q[noise].T + odds[noise]
+        group = word // GROUP
+        target, odds = p.U[group], p.top - self.log_kp
+        data = np.einsum("ij,ij->i", r, target) + odds[group]
+        other = r @ p.U[noise].T + odds[noise]
         # sigmoids by tanh, which cannot overflow
         up = 0.5 - 0.5 * np.tanh(0.5 * data)
         down = -0.5 - 0.5 * np.tanh(0.5 * other)
-        dr = up[:, None] * target + down @ p.Q[noise]
+        dr = up[:, None] * target + down @ p.U[noise]
+        self._in_group(word, r, dr, g)
         if slots is not None:
             self._within(target_slot, word, r, dr)
-        _add(g.Q, word, up[:, None] * r)
-        np.add.at(g.Q, noise, down.T @ r)
-        g.bias += np.bincount(word, up, len(self.share))
-        np.add.at(g.bias, noise, down.sum(0))
+        _add(g.U, group, up[:, None] * r)
+        np.add.at(g.U, noise, down.T @ r)
+        g.top += np.bincount(group, up, len(self.top_share))
+        np.add.at(g.top, noise, down.sum(0))
         g.C1 += a.T @ dr
         g.C2 += b.T @ dr
         da, db = dr @ p.C1.T, dr @ p.C2.T
@@ -209,16 +245,28 @@ class Trainer:
         self.tokens += len(word)
 
 
-def log_probabilities(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Score tables of classes A1[a, c] (bias included) and A2[b, c], and log normalisers Z[a, b].
+class _Normalisers:
+    """Log normalisers of every class after a and b: of its group and of the classes in it."""
+
+    def __init__(self, p: Parameters):
+        self.p = p
+
+    def __getitem__(self, places: tuple[int, int]) -> np.ndarray:
+        p = self.p
+        r = p.R[places[0]] @ p.C1 + p.R[places[1]] @ p.C2
+        inside = np.exp(p.Q @ r + p.bias).reshape(-1, GROUP).sum(1)
+        return np.repeat(np.log(np.exp(p.U @ r + p.top).sum()) + np.log(inside), GROUP)
+
+
+def log_probabilities(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, _Normalisers]:
+    """Score tables of classes A1[a, c] (biases included) and A2[b, c], and log normalisers Z[a, b].
 
     For contexts without rows of their own.
     """
     p = Parameters(flat)
-    one, two = p.R @ p.C1 @ p.Q.T + p.bias, p.R @ p.C2 @ p.Q.T
-    m1, m2 = one.max(1), two.max(1)
-    z = np.log(np.exp(one - m1[:, None]) @ np.exp(two - m2[:, None]).T) + m1[:, None] + m2
-    return one.astype(np.float32), two.astype(np.float32), z.astype(np.float32)
+    score = p.Q + np.repeat(p.U, GROUP, axis=0)
+    one = p.R @ p.C1 @ score.T + p.bias + np.repeat(p.top, GROUP)
+    return one.astype(np.float32), (p.R @ p.C2 @ score.T).astype(np.float32), _Normalisers(p)
 
 
 def _log_sum(scores: np.ndarray) -> np.ndarray:
@@ -235,17 +283,26 @@ def log_likelihoods(
     p, (D, S) = Parameters(flat), words
     found = np.empty(len(word))
     # the bias as a last component, for which contexts have a one
+    to_group = np.column_stack((p.U, p.top)).T.copy()
     to_class = np.column_stack((p.Q, p.bias)).T.copy()
     to_word = np.column_stack((S, slots.log_share))[slots.order].astype(np.float32)
     for i in range(0, len(word), CHUNK):
         w, a, b = (x[i : i + CHUNK] for x in (word, one, two))
         c = slots.class_of[w]
+        g = c // GROUP
         r = (p.R[slots.class_of[a]] + D[a]) @ p.C1 + (p.R[slots.class_of[b]] + D[b]) @ p.C2
-        log_p = np.einsum("ij,ij->i", r, p.Q[c]).astype(float) + p.bias[c]
+        log_p = np.einsum("ij,ij->i", r, p.Q[c] + p.U[g]).astype(float) + p.bias[c] + p.top[g]
         r1 = np.column_stack((r, np.ones(len(r), np.float32)))
-        for j in range(0, len(w), 256):
-            log_p[j : j + 256] -= _log_sum(r1[j : j + 256] @ to_class)
+        for j in range(0, len(w), 2048):
+            log_p[j : j + 2048] -= _log_sum(r1[j : j + 2048] @ to_group)
+        # all tokens of a class, and so of a group, stand together
         by_class = np.argsort(c, kind="stable")
+        bounds = np.flatnonzero(np.diff(g[by_class], prepend=-1, append=-1))
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            own = g[by_class[low]] * GROUP
+            for j in range(low, high, 4096):
+                at = by_class[j : min(j + 4096, high)]
+                log_p[at] -= _log_sum(r1[at] @ to_class[:, own : own + GROUP])
         by_class = by_class[np.searchsorted(c[by_class], SINGLES) :]
         log_p[by_class] += np.einsum("ij,ij->i", r[by_class], S[w[by_class]]) + slots.log_share[w[by_class]]
         bounds = np.flatnonzero(np.diff(c[by_class], prepend=-1, append=-1))
@@ -484,10 +541,10 @@ def _trained(
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows in pieces of about eight chunks of tokens, a row at least."""
+    """The rows in pieces of about two chunks of tokens, a row at least."""
     for batch in batches:
         sizes = np.cumsum([len(v.as_py()) // 4 for v in batch.column("slots")])
-        cuts = np.flatnonzero(np.diff(sizes // (8 * CHUNK), prepend=0)).tolist()
+        cuts = np.flatnonzero(np.diff(sizes // (2 * CHUNK), prepend=0)).tolist()
         for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
             if high > low:
                 yield batch.slice(low, high - low)

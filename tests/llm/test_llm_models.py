@@ -194,3 +194,33 @@ def test_toxicity_odd_rows_and_empty_tables(spark):
     assert toxicity.scored(docs.limit(0), model).count() == 0
     one_label = toxicity.fit(docs, labels.filter("toxic = 0"))
     assert len(one_label) == 1 and one_label.weight[0] < 0
+
+
+def test_scores_equal_a_plain_softmax_of_the_trained_model(spark):
+    """Groups, classes and words of every context, summed one by one."""
+    dice = np.random.default_rng(5)
+    n = lm.CLASSES
+    class_of = np.concatenate((np.arange(n), dice.integers(256, n, 2000), np.arange(256)))
+    mass = dice.integers(1, 50, len(class_of)) * (np.arange(len(class_of)) >= 256.0)
+    slots = lm.Slots(class_of, mass, n)
+    share = np.bincount(class_of, mass + 0.5, n)
+    share /= share.sum()
+    words = dice.normal(0, 0.3, (2, len(class_of), lm.WIDTH)).astype(np.float32)
+    trainer = lm.Trainer(lm.Parameters.start(share).flat, share, 1, 0.2, slots, words)
+    for _ in range(20):
+        trainer.step(*dice.integers(256, len(class_of), (3, 512)))
+    p, D, S = trainer.p, trainer.D.x, trainer.S.x
+    word, one, two = dice.integers(256, len(class_of), (3, 40))
+    found = lm.log_likelihoods(p.flat, np.stack([D, S]), slots, word, one, two)
+    for w, a, b, log_p in zip(word, one, two, found):
+        r = (p.R[class_of[a]] + D[a]) @ p.C1 + (p.R[class_of[b]] + D[b]) @ p.C2
+        c = class_of[w]
+        top = np.exp(p.U @ r + p.top)
+        classes = [x for x in range(n) if x // lm.GROUP == c // lm.GROUP]
+        inside = {x: math.exp(p.Q[x] @ r + p.bias[x]) for x in classes}
+        plain = math.log(top[c // lm.GROUP] / top.sum()) + math.log(inside[c] / sum(inside.values()))
+        if c >= lm.SINGLES:
+            among = np.flatnonzero(class_of == c)
+            each = np.exp(S[among] @ r + slots.log_share[among])
+            plain += math.log(each[among == w][0] / each.sum())
+        assert log_p == pytest.approx(plain, abs=1e-4)
