@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 from feedloom.functions.frames import written
 from feedloom.llm.common import lower_words
 
-SINGLES, ENDINGS, WIDTH, NOISE, BATCH = 256, 512, 16, 32, 8192
+SINGLES, ENDINGS, WIDTH, NOISE, BATCH = 256, 512, 16, 16, 16_384
 CLASSES = SINGLES + ENDINGS  # at least
 WITHIN, CHUNK, BLOCK = 8, 131_072, 1024
 GROUP = 32  # classes of a group; their numbers are whole multiples of it
@@ -128,14 +128,16 @@ class Rows:
         self.x, self.rate = start.astype(np.float32), rate
         self.grown, self.times = np.ones_like(self.x), np.zeros(len(self.x), np.float32)
 
-    def add(self, at: np.ndarray, rows: np.ndarray) -> None:
-        order = np.argsort(at, kind="stable")
-        found = at[order]
-        first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-        own, g = found[first], np.add.reduceat(rows[order], first, axis=0)
-        self.grown[own] += g**2
-        self.x[own] += self.rate * g / np.sqrt(self.grown[own])
-        self.times[own] += np.diff(np.append(first, len(at)))
+    def add(self, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Step along the rows' sums by place; the places and these sums."""
+        own, which, often = np.unique(at, return_inverse=True, return_counts=True)
+        g = np.zeros((len(own), rows.shape[1]), np.float32)
+        _add(g, which, rows)
+        grown = self.grown[own] + g**2
+        self.grown[own] = grown
+        self.x[own] += self.rate * g / np.sqrt(grown)
+        self.times[own] += often
+        return own, g
 
 
 class Trainer:
@@ -181,7 +183,9 @@ class Trainer:
         up = 0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ij->i", r, own) - np.float32(np.log(WITHIN))))
         down = -0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ikj->ik", r, other) - np.float32(np.log(WITHIN))))
         dr[at] += up[:, None] * own + np.einsum("ik,ikj->ij", down, other)
-        pushed = np.add.reduceat(down[:, :, None] * r[:, None, :], first, axis=0)
+        pushed = np.empty((len(first), WITHIN, WIDTH), np.float32)
+        for out, low, high in zip(pushed, first.tolist(), [*first[1:].tolist(), len(at)]):
+            np.dot(down[low:high].T, r[low:high], out=out)
         self.S.add(
             np.concatenate((word, noise.ravel())), np.concatenate((up[:, None] * r, pushed.reshape(-1, WIDTH)))
         )
@@ -192,19 +196,20 @@ class Trainer:
         word, r = word[at], r[at]
         group = word // GROUP
         first = np.flatnonzero(np.diff(group, prepend=-1))
-        counts = np.diff(np.append(first, len(at)))
         noise = self.groups.noise(group[first], self.dice)  # a group shares its noise in a batch
         odds = (self.p.bias - self.groups.log_share - np.log(WITHIN)).astype(np.float32)
-        own, other = self.p.Q[word], np.repeat(self.p.Q[noise], counts, axis=0)
-        data = np.einsum("ij,ij->i", r, own) + odds[word]
-        against = np.einsum("ij,ikj->ik", r, other) + np.repeat(odds[noise], counts, axis=0)
-        up, down = 0.5 - 0.5 * np.tanh(0.5 * data), -0.5 - 0.5 * np.tanh(0.5 * against)
-        dr[at] += up[:, None] * own + np.einsum("ik,ikj->ij", down, other)
-        pushed = np.add.reduceat(down[:, :, None] * r[:, None, :], first, axis=0)
+        own = self.p.Q[word]
+        up = 0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ij->i", r, own) + odds[word]))
+        gain = up[:, None] * own
+        for low, high, drawn in zip(first.tolist(), [*first[1:].tolist(), len(at)], noise):
+            other = self.p.Q[drawn]
+            down = -0.5 - 0.5 * np.tanh(0.5 * (r[low:high] @ other.T + odds[drawn]))
+            gain[low:high] += down @ other
+            np.add.at(g.Q, drawn, down.T @ r[low:high])
+            np.add.at(g.bias, drawn, down.sum(0))
+        dr[at] += gain
         _add(g.Q, word, up[:, None] * r)
-        _add(g.Q, noise.ravel(), pushed.reshape(-1, WIDTH))
         g.bias += np.bincount(word, up, len(self.share))
-        g.bias += np.bincount(noise.ravel(), np.add.reduceat(down, first, axis=0).ravel(), len(self.share))
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         p, g, slots = self.p, Parameters(np.zeros(len(self.p.flat), np.float32)), self.slots
@@ -234,11 +239,11 @@ class Trainer:
         np.add.at(g.top, noise, down.sum(0))
         g.C1 += a.T @ dr
         g.C2 += b.T @ dr
-        da, db = dr @ p.C1.T, dr @ p.C2.T
-        _add(g.R, one, da)
-        _add(g.R, two, db)
+        at, rows = contexts_slots, np.concatenate((dr @ p.C1.T, dr @ p.C2.T))
         if slots is not None:
-            self.D.add(contexts_slots, np.concatenate((da, db)))
+            at, rows = self.D.add(at, rows)
+            at = slots.class_of[at]
+        _add(g.R, at, rows)
         g.flat /= len(word)
         self.grown += g.flat**2
         p.flat += self.rate * g.flat / np.sqrt(self.grown)
@@ -560,7 +565,7 @@ def _scored(
     log10_rest, sent = np.log10(np.maximum(rest, 1.0)), _packed(words)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors = _unpacked(sent)
+        vectors = _unpacked(sent).astype(np.float32)
         for batch in _pieces(batches):
             texts = [_slots_from(v.as_py()) for v in batch.column("slots")]
             before = [contexts(own, end) for own in texts]
