@@ -34,9 +34,3 @@ def test_entry_without_the_text_operators(tmp_path, pipeline_stays):
         [sys.executable, "-c", SCRIPT], cwd=tree, env=clean, capture_output=True, text=True, timeout=300
     )
     assert "ROWS" in done.stdout, done.stderr[-2000:]
-
-
-def test_every_statement_has_a_query():
-    import __spark_entry__ as entry
-
-    assert set(entry.oracle_sql()) <= set(entry.queries())
