@@ -16,14 +16,15 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's smallest neighbour."""
     around = _both_ways(edges)
     least = around.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
+    # written, so that the join can split a hot node
+    least = written(least.select("u", F.least("u", "m").alias("m")))
     tied = around.filter("v > u").join(least, "u")
     return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them. Edges have u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = written(edges.groupBy("u").agg(F.min("v").alias("m")))
     tied = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.filter("u <> v").union(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -48,7 +49,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     state = _state(now)
     while state[0]:
-        now = written(_small_star(_large_star(now)))
+        now = written(_small_star(written(_large_star(now))))
         before, state = state, _state(now)
         if before == state:
             break

@@ -166,7 +166,8 @@ def linked(prints: DataFrame, distance: int = 4) -> DataFrame:
         & (F.bit_count(fa.bitwiseXOR(fb)) <= distance),
     )
     links = pairs.select(F.col("a.root").alias("u"), F.col("b.root").alias("v"))
-    second = components(links).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    # what a join looks up is written, so that it can split a hot root
+    second = written(components(links).select(F.col("node").alias("root"), F.col("root").alias("top")))
     return known.join(second, "root", "left").select(
         "fingerprint", F.coalesce("top", "root").alias("root")
     )
@@ -191,9 +192,9 @@ def near_duplicates(
     prints = written(with_fingerprint(slim, "text", shingle))
     firsts = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
     roots = written(linked(firsts, distance))
-    classes = firsts.join(roots, "fingerprint")
-    least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = classes.join(least, "root").select("fingerprint", "component_id", "root")
+    classes = written(firsts.join(roots, "fingerprint"))
+    least = written(classes.groupBy("root").agg(F.min("first").alias("component_id")))
+    named = written(classes.join(least, "root").select("fingerprint", "component_id", "root"))
     return prints.join(named, "fingerprint")
 
 
@@ -203,16 +204,16 @@ def deduplicated(
     """The input rows that stay when one document of each near-duplicate group is kept.
 
     The row of smallest id stays (null ids last; among equal ids the smallest
-    text key); of rows that agree in both any one stays. All columns are kept.
+    text key); of rows that agree in both any one stays. All columns are kept, whatever their names.
     """
     found = near_duplicates(docs, doc_id, text, distance, shingle)
     rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("text_key").alias("k"))
     best = found.groupBy("root").agg(F.min(rank).alias("r"))
-    best = best.select(F.col("r.i").alias("_keep_id"), F.col("r.k").alias("_keep_key")).distinct()
-    key, copy = free_name(docs.columns, "text_key"), free_name(docs.columns, "copy")
+    key, copy, keep_id, keep_key = (free_name(docs.columns, c) for c in ("text_key", "copy", "keep_id", "keep_key"))
+    best = best.select(F.col("r.i").alias(keep_id), F.col("r.k").alias(keep_key)).distinct()
     keyed = docs.withColumn(key, text_key(F.col(text)))
     kept = keyed.join(
-        best, keyed[doc_id].eqNullSafe(best["_keep_id"]) & (keyed[key] == best["_keep_key"])
-    ).drop("_keep_id", "_keep_key")
+        best, keyed[doc_id].eqNullSafe(best[keep_id]) & (keyed[key] == best[keep_key])
+    ).drop(keep_id, keep_key)
     first = Window.partitionBy(doc_id, key).orderBy(key)
     return kept.withColumn(copy, F.row_number().over(first)).filter(F.col(copy) == 1).drop(key, copy)

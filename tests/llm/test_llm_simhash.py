@@ -121,3 +121,14 @@ def test_components_of_chains_and_hubs(spark):
     expected = {i: 0 for i in range(61)} | {k: 100 for k in range(100, 160)} | {199: 199, 200: 199}
     assert found == expected
     assert graph.components(df.limit(0)).count() == 0
+
+
+def test_deduplicated_keeps_columns_of_any_name(spark):
+    names = ["_keep_id", "_keep_key", "keep_id", "text_key", "copy", "root", "fingerprint", "d", "first"]
+    docs = documents(spark, ["a b c d e f"] * 2 + ["some other words are here"])
+    docs = docs.selectExpr("*", *[f"{i} as {c}" for i, c in enumerate(names)])
+    found = simhash.deduplicated(docs)
+    assert found.columns == docs.columns
+    rows = sorted(fully(found), key=lambda r: r["doc_id"])
+    assert [r["doc_id"] for r in rows] == [0, 2]
+    assert all(r[c] == i for r in rows for i, c in enumerate(names))
