@@ -1,7 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Seeds are runs of five tokens that a document shares with a benchmark item.
-The tokens around seeds are kept, pairs of documents and items that share seeds are
+Seeds are runs of five tokens that a document shares with a benchmark item, or the whole
+item where it is shorter. The tokens around seeds are kept, pairs of documents and items that share seeds are
 joined, and each pair is tiled: the longest unmarked match first, found by
 running Karp-Rabin over windows of falling length. The share of the item's tokens under tiles
 does not depend on their order, so reordered passages are caught.
@@ -20,14 +20,25 @@ from pyspark.sql import functions as F
 from feedloom.functions.frames import written
 from feedloom.llm.common import free_name, text_key
 
+# Scripts written without spaces: Thai to Lao, Myanmar, Khmer, kana, ideographs.
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\U00020000-\U0003ffff"
+)
 _TOKEN = re.compile(r"\w+")
+_TOKEN_OR_CHARACTER = re.compile(rf"[^\W{_UNSPACED}]+|\w")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _CACHE = 400_000
 
 
 def tokens(text: str | None) -> list[str]:
-    """Lower-case runs of letters, digits and underscores; none for null."""
-    return _TOKEN.findall(text.lower()) if text else []
+    """Lower-case runs of letters, digits and underscores; none for null.
+
+    In scripts without spaces every character is a token.
+    """
+    if not text:
+        return []
+    return (_TOKEN if text.isascii() else _TOKEN_OR_CHARACTER).findall(text.lower())
 
 
 class _Codes(dict):
@@ -124,36 +135,55 @@ def tiles(item: Sequence[str], text: Sequence[str | None], least: int = 5) -> li
 
 
 def _item_seeds(items: DataFrame, item_id: str, text: str, least: int) -> DataFrame:
-    """(item, n, words, seeds): tokens and window hashes of benchmark items of ``least`` tokens or more."""
+    """(item, n, words, size, seeds): tokens of benchmark items that have any, and hashes of their windows.
+
+    Windows have ``least`` tokens, or as many as the item where it has fewer: ``size``.
+    """
 
     def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _Codes()
         for batch in batches:
             rows = [(i, tokens(t)) for i, t in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist())]
-            rows = [(i, w) for i, w in rows if len(w) >= least]
-            hashes = [window_hashes(_coded(w, codes), least).view(np.int64).tolist() for _, w in rows]
+            rows = [(i, w, min(least, len(w))) for i, w in rows if w]
+            hashes = [window_hashes(_coded(w, codes), size).view(np.int64).tolist() for _, w, size in rows]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([i for i, _ in rows], pa.int64()),
-                    pa.array([len(w) for _, w in rows], pa.int32()),
-                    pa.array([w for _, w in rows], pa.list_(pa.string())),
+                    pa.array([i for i, _, _ in rows], pa.int64()),
+                    pa.array([len(w) for _, w, _ in rows], pa.int32()),
+                    pa.array([w for _, w, _ in rows], pa.list_(pa.string())),
+                    pa.array([size for _, _, size in rows], pa.int32()),
                     pa.array(hashes, pa.list_(pa.int64())),
                 ],
-                names=["item", "n", "words", "seeds"],
+                names=["item", "n", "words", "size", "seeds"],
             )
 
     return items.select(F.col(item_id).cast("long").alias("item"), F.col(text).alias("text")).mapInArrow(
-        seeded, "item long, n int, words array<string>, seeds array<long>"
+        seeded, "item long, n int, words array<string>, size int, seeds array<long>"
     )
 
 
-def _covered(docs: DataFrame, slots: np.ndarray, least: int) -> DataFrame:
-    """Pieces of documents whose windows all pass the filter: (d, k, piece, words, seeds).
+def _filters(prepared: DataFrame, filter_bits: int | None) -> dict[int, np.ndarray]:
+    """For each length of windows, which low hash bits its seeds have: one byte per value.
 
-    ``slots`` is a table of one byte per low hash bits; it lets all seeds of the
-    benchmark through, and some others, which the join drops.
+    Without ``filter_bits`` there are 16 values or more per seed, but no more than 2**24.
+    """
+    if filter_bits is None:
+        n = prepared.agg(F.sum(F.size("seeds"))).first()[0] or 0
+        filter_bits = min(24, max(20, (16 * n).bit_length()))
+    used = prepared.select("size", F.explode("seeds").alias("seed"))
+    slot = F.col("seed").bitwiseAND(F.lit((1 << filter_bits) - 1)).cast("int")
+    found: dict[int, np.ndarray] = {}
+    # at most 2**filter_bits numbers per length
+    for size, at in used.select("size", slot.alias("slot")).distinct().toLocalIterator():
+        found.setdefault(size, np.zeros(1 << filter_bits, bool))[at] = True
+    return found
+
+
+def _covered(docs: DataFrame, filters: dict[int, np.ndarray]) -> DataFrame:
+    """Longest pieces of documents all of whose tokens are in windows that pass: (d, k, piece, words, seeds).
+
+    The filters let all seeds of the benchmark through, and some others, which the join drops.
     """
-    mask = np.uint64(len(slots) - 1)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _Codes()
@@ -161,14 +191,24 @@ def _covered(docs: DataFrame, slots: np.ndarray, least: int) -> DataFrame:
             out: list[tuple] = []
             for d, k, text in zip(*[batch.column(c) for c in ("d", "k", "text")]):
                 words = tokens(text.as_py())
-                hashes = window_hashes(_coded(words, codes), least)
-                hits = np.flatnonzero(slots[(hashes & mask).astype(np.int64)])
-                if not len(hits):
+                coded = _coded(words, codes)
+                edges, passed = np.zeros(len(words) + 1, np.int32), []
+                for size, slots in filters.items():
+                    hashes = window_hashes(coded, size)
+                    hits = np.flatnonzero(slots[(hashes & np.uint64(len(slots) - 1)).astype(np.int64)])
+                    edges[hits] += 1
+                    edges[hits + size] -= 1
+                    passed.append((hits, hashes[hits]))
+                inside = np.concatenate(([0], np.cumsum(edges) > 0)).astype(np.int8)
+                turns = np.flatnonzero(np.diff(inside))
+                if not len(turns):
                     continue
-                # windows that touch form one piece
-                for number, run in enumerate(np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1)):
-                    seeds = hashes[run].view(np.int64).tolist()
-                    out.append((d.as_py(), k.as_py(), number, words[run[0] : run[-1] + least], seeds))
+                starts, places = turns[::2], np.concatenate([hits for hits, _ in passed])
+                order = np.argsort(places, kind="stable")
+                seeds = np.concatenate([hashes for _, hashes in passed])[order].view(np.int64)
+                cuts = np.searchsorted(places[order], starts[1:])
+                for number, (a, b, own) in enumerate(zip(starts, turns[1::2], np.split(seeds, cuts))):
+                    out.append((d.as_py(), k.as_py(), number, words[a:b], own.tolist()))
             columns = list(zip(*out)) if out else [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -186,7 +226,8 @@ def _tiled(least: int):
                 text: list[str | None] = []
                 for piece in pieces.as_py():
                     text += [*piece["text"], None]
-                lengths = [k for _, _, k in tiles(item.as_py(), text, least)]
+                words = item.as_py()
+                lengths = [k for _, _, k in tiles(words, text, min(least, len(words)))]
                 sums.append((sum(lengths), len(lengths), max(lengths, default=0)))
             columns = [batch.column(c) for c in ("d", "k", "item", "n")]
             columns += [pa.array([s[i] for s in sums], pa.int32()) for i in range(3)]
@@ -205,29 +246,26 @@ def leaks(
     item_text: str = "text",
     least: int = 5,
     coverage: float = 0.5,
-    filter_bits: int = 20,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """Pairs of documents and benchmark items whose tiles cover ``coverage`` of the item or more.
 
     Columns: doc_id, text_key, item_id, item_tokens, covered_tokens, tiles,
-    longest_tile, coverage. Items of fewer than ``least`` tokens have no seed and
-    match nothing; null and empty texts have no tokens. Rows of equal id and text are
+    longest_tile, coverage. Items of fewer than ``least`` tokens match as a whole only;
+    null and empty texts have no tokens and match nothing. Rows of equal id and text are
     one document, items of equal id are taken apart by their text. Null ids are kept.
-    Documents meet items through a filter of 2**filter_bits bytes, whatever the
-    benchmark's size, and a join on seeds. A pair is tiled only when its
+    Documents meet items through a filter of 2**filter_bits bytes, by default as many as the
+    seeds ask for up to 16 million, and a join on seeds. A pair is tiled only when its
     shared seeds can cover enough of the item: c seeds cover ``least * c`` tokens at most.
     """
     prepared = written(_item_seeds(items, item_id, item_text, least).distinct())
-    mask = (1 << filter_bits) - 1
-    used = prepared.select(F.explode("seeds").alias("seed"))
-    used = used.select(F.col("seed").bitwiseAND(F.lit(mask)).cast("int").alias("slot")).distinct()
-    slots = np.zeros(1 << filter_bits, bool)
-    # at most 2**filter_bits numbers
-    slots[[r[0] for r in used.toLocalIterator()]] = True
+    filters = _filters(prepared, filter_bits)
+    if not filters:
+        docs = docs.limit(0)
     slim = docs.select(
         F.col(doc_id).cast("long").alias("d"), text_key(F.col(text)).alias("k"), F.col(text).alias("text")
     )
-    pieces = _covered(slim.filter(F.col("text").isNotNull()), slots, least)
+    pieces = _covered(slim.filter(F.col("text").isNotNull()), filters)
     pieces = written(pieces.dropDuplicates(["d", "k", "piece"]))
 
     item = F.struct("item", "words").alias("i")

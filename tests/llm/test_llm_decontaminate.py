@@ -46,8 +46,8 @@ def brute_leaks(texts, items, least=5, coverage=0.5):
     for d, text in enumerate(texts):
         for i, item in enumerate(items):
             a, b = decontaminate.tokens(item), decontaminate.tokens(text)
-            covered = sum(k for _, _, k in brute_tiles(a, b, least)) if len(a) >= least else 0
-            if len(a) >= least and covered / len(a) >= coverage:
+            covered = sum(k for _, _, k in brute_tiles(a, b, min(least, len(a)))) if a else 0
+            if a and covered / len(a) >= coverage:
                 found[d, i] = covered
     return found
 
@@ -74,6 +74,28 @@ def test_leaks_match_tiling_of_all_pairs(spark):
     assert len(fully(narrow)) == len(found)
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    items = ["Paris is big", "one", "two words", "a b c d", "北京是中国的首都。", "東京", "ไทยแลนด์", "", "?!", "x y x y"]
+    texts = [
+        "they say PARIS, is big!", "paris was big", "just one of two word", "two words", "a b c e d a b c d",
+        "他说北京是中国的首都吗", "北京 是 中国", "東 京", "東の京", "สวัสดีไทยแลนด์", "x y x", "x y x y x y", None, "", "?!",
+        "a b c", prose(1, 80),
+    ]
+    found = fully(decontaminate.leaks(documents(spark, texts), items_of(spark, items)))
+    known = {(r["doc_id"], r["item_id"]): r["covered_tokens"] for r in found}
+    assert known == brute_leaks(texts, items)
+    assert {(0, 0), (2, 1), (3, 2), (4, 3), (5, 4), (7, 5), (9, 6), (11, 9)} <= set(known)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_leaks_of_dense_texts_match_tiling_of_all_pairs(spark, seed):
+    dice = random.Random(seed)
+    items = [" ".join(dice.choice("abc") for _ in range(dice.randint(1, 14))) for _ in range(12)]
+    texts = [" ".join(dice.choice("abcd") for _ in range(dice.randint(0, 60))) for _ in range(25)]
+    found = fully(decontaminate.leaks(documents(spark, texts), items_of(spark, items)))
+    assert {(r["doc_id"], r["item_id"]): r["covered_tokens"] for r in found} == brute_leaks(texts, items)
+
+
 def test_what_stays(spark):
     item = prose(1, 30)
     docs = documents(spark, [prose(2, 50), f"a {item} b", None, "", item.lower()])
