@@ -83,14 +83,16 @@ def judged(
 
     ``fetched`` is a date or timestamp, of the type of the entries' ``dated``. Every
     row stays; null or relative URLs and null times match nothing. first_list is the
-    first list by name that blocks. None of the added names may clash. Intervals are cut at months, so that a host with
+    first list by name that blocks. Repeated captures are rows of their own; input columns named
+    like an added one are replaced, all others stay whatever their names. Intervals are cut at months, so that a host with
     many captures or entries meets in pieces of one month; an interval without
     end is cut off after the last capture.
     """
-    rid = free_name(captures.columns, "rid")
+    rest = [c for c in captures.columns if c.lower() not in ("host", "n_entries", "blocked", "first_list")]
+    rid, asks, n, least = (free_name(captures.columns, c) for c in ("rid", "asks", "n", "least"))
     held = written(captures.withColumn(rid, F.monotonically_increasing_id()))
     asked = held.filter(F.col(fetched).isNotNull()).select(
-        F.col(rid).alias("rid"),
+        F.col(rid).alias(asks),
         F.col(fetched).alias("at"),
         F.trunc(F.col(fetched).cast("date"), "month").alias("month"),
         F.inline(questions(F.col(url), depth)),
@@ -111,13 +113,13 @@ def judged(
     found = (
         asked.join(pieces, ["kind", "value", "month"])
         .filter(holds)
-        .groupBy("rid")
-        .agg(F.count("*").alias("n"), F.min("list").alias("l"))
+        .groupBy(asks)
+        .agg(F.count("*").alias(n), F.min("list").alias(least))
     )
-    return held.join(found.withColumnRenamed("rid", f"_{rid}"), F.col(rid) == F.col(f"_{rid}"), "left").select(
-        *captures.columns,
+    return held.join(found, F.col(rid) == F.col(asks), "left").select(
+        *rest,
         host_of(F.col(url)).alias("host"),
-        F.coalesce("n", F.lit(0)).alias("n_entries"),
-        F.col("n").isNotNull().alias("blocked"),
-        F.col("l").alias("first_list"),
+        F.coalesce(n, F.lit(0)).alias("n_entries"),
+        F.col(n).isNotNull().alias("blocked"),
+        F.col(least).alias("first_list"),
     )
