@@ -100,8 +100,8 @@ def mixed(
     sorted within (source, size, two hex digits of the hash), and running sums over
     the far fewer chunks and then sizes supply what comes before.
     """
-    key = free_name(docs.columns, "mix")
-    n = {x: f"{key}_{x}" for x in ("hash", "tile", "at", "before", "lower", "step", "move")}
+    own = ("hash", "tile", "at", "before", "lower", "step", "move", "in_source", "in_size", "in_tile")
+    n = {x: free_name(docs.columns, f"mix_{x}") for x in own}
     added = ("size", "source_size", "target", "copies")
     rest = [c for c in docs.columns if c not in added]
     rows = docs.select(
@@ -148,9 +148,9 @@ def mixed(
         .join(lower, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
         .join(steps, F.col("source").eqNullSafe(F.col("t")))
         .select(
-            F.col("source").alias("c_source"),
-            F.col("size").alias("c_size"),
-            F.col(n["tile"]).alias("c_tile"),
+            F.col("source").alias(n["in_source"]),
+            F.col("size").alias(n["in_size"]),
+            F.col(n["tile"]).alias(n["in_tile"]),
             (F.col(n["before"]) + F.col(n["lower"])).alias(n["before"]),
             "source_size",
             "target",
@@ -165,9 +165,9 @@ def mixed(
     return (
         numbered.join(
             chunks,
-            F.col(source).eqNullSafe(F.col("c_source"))
-            & (numbered["size"] == F.col("c_size"))
-            & (numbered[n["tile"]] == F.col("c_tile")),
+            F.col(source).eqNullSafe(F.col(n["in_source"]))
+            & (numbered["size"] == F.col(n["in_size"]))
+            & (numbered[n["tile"]] == F.col(n["in_tile"])),
         )
         .withColumn("copies", copies.cast("int"))
         .select(*rest, *added)

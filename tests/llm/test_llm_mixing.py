@@ -65,8 +65,11 @@ def test_each_copy_is_emitted_once(spark):
 
 def test_odd_rows_and_empty_tables(spark):
     docs = odd_rows(spark).withColumn("size", F.lit("clash"))
+    for name in ("c_source", "mix", "mix_hash", "mix_in_source", "s", "z", "t", "n", "source_size"):
+        docs = docs.withColumn(name, F.lit("clash"))
     rows = fully(mixing.mixed(docs))
     assert len(rows) == docs.count()
+    assert {(r["c_source"], r["mix_hash"], r["mix_in_source"], r["n"]) for r in rows} == {("clash",) * 4}
     assert all(r["size"] == len(words(r["text"])) for r in rows)
     assert {r["target"] for r in rows if r["source"] is None} == {0.0}
     assert mixing.mixed(docs.limit(0)).count() == mixing.emitted(docs.limit(0)).count() == 0
