@@ -422,7 +422,8 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     edits = token_counts.drawn_edits("doc_id", "text")
     ranks = token_counts.read_ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
-    return token_counts.edited_counts(docs.withColumn("edits", edits), ranks)
+    trees = token_counts.stored_trees(docs, ranks).withColumn("edits", edits)
+    return token_counts.edited_counts(trees, ranks, leaves="leaves")
 
 
 def _with_periods(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ leaves' sums are then updated up to the root.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -17,10 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions.frames import written
+from feedloom.llm.common import free_name
+
 # Fixed value: the pattern that cuts pre-tokens for the rank files.
 PATTERN = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
+# Pre-tokens a leaf may hold, and leaves an edit may leave empty, before the tree is laid out anew.
+HOLDS, IDLE = 8, 64
 # A cut depends on two characters after it at most: white space before a word leaves its
 # last space to the word.
 CONTEXT = 2
@@ -61,11 +66,12 @@ def _counter(ranks: bytes, pattern: str) -> Counter:
 class TokenTree:
     """The pre-tokens of one text under edits; characters and tokens by subtree.
 
-    Leaves are numbered as in the first text. An edit puts all that it re-reads into
-    the first leaf it touches and empties the others.
+    A leaf is a pre-token of the first text. An edit deals the pre-tokens it re-reads out over the
+    leaves it touches; where those are far too few or too many, the tree is laid out anew
+    from the leaves' known numbers, with a leaf for each of them, and nothing else is encoded again.
     """
 
-    def __init__(self, text: str, counter: Counter, leaves: tuple[list[int], list[int]] | None = None):
+    def __init__(self, text: str, counter: Counter, leaves: Sequence[Sequence[int]] | None = None):
         """``leaves`` (lengths and tokens), as ``leaves()`` gives them, spare the encoding."""
         self.counter = counter
         if leaves is None:
@@ -92,10 +98,10 @@ class TokenTree:
     def total(self) -> int:
         return int(self.tokens[1])
 
-    def leaves(self) -> tuple[list[int], list[int]]:
+    def leaves(self) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and tokens of the leaves; for a text without edits, of its pre-tokens."""
         own = slice(self.first, self.first + self.n)
-        return self.chars[own].tolist(), self.tokens[own].tolist()
+        return self.chars[own].copy(), self.tokens[own].copy()
 
     def _set(self, leaf: int, chars: int, tokens: int) -> None:
         at = self.first + leaf
@@ -120,8 +126,29 @@ class TokenTree:
         changed = self.changed.get(leaf)
         return self.text[self.starts[leaf] : self.starts[leaf + 1]] if changed is None else changed
 
+    def _between(self, low: int, high: int) -> str:
+        """The text of the leaves from low up to high."""
+        parts, at = [], low
+        for leaf in sorted(x for x in self.changed if low <= x < high):
+            parts += [self.text[self.starts[at] : self.starts[leaf]], self.changed[leaf]]
+            at = leaf + 1
+        return "".join([*parts, self.text[self.starts[at] : self.starts[high]]])
+
     def whole(self) -> str:
-        return "".join(map(self._leaf_text, range(self.n)))
+        return self._between(0, self.n)
+
+    def _lay_out(self, left: int, stop: int, pieces: list[str], tokens: list[int]) -> None:
+        """A new tree with these pre-tokens in place of the leaves from left to stop, and without empty leaves."""
+        text = "".join([self._between(0, left), *pieces, self._between(stop + 1, self.n)])
+        own = slice(self.first, self.first + self.n)
+        new = [len(p) for p in pieces], tokens
+        chars, tokens = (
+            np.concatenate((old[own][:left], np.array(n, np.int64), old[own][stop + 1 :]))
+            for old, n in zip((self.chars, self.tokens), new)
+        )
+        read = self.read
+        self.__init__(text, self.counter, (chars[chars > 0], tokens[chars > 0]))
+        self.read = read
 
     def edit(self, start: int, end: int, new: str) -> None:
         """Replace the characters from start up to end; places beyond the text are its end."""
@@ -141,13 +168,18 @@ class TokenTree:
         region = region[: start - at] + new + region[end - at :]
         # ends of leaves after the edit, in the region's characters
         ends, last, more = {len(region): right}, right, 2
+        reached = begins + int(self.chars[self.first + right])
         while True:
-            while last + 1 < self.n and more:
-                last, more = last + 1, more - 1
+            for _ in range(more):
+                if reached >= length:
+                    break
+                # empty leaves are stepped over
+                last = self._leaf_at(reached)[0]
+                reached += int(self.chars[self.first + last])
                 region += self._leaf_text(last)
                 ends[len(region)] = last
             pieces, cut, met = self.counter.pieces(region), 0, None
-            done = last + 1 >= self.n
+            done = reached >= length
             for i, piece in enumerate(pieces):
                 cut += len(piece)
                 if cut in ends and (done or cut + CONTEXT <= len(region)):
@@ -158,12 +190,16 @@ class TokenTree:
             more = 2 * len(ends)
         count, cut, stop = met or (len(pieces), len(region), last)
         self.read += cut
-        self.changed[left] = region[:cut]
-        self._set(left, cut, sum(self.counter.counts(pieces[:count])))
-        for leaf in range(left + 1, stop + 1):
-            if self.chars[self.first + leaf]:
-                self.changed[leaf] = ""
-                self._set(leaf, 0, 0)
+        pieces, room = pieces[:count], stop - left + 1
+        counts = self.counter.counts(pieces)
+        if count > HOLDS * room or room > count + IDLE:
+            self._lay_out(left, stop, pieces, counts)
+            return
+        each = max(1, -(-count // room))
+        for i in range(room):
+            own = slice(i * each, (i + 1) * each)
+            self.changed[left + i] = held = "".join(pieces[own])
+            self._set(left + i, len(held), sum(counts[own]))
 
 
 def read_ranks(path: str) -> bytes:
@@ -180,6 +216,7 @@ def edited_counts(
     pattern: str = PATTERN,
     leaves: str | None = None,
     keep_leaves: bool = False,
+    keep_text: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` without text and edits, with token counts before and after the edits.
 
@@ -188,29 +225,34 @@ def edited_counts(
     fields mean none, 0 and ''. Null texts count as empty. Added: pre_tokens,
     tokens_before, tokens_after, chars_after, chars_read (what edits made it re-read);
     with ``keep_leaves`` also leaves, a struct (lengths, tokens) of the text before its edits.
-    Passing such a column as ``leaves`` continues from a stored tree without encoding the text again.
+    Passing such a column as ``leaves`` continues from a stored tree without encoding the text again;
+    ``keep_text`` keeps the text with it. Input columns named like an added one are replaced. Repeated
+    rows are counted each; a task holds one text's tree at a time, of whatever length.
     """
-    rest = [c for c in docs.columns if c not in (text, edits, leaves)]
-    schema = docs.select(*rest).schema
     numbers = ("pre_tokens", "tokens_before", "tokens_after", "chars_after", "chars_read")
+    gone = {edits, *([leaves] if leaves else []), *([] if keep_text else [text])}
+    added = (*numbers, "leaves") if keep_leaves else numbers
+    rest = [c for c in docs.columns if c not in gone and c.lower() not in added]
+    schema = docs.select(*rest).schema
     for name in numbers:
         schema = schema.add(name, "long")
-    kind = pa.struct([("lengths", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))])
+    parts = ("lengths", "tokens")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     if keep_leaves:
         ddl += ", leaves struct<lengths: array<int>, tokens: array<int>>"
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(ranks, pattern)
-        for batch in batches:
+        for batch in filter(len, batches):
             rows, kept = [], []
             stored = batch.column(leaves) if leaves else None
             for i, (value, changes) in enumerate(zip(batch.column(text), batch.column(edits))):
-                known = stored[i].as_py() if leaves else None
-                tree = TokenTree(value.as_py() or "", counter, known and (known["lengths"], known["tokens"]))
+                known = stored[i] if leaves and stored[i].is_valid else None
+                known = known and [known[p].values.to_numpy(zero_copy_only=False) for p in parts]
+                tree = TokenTree(value.as_py() or "", counter, known)
                 before = tree.n, tree.total
                 if keep_leaves:
-                    kept.append(dict(zip(("lengths", "tokens"), tree.leaves())))
+                    kept.append(tree.leaves())
                 for change in changes.as_py() or ():
                     if change is not None:
                         tree.edit(change["start"] or 0, change["stop"] or 0, change["new"] or "")
@@ -219,13 +261,23 @@ def edited_counts(
             columns += [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(numbers))]
             names = [*rest, *numbers]
             if keep_leaves:
-                columns, names = [*columns, pa.array(kept, kind)], [*names, "leaves"]
+                ends = pa.array(np.cumsum([0, *[len(lengths) for lengths, _ in kept]]), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), pa.int32())) for x in zip(*kept)]
+                columns, names = [*columns, pa.StructArray.from_arrays(lists, parts)], [*names, "leaves"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    used = [*rest, text, edits, *([leaves] if leaves else [])]
+    used = list(dict.fromkeys([*rest, text, edits, *([leaves] if leaves else [])]))
     return docs.select(*used).mapInArrow(counted, ddl)
 
 
+def stored_trees(docs: DataFrame, ranks: bytes, text: str = "text", pattern: str = PATTERN) -> DataFrame:
+    """The rows of ``docs`` with the leaves of their texts' trees, written to the shared folder."""
+    none = F.lit(None).cast("array<struct<start: int, stop: int, new: string>>")
+    edits = free_name(docs.columns, "edits")
+    counted = edited_counts(docs.withColumn(edits, none), ranks, text, edits, pattern, keep_leaves=True, keep_text=True)
+    return written(counted.select(*[c for c in docs.columns if c != "leaves"], "leaves"))
+
+
 def drawn_edits(doc_id: str, text: str, n: int = 4, longest: int = 40) -> Column:
     """n edits of a row by hashes of its id: each puts a stretch of the text in place of another."""
     length = F.coalesce(F.length(text), F.lit(0))

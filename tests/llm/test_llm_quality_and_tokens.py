@@ -111,6 +111,34 @@ def test_an_edit_reads_little_of_a_long_text():
     assert tree.read < 400
 
 
+@needs_ranks
+def test_edits_after_large_and_many_insertions_read_little():
+    counter = token_counts.Counter(token_counts.read_ranks(RANKS))
+    text = prose(1, 2_000)
+    tree = token_counts.TokenTree(text, counter)
+
+    def change(start, stop, new):
+        nonlocal text
+        read = tree.read
+        tree.edit(start, stop, new)
+        text = text[:start] + new + text[stop:]
+        return tree.read - read
+
+    change(500, 500, prose(2, 40_000))
+    dice = random.Random(4)
+    places = [0, 499, 501, 100_000, *[dice.randrange(len(text)) for _ in range(40)]]
+    assert max(change(p, p + 3, "abc") for p in places) < 400
+    assert max(change(1_000, 1_000, f" w{i}") for i in range(2_000)) < 400
+    # nearly all goes, then what is left is edited
+    change(1_000, len(text) - 300, "")
+    assert max(change(p, p + 2, "x y") for p in (0, 990, 1_000, 1_010, 1_250)) < 400
+    for _ in range(60):
+        change(200, 207, "")
+    assert change(200, 200, "z") < 400
+    assert tree.whole() == text
+    assert tree.total == len(counter.encoding.encode_ordinary(text))
+
+
 @needs_ranks
 def test_edits_as_a_job_and_stored_trees(spark):
     ranks = token_counts.read_ranks(RANKS)
@@ -138,8 +166,12 @@ def test_token_counts_odd_rows_and_empty_tables(spark):
     docs = odd_rows(spark).withColumn(
         "edits", F.expr("array(null, named_struct('start', null, 'stop', 3, 'new', null), named_struct('start', 9, 'stop', 2, 'new', 'x'))")
     )
+    docs = docs.withColumn("tokens_after", F.lit("clash")).withColumn("leaves", F.lit("kept"))
     rows = fully(token_counts.edited_counts(docs, ranks))
-    assert len(rows) == docs.count()
+    assert len(rows) == docs.count() and {r["leaves"] for r in rows} == {"kept"}
+    stored = token_counts.stored_trees(docs, ranks)
+    again = fully(token_counts.edited_counts(stored, ranks, leaves="leaves"))
+    assert sorted(map(repr, again)) == sorted(repr({c: v for c, v in r.items() if c != "leaves"}) for r in rows)
     assert {r["tokens_before"] for r in rows if r["doc_id"] in (1, 2)} == {0}
     assert {r["tokens_after"] for r in rows if r["doc_id"] in (1, 2)} == {1}
     assert token_counts.edited_counts(docs.limit(0), ranks).count() == 0
@@ -217,11 +249,15 @@ def test_folders_of_any_depth_are_asked_for(spark):
 def test_urls_odd_rows_and_empty_tables(spark):
     rows = [(1, "http://a.b/c", day(3)), (1, "http://a.b/c", day(3)), (None, None, None), (2, "http://" + "x" * 50_000, day(1))]
     captures = spark.createDataFrame(rows, "page_id long, url string, fetched date").withColumn("rid", F.lit("clash")).withColumn("at", F.lit(1))
+    for name in ("n", "l", "_rid", "asks", "month", "list", "host"):
+        captures = captures.withColumn(name, F.lit("clash"))
     entries = spark.createDataFrame(
         [("l", "host", "a.b", day(3), "add"), ("l", "host", None, day(1), "add"), (None, "host", "a.b", day(1), "add"), ("l", "host", "a.b", None, "add"), ("l", "host", "a.b", day(3), "remove"), ("l", "host", "a.b", day(1), "odd")],
         "list string, kind string, value string, dated date, action string",
     )
     found = fully(url_filters.judged(captures, entries))
     assert sorted((r["page_id"] or 0, r["n_entries"]) for r in found) == [(0, 0), (1, 1), (1, 1), (2, 0)]
+    assert {(r["n"], r["l"], r["_rid"], r["list"]) for r in found} == {("clash",) * 4}
+    assert {r["host"] for r in found if r["page_id"] == 1} == {"a.b"}
     assert url_filters.judged(captures, entries.limit(0)).filter("blocked").count() == 0
     assert url_filters.judged(captures.limit(0), entries).count() == 0
