@@ -609,7 +609,8 @@ def scores(
     ``training`` is a boolean column; the model learns from all rows where it is
     true. Tokens are lower-case words and one end. Columns added: n_tokens,
     n_known, train_tokens, base_score (a smoothed unigram) and score (log10 of the text's
-    probability); none may clash. A token never seen in training has the Good-Turing share
+    probability), in place of input columns of these names; all others stay whatever their names.
+    Repeated rows count as often as they come; of equally frequent words the first by bytes is taken first. A token never seen in training has the Good-Turing share
     of unseen tokens. Null and empty texts are an end alone; without
     training rows every token is certain to be unknown.
     Counts are exact and cover all words: the most frequent ones, ``common_words`` at most, travel
@@ -634,11 +635,11 @@ def scores(
     slots = Slots(class_of, np.concatenate((rest_mass, own)), n_classes)
     common = {w: float(np.log10(c + 0.5)) for w, c in words.items()}
     end = n_classes + list(words).index(END) if END in words else single_class[END]
-    rest = [c for c in docs.columns if c != text]
-    encoded = written(
-        _encoded(docs.select(*rest, text), text, common, endings).withColumn("rid", F.monotonically_increasing_id())
-    )
-    learning = encoded.filter(F.col(training))
+    added = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    row = F.struct(*[c for c in docs.columns if c != text and c.lower() not in added])
+    slim = docs.select(row.alias("row"), F.col(training).alias("training"), F.col(text).alias("text"))
+    encoded = written(_encoded(slim, "text", common, endings).withColumn("rid", F.monotonically_increasing_id()))
+    learning = encoded.filter("training")
     flat, vectors = _trained(learning, share, slots, end, rounds)
     partial = written(_scored(encoded, flat, vectors, slots, rest_mass, end))
 
@@ -670,7 +671,7 @@ def scores(
     per_token = float(np.log10(total + 0.5 * (distinct + 1)))
     base = F.col("base") + F.coalesce("rare_base", zero) - F.col("n") * per_token
     return joined.select(
-        *rest,
+        "row.*",
         F.col("n").alias("n_tokens"),
         known.alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),

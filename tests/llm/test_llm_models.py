@@ -124,8 +124,11 @@ def test_gradients_raise_the_odds_of_what_was_seen():
 
 def test_language_model_odd_rows_and_empty_tables(spark):
     docs = odd_rows(spark).withColumn("training", F.coalesce(F.col("doc_id") != 5, F.lit(True)))
+    for name in ("n", "rid", "base", "slots", "log10", "c", "row", "score"):
+        docs = docs.withColumn(name, F.lit("clash"))
     rows = fully(lm.scores(docs, "training"))
     assert len(rows) == docs.count() and all(math.isfinite(r["score"]) for r in rows)
+    assert {(r["n"], r["rid"], r["base"], r["c"], r["row"]) for r in rows} == {("clash",) * 5}
     assert {r["n_tokens"] for r in rows if r["doc_id"] in (1, 2, 3)} == {1}
     assert len({r["score"] for r in rows if r["doc_id"] == 4}) == 1
     untrained = fully(lm.scores(docs.withColumn("training", F.lit(False)), "training"))
