@@ -26,6 +26,8 @@ PATTERN = (
 )
 # Pre-tokens a leaf may hold, and leaves an edit may leave empty, before the tree is laid out anew.
 HOLDS, IDLE = 8, 64
+# Rows whose leaves are sent together.
+ROWS = 256
 # A cut depends on two characters after it at most: white space before a word leaves its
 # last space to the word.
 CONTEXT = 2
@@ -202,6 +204,13 @@ class TokenTree:
             self._set(left + i, len(held), sum(counts[own]))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows some at a time, so that few trees' leaves wait to be sent."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, ROWS):
+            yield batch.slice(low, ROWS)
+
+
 def read_ranks(path: str) -> bytes:
     """A rank file, read where the job is planned; it travels to the tasks."""
     with open(path, "rb") as file:
@@ -243,7 +252,7 @@ def edited_counts(
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(ranks, pattern)
-        for batch in filter(len, batches):
+        for batch in _slices(batches):
             rows, kept = [], []
             stored = batch.column(leaves) if leaves else None
             for i, (value, changes) in enumerate(zip(batch.column(text), batch.column(edits))):
