@@ -17,6 +17,7 @@ from feedloom.operators import recommend as recommending
 from feedloom.operators.feature_matrix import candidate_features, feature_columns
 from feedloom.operators.feature_matrix import feature_matrix as build_matrix
 from feedloom.operators.reductions import clicked, tastes as taste_table
+from feedloom.operators.tree_attribution import tree_attribution
 from feedloom.plans import tables
 from feedloom.sources.logs import drop_blank_impressions, parse_log_time
 
@@ -721,6 +722,14 @@ def attribution_linear(spark, folder):
     return tidy(attribution.linear_attribution(ranker, test))
 
 
+@query
+def attribution_trees(spark, folder):
+    """Shapley contributions to the scores of fitted trees, over all held-out rows."""
+    train, val, test = _ready_matrix(spark, folder)
+    ranker = boosting.TreeRanker.fit(train, val)
+    return tidy(tree_attribution(ranker.forest, test))
+
+
 @query
 def attribution_fixed_weights(spark, folder):
     """Contributions to a linear score of given weights, over all held-out rows."""
