@@ -26,7 +26,7 @@ PATTERN = (
 )
 # Pre-tokens a leaf may hold, and leaves an edit may leave empty, before the tree is laid out anew.
 HOLDS, IDLE = 8, 64
-# Rows whose leaves are sent together.
+# Rows whose results are sent together.
 ROWS = 256
 # A cut depends on two characters after it at most: white space before a word leaves its
 # last space to the word.
@@ -34,6 +34,23 @@ CONTEXT = 2
 _CACHE = 300_000
 
 
+def packed(lengths: np.ndarray, tokens: np.ndarray) -> bytes:
+    """Leaves as bytes: their number, a byte for each of up to 63 characters and 3 tokens, and the others' numbers in full."""
+    short = (lengths < 64) & (tokens < 4) & ((lengths < 63) | (tokens < 3))
+    codes = np.where(short, lengths * 4 + tokens, 255).astype(np.uint8)
+    others = np.stack((lengths[~short], tokens[~short])).astype("<i4")
+    return np.array([len(codes)], "<i4").tobytes() + codes.tobytes() + others.tobytes()
+
+
+def unpacked(leaves: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and tokens of packed leaves."""
+    n = int(np.frombuffer(leaves, "<i4", 1)[0])
+    codes = np.frombuffer(leaves, np.uint8, n, 4)
+    lengths, tokens = (codes // 4).astype(np.int64), (codes % 4).astype(np.int64)
+    lengths[codes == 255], tokens[codes == 255] = np.frombuffer(leaves, "<i4", offset=4 + n).reshape(2, -1)
+    return lengths, tokens
+
+
 class Counter:
     """Pre-tokens of a text and the number of tokens of each, by a rank file's merges."""
 
@@ -233,7 +250,7 @@ def edited_counts(
     code points of the text as it is by then, clipped to it; null arrays, edits and
     fields mean none, 0 and ''. Null texts count as empty. Added: pre_tokens,
     tokens_before, tokens_after, chars_after, chars_read (what edits made it re-read);
-    with ``keep_leaves`` also leaves, a struct (lengths, tokens) of the text before its edits.
+    with ``keep_leaves`` also leaves, the packed leaves of the text before its edits (``unpacked`` reads them).
     Passing such a column as ``leaves`` continues from a stored tree without encoding the text again;
     ``keep_text`` keeps the text with it. Input columns named like an added one are replaced. Repeated
     rows are counted each; a task holds one text's tree at a time, of whatever length.
@@ -245,10 +262,9 @@ def edited_counts(
     schema = docs.select(*rest).schema
     for name in numbers:
         schema = schema.add(name, "long")
-    parts = ("lengths", "tokens")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     if keep_leaves:
-        ddl += ", leaves struct<lengths: array<int>, tokens: array<int>>"
+        ddl += ", leaves binary"
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(ranks, pattern)
@@ -256,12 +272,11 @@ def edited_counts(
             rows, kept = [], []
             stored = batch.column(leaves) if leaves else None
             for i, (value, changes) in enumerate(zip(batch.column(text), batch.column(edits))):
-                known = stored[i] if leaves and stored[i].is_valid else None
-                known = known and [known[p].values.to_numpy(zero_copy_only=False) for p in parts]
-                tree = TokenTree(value.as_py() or "", counter, known)
+                known = stored[i].as_py() if leaves else None
+                tree = TokenTree(value.as_py() or "", counter, known and unpacked(known))
                 before = tree.n, tree.total
                 if keep_leaves:
-                    kept.append(tree.leaves())
+                    kept.append(packed(*tree.leaves()))
                 for change in changes.as_py() or ():
                     if change is not None:
                         tree.edit(change["start"] or 0, change["stop"] or 0, change["new"] or "")
@@ -270,9 +285,7 @@ def edited_counts(
             columns += [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(numbers))]
             names = [*rest, *numbers]
             if keep_leaves:
-                ends = pa.array(np.cumsum([0, *[len(lengths) for lengths, _ in kept]]), pa.int32())
-                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), pa.int32())) for x in zip(*kept)]
-                columns, names = [*columns, pa.StructArray.from_arrays(lists, parts)], [*names, "leaves"]
+                columns, names = [*columns, pa.array(kept, pa.binary())], [*names, "leaves"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     used = list(dict.fromkeys([*rest, text, edits, *([leaves] if leaves else [])]))

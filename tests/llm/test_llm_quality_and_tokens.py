@@ -8,6 +8,7 @@ import random
 from fractions import Fraction
 from math import comb
 
+import numpy as np
 import pytest
 from helpers import documents, fully, odd_rows, prose, words
 
@@ -160,6 +161,17 @@ def test_edits_as_a_job_and_stored_trees(spark):
     assert {i: r["tokens_after"] for i, r in again.items()} == {i: r["tokens_after"] for i, r in rows.items()}
 
 
+def test_packed_leaves_come_back():
+    dice = random.Random(11)
+    for n in (0, 1, 5, 4000):
+        pairs = [(dice.choice([0, 1, 5, 62, 63, 64, 90_000]), dice.choice([0, 1, 2, 3, 4, 40_000])) for _ in range(n)]
+        lengths, tokens = (np.array(x, np.int64) for x in (zip(*pairs) if pairs else ((), ())))
+        again = token_counts.unpacked(token_counts.packed(lengths, tokens))
+        assert all((a == b).all() and len(a) == n for a, b in zip(again, (lengths, tokens)))
+    # usual pre-tokens take a byte
+    assert len(token_counts.packed(np.full(1000, 6), np.ones(1000, int))) == 1004
+
+
 @needs_ranks
 def test_token_counts_odd_rows_and_empty_tables(spark):
     ranks = token_counts.read_ranks(RANKS)
