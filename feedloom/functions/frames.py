@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -140,51 +142,58 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return left.join(renamed, on, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
-def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[str], bucket: int = 86_400
-) -> DataFrame:
+_SIGN, _MASK = 1 << 63, (1 << 64) - 1
+_DIGIT = 16  # bits
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[str]) -> DataFrame:
     """Exact discrete quantiles of a whole-number column, as a one-row frame q0, q1, ...
 
-    Counts per value are summed into buckets of ``bucket`` units (a day, for
-    epoch seconds). A running total over the few buckets finds the bucket that
-    holds each quantile, a second one looks inside it. Probabilities are
-    decimal strings, so that the rank ceil(p * n) has no rounding noise.
+    Values are counted once. Then each quantile is narrowed down from its leading digits (of 16
+    bits, after the bits that all values share): counts per next digit of the values that begin like it say
+    which one it has. So no window has more than 65,536 rows per quantile, whatever the values.
+    Probabilities are decimal strings, so that the rank ceil(p * n) has no rounding noise.
+    Nulls do not count; without values the quantiles are null.
     """
-    counts = (
+    counts = written(
         df.filter(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("long").alias("v"))
         .agg(F.count("*").alias("n"))
-        .withColumn("b", F.floor(F.col("v") / F.lit(bucket)))
-    )
-    coarse = counts.groupBy("b").agg(F.sum("n").alias("n"))
-    along = Window.orderBy("b")
-    everything = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    running = coarse.select(
-        "b",
-        F.sum("n").over(along).alias("upto"),
-        (F.sum("n").over(along) - F.col("n")).alias("before"),
-        F.sum("n").over(everything).alias("total"),
-    )
-    wanted = F.array(*[F.lit(p).cast("decimal(10,9)") for p in probabilities])
-    picks = (
-        running.select("*", F.posexplode(wanted).alias("i", "p"))
-        .withColumn("target", F.greatest(F.ceil(F.col("p") * F.col("total")).cast("long"), F.lit(1)))
-        .filter((F.col("before") < F.col("target")) & (F.col("target") <= F.col("upto")))
-        .select("b", "i", "before", "target")
     )
-    # picks has one row per probability
-    inside = Window.partitionBy("i").orderBy("v")
-    found = (
-        counts.join(F.broadcast(picks), "b")
-        .withColumn("upto", F.col("before") + F.sum("n").over(inside))
-        .filter(F.col("upto") >= F.col("target"))
-    )
-    return found.agg(
-        *[
-            F.min(F.when(F.col("i") == i, F.col("v"))).alias(f"q{i}")
-            for i in range(len(probabilities))
+    names = [f"q{i}" for i in range(len(probabilities))]
+    ends = counts.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("n")).first()
+    if ends["n"] is None:
+        return df.sparkSession.range(1).select(*[F.lit(None).cast("long").alias(c) for c in names])
+    # with the sign bit turned, digits order values like unsigned numbers
+    low, high = ((end & _MASK) ^ _SIGN for end in (ends["low"], ends["high"]))
+    levels = -(-(low ^ high).bit_length() // _DIGIT)
+    ranks = [max(1, math.ceil(Fraction(p) * ends["n"])) for p in probabilities]
+    begins = [low >> levels * _DIGIT] * len(ranks)
+    turned = F.col("v").bitwiseXOR(F.lit(-_SIGN).cast("long"))
+    for level in reversed(range(levels)):
+        digit = F.shiftrightunsigned(turned, level * _DIGIT).bitwiseAND(F.lit((1 << _DIGIT) - 1))
+        # a shift by 64 bits would be none
+        beginning = F.shiftrightunsigned(turned, (level + 1) * _DIGIT) if level < 3 else F.lit(0).cast("long")
+        rows = counts.select("n", digit.alias("digit"), beginning.alias("begins"))
+        digits = rows.filter(F.col("begins").isin(*set(begins))).groupBy("begins", "digit").agg(F.sum("n").alias("n"))
+        along = Window.partitionBy("begins").orderBy("digit")
+        running = digits.select(
+            "begins", "digit", (F.sum("n").over(along) - F.col("n")).alias("before"), F.sum("n").over(along).alias("upto")
+        )
+        asked = [
+            F.struct(F.lit(i).alias("i"), F.lit(rank).cast("long").alias("rank"), F.lit(begin).cast("long").alias("own"))
+            for i, (rank, begin) in enumerate(zip(ranks, begins))
         ]
-    )
+        found = running.select("*", F.inline(F.array(*asked))).filter(
+            (F.col("begins") == F.col("own"))
+            & (F.col("before") < F.col("rank"))
+            & (F.col("rank") <= F.col("upto"))
+        )
+        for row in found.collect():  # one row per quantile
+            begins[row["i"]] = begins[row["i"]] << _DIGIT | row["digit"]
+            ranks[row["i"]] -= row["before"]
+    values = [begin - _SIGN for begin in begins]
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("long").alias(c) for c, v in zip(names, values)])
 
 
 def approximate_quantiles(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +152,21 @@ def test_exact_quantiles(spark):
         assert q == ordered[-(-len(ordered) * p // 100) - 1]
 
 
+@pytest.mark.parametrize("low, high, n", [(-(2**63), 2**63 - 1, 3000), (0, 2**40, 900), (5, 5, 4), (-70_000, 70_000, 500), (-1, 0, 9)])
+def test_exact_quantiles_of_any_range(spark, low, high, n):
+    dice = random.Random(n)
+    values = [low, high] + [dice.randint(low, high) for _ in range(n)]
+    names = ["0.000001", "0.25", "0.5", "0.5001", "0.999999", "1"]
+    row = exact_quantiles(spark.createDataFrame([(v,) for v in values], "v long"), "v", names).first()
+    ordered = sorted(values)
+    expected = [ordered[max(1, math.ceil(Fraction(p) * len(ordered))) - 1] for p in names]
+    assert list(row) == expected
+
+
+def test_exact_quantiles_without_values(spark):
+    assert tuple(exact_quantiles(spark.createDataFrame([(None,)], "v long"), "v", ["0.5", "1"]).first()) == (None, None)
+
+
 def brute_tfidf(texts):
     import re
 
