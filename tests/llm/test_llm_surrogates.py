@@ -121,6 +121,56 @@ def test_long_entities_are_replaced_whole(spark):
     assert len(set(made)) == len(made) and made[3][:100] != made[4][:100]
 
 
+def test_names_of_many_forms_and_other_entities_never_stay(spark):
+    cases = {
+        "Mr. McDonald came": "McDonald", "Mrs. O'Brien came": "Brien", "Ms. Smith-Jones came": "Smith Jones",
+        "Dr. John Miller came": "John Miller", "Prof. Dr. Smith came": "Smith", "Mr SMITH came": "SMITH",
+        "Herr von Berg kam": "Berg", "Frau von der Leyen kam": "Leyen", "Mr. 王 came": "王", "Mr. John Paul Smith came": "John Paul Smith",
+        "Mr. J. Smith came": "Smith", "Mr. John Smith left. Later Smith said SMITH is John's": "Smith John SMITH",
+        "my password is hunter2abc ok": "hunter2abc", "at 2001:db8::1 and 2001:0db8:85a3:0:0:8a2e:370:7334": "2001 8a2e db8",
+        "to jürgen@exämple.de now": "jürgen exämple", "Smith and Mrs. Smith's dog": "Smith",
+    }
+    rows = {r["doc_id"]: r for r in fully(surrogates.with_surrogates(documents(spark, list(cases)), "k"))}
+    for i, (text, gone) in enumerate(cases.items()):
+        assert rows[i]["n_entities"] > 0
+        for word in gone.split():
+            assert word not in rows[i]["text"], rows[i]["text"]
+    assert re.fullmatch(r"Mrs\. O'[A-Z][a-z]+ came", rows[1]["text"])
+    assert re.fullmatch(r"Ms\. [A-Z][a-z]+-[A-Z][a-z]+ came", rows[2]["text"])
+    assert re.fullmatch(r"Mr [A-Z]+ came", rows[5]["text"]) and re.fullmatch(r"Herr von [A-Z][a-z]+ kam", rows[6]["text"])
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) left\. Later (\w+) said (\w+) is (\w+)'s", rows[11]["text"])
+    assert m[2] == m[3] and m[4] == m[2].upper() and m[1] == m[5]
+    m = re.fullmatch(r"(\w+) and Mrs\. (\w+)'s dog", rows[15]["text"])
+    assert m[1] == m[2]
+
+
+def test_surnames_keep_the_gender_they_tell(spark):
+    texts = ["госпожа Иванова и господин Петров", "доктор Анна Белая"]
+    rows = {r["doc_id"]: r["text"] for r in fully(surrogates.with_surrogates(documents(spark, texts), "k"))}
+    assert re.fullmatch("госпожа [А-Я][а-я]+ова и господин [А-Я][а-я]+ов", rows[0])
+    assert re.fullmatch("доктор [А-Я][а-я]+и [А-Я][а-я]+ова", rows[1])
+
+
+def test_texts_without_personal_data_stay(spark):
+    texts = [
+        "The password is required and the token is missing.", "Use std::vector or a::b at 12:30:45.", "Sir, the Smith works. Mr. who?",
+        "Version 1.2.3 of Don's thing; Herr der Ringe", "See John Smith and 王 there.", "ratio 3:4, 10::", "a@b and @name",
+    ]
+    for r in fully(surrogates.with_surrogates(documents(spark, texts), "k")):
+        assert (r["text"], r["n_entities"]) == (texts[r["doc_id"]], 0)
+
+
+def test_crowded_formats_stay_distinct(spark):
+    """Twenty domains stay twenty; more short secrets than a format has values get longer ones."""
+    texts = [f"write to someone@{chr(97 + i)}.org" for i in range(20)]
+    rows = fully(surrogates.with_surrogates(documents(spark, texts), "k"))
+    domains = {r["text"].split("@")[1] for r in rows}
+    assert len(domains) == 20 and not domains & {t.split("@")[1] for t in texts}
+    df = spark.createDataFrame([("secret", str(i)) for i in range(10)], "kind string, canon string")
+    found = {r.canon: r.surrogate for r in surrogates.assign(df, "k", roomy=2).collect()}
+    assert len(set(found.values())) == 10 and not set(found) & set(found.values())
+
+
 def test_odd_rows_and_empty_tables(spark):
     docs = odd_rows(spark).withColumn("rid", F.lit("clash")).withColumn("parts", F.lit(1)).withColumn("news", F.lit(2))
     rows = fully(surrogates.with_surrogates(docs, "k"))
