@@ -167,6 +167,29 @@ def test_exact_quantiles_without_values(spark):
     assert tuple(exact_quantiles(spark.createDataFrame([(None,)], "v long"), "v", ["0.5", "1"]).first()) == (None, None)
 
 
+@pytest.mark.parametrize("room, n", [(6, 5), (40, 5), (300, 5), (6, 400), (5000, 5000)])
+def test_frequent_terms_hold_the_first_ones(spark, room, n):
+    dice = random.Random(room + n)
+    rows = [(f"t{int(dice.paretovariate(0.7)) % 700}", dice.choice([1, 1, 1, 9])) for _ in range(6000)]
+    rows += [(f"once{i}", 1) for i in range(900)]
+    totals = Counter()
+    for term, copies in rows:
+        totals[term] += copies
+    ordered = sorted(totals, key=lambda t: (-totals[t], t))
+    df = spark.createDataFrame(rows, "term string, copies long").repartition(5)
+    found = {r["term"] for r in content.frequent_terms(df, n, room).collect()}
+    assert set(ordered[:n]) <= found <= set(ordered)
+    if n == 5:
+        assert len(found) < 100
+    assert content.frequent_terms(df.limit(0), n, room).count() == 0
+
+
+def test_vocabulary_does_not_depend_on_the_room(spark, news):
+    plain = content.fit_tfidf(news, 7)[2].collect()
+    small = content.fit_tfidf(news, 7, room=3)[2].collect()
+    assert len(plain) == 7 and sorted(map(tuple, plain)) == sorted(map(tuple, small))
+
+
 def brute_tfidf(texts):
     import re
 
