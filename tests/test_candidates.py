@@ -78,6 +78,23 @@ def test_best_overlaps_equal_brute_force(spark, shape, keep, min_common):
         assert sorted(found[p])[:keep] == sorted(near)[:keep], p
 
 
+@pytest.mark.parametrize("shape", ["hot", "middle", "all"])
+@pytest.mark.parametrize(("keep", "min_common"), [(3, 3), (7, 1)])
+def test_dense_profiles_are_compared_in_cells(spark, shape, keep, min_common, monkeypatch):
+    """No row per shared item: each cell keeps the best of its profiles, and small cells agree with whole ones."""
+    monkeypatch.setattr(collaborative, "CELL_RIGHT", 64)
+    monkeypatch.setattr(collaborative, "ITEMS_PER_ROW", 1e9)
+    sets, items = drawn_profiles(spark, shape)
+    made: dict = {}
+    found = defaultdict(list)
+    for r in collaborative.best_overlaps(items, keep, min_common, made, pair_rows=0).collect():
+        found[r["left"]].append((-r["common"], r["right"]))
+    assert list(made) == ["compared"] and made["compared"] <= keep * len(sets)
+    for p, own in sets.items():
+        near = [(-len(own & s), v) for v, s in sets.items() if v != p and len(own & s) >= min_common]
+        assert sorted(found[p]) == sorted(near)[:keep], p
+
+
 def test_fifty_hot_items_make_few_pairs(spark):
     """All profiles share fifty items; all pairs would be 360,000, and 18 million rows of a join."""
     rows = [(p, i) for p in range(600) for i in [*range(50), 1000 + p // 2, 5000 + p]]
