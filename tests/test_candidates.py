@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom.functions.frames import exact_quantiles, positions, salted_join
-from feedloom.operators import collaborative, content, popularity
+from feedloom.operators import collaborative, content, popularity, prep, rerank
 from feedloom.operators.item_features import build_item_features
 from feedloom.operators.pool import candidate_pool
 
@@ -316,3 +316,24 @@ def test_popularity_and_pool(spark, interactions, news):
     for u in {r["user_id"] for r in pool}:
         ranks = sorted(r["rank"] for r in pool if r["user_id"] == u)
         assert ranks == list(range(1, len(ranks) + 1)) and len(ranks) <= 15
+
+
+def test_exploded_lists_are_built_once(spark, interactions, news):
+    """A plain explode adds a filter on the lists' sizes, which writes out and runs their expressions again."""
+    items = build_item_features(interactions, news)
+    clicks = collaborative.user_clicks(interactions)
+    users = spark.createDataFrame([("U1", "sports"), ("U2", None)], "user_id string, user_top_category string")
+    listed = popularity.popularity_candidates(users, clicks, items, 10, 10)
+    shown = interactions.withColumn("score", F.lit(1.0)).withColumn("category", F.lit("x")).drop("timestamp_unix")
+    packed = spark.createDataFrame([("1", "N1-0 N2-1 bad"), ("2", "")], "impression_id string, impressions string")
+    for df in (
+        listed,
+        rerank.mmr_rerank(shown.withColumn("position", F.lit(1))),
+        collaborative.similar_users(clicks),
+        prep.parse_impressions(packed),
+    ):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" in plan and "Filter ((size(" not in plan and "Filter (size(" not in plan
+    assert prep.parse_impressions(packed).count() == 2
+    ranks = listed.groupBy("user_id").agg(F.max("rank").alias("last"), F.count("*").alias("n"))
+    assert ranks.filter("last = n").count() == 2
