@@ -34,3 +34,17 @@ def test_entry_without_the_text_operators(tmp_path, pipeline_stays):
         [sys.executable, "-c", SCRIPT], cwd=tree, env=clean, capture_output=True, text=True, timeout=300
     )
     assert "ROWS" in done.stdout, done.stderr[-2000:]
+
+
+def test_matrix_methods_are_small_enough_to_be_compiled(spark):
+    """The JVM interprets methods of over 8,000 bytes; with and without broadcasts the matrix has none."""
+    from feedloom.plans.queries import REGISTRY
+
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    for limit in ("10485760", "-1"):
+        session = spark.newSession()
+        session.conf.set("spark.sql.adaptive.enabled", "false")
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        plan = REGISTRY["feature_matrix"](session, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+        found = debug.codegenStringSeq(plan)
+        assert max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())) <= 8000
