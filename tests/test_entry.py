@@ -48,3 +48,17 @@ def test_matrix_methods_are_small_enough_to_be_compiled(spark):
         plan = REGISTRY["feature_matrix"](session, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
         found = debug.codegenStringSeq(plan)
         assert max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())) <= 8000
+
+
+def test_only_what_a_query_reads_is_written(spark, monkeypatch):
+    from feedloom.plans import queries
+
+    tables, written = [], queries.written
+    monkeypatch.setattr(queries, "written", lambda df: tables.append(df.columns) or written(df))
+    for name, inputs in (("attribution_fixed_weights", 3), ("permutation_importance", 4)):
+        tables.clear()
+        queries.REGISTRY[name](spark, "/root/testdata/sf0.001")
+        assert len(tables[-1]) == 5 + inputs  # and the keys, label and split
+    tables.clear()
+    queries.REGISTRY["feature_column_names"](spark, "/root/testdata/sf0.001")
+    assert not any("ctx_hour" in columns for columns in tables)
