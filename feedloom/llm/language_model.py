@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from zlib import compress, crc32, decompress
 
 import numpy as np
@@ -32,7 +33,7 @@ from feedloom.llm.common import lower_words
 
 SINGLES, ENDINGS, WIDTH, NOISE, BATCH = 256, 512, 16, 16, 16_384
 CLASSES = SINGLES + ENDINGS  # at least
-WITHIN, CHUNK, BLOCK = 8, 131_072, 1024
+WITHIN, CHUNK, BLOCK = 8, 262_144, 1024
 GROUP = 32  # classes of a group; their numbers are whole multiples of it
 END = b""  # no word is empty
 _FLUSH = 500_000
@@ -98,11 +99,11 @@ class Slots:
         own = np.bincount(class_of, mass, n_classes)
         self.log_share = np.log(mass / own[class_of])
         self.until = np.cumsum(mass[self.order])
+        self.below = np.concatenate(([0.0], self.until))[self.first]
 
     def noise(self, classes: np.ndarray, dice: np.random.Generator) -> np.ndarray:
         """WITHIN slots of each class, drawn by their shares."""
-        below = np.concatenate(([0.0], self.until))[self.first]
-        low, high = below[classes], below[classes + 1]
+        low, high = self.below[classes], self.below[classes + 1]
         drawn = low[:, None] + dice.random((len(classes), WITHIN)) * (high - low)[:, None]
         at = np.searchsorted(self.until, drawn, side="right")
         return self.order[np.clip(at, self.first[classes][:, None], self.first[classes + 1][:, None] - 1)]
@@ -116,9 +117,19 @@ def contexts(slots: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _add(target: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """Add rows to the places of a table, summing those that share one."""
-    width = rows.shape[1]
-    flat = (at[:, None] * width + np.arange(width)).ravel()
-    target += np.bincount(flat, rows.ravel(), target.size).reshape(target.shape)
+    # column by column: an index per number would take most of the time
+    for j in range(rows.shape[1]):
+        target[:, j] += np.bincount(at, rows[:, j], len(target))
+
+
+def _rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of a table; several times as fast as an index."""
+    return table.take(at, axis=0)
+
+
+def _by_class(classes: np.ndarray, n_classes: int) -> np.ndarray:
+    """Places in the order of their classes; two bytes are sorted by digits."""
+    return np.argsort(classes.astype(np.uint16 if n_classes <= 1 << 16 else np.int64), kind="stable")
 
 
 class Rows:
@@ -127,16 +138,21 @@ class Rows:
     def __init__(self, start: np.ndarray, rate: float):
         self.x, self.rate = start.astype(np.float32), rate
         self.grown, self.times = np.ones_like(self.x), np.zeros(len(self.x), np.float32)
+        self.place = np.empty(len(self.x), np.int64)  # of a row among those of a step
 
     def add(self, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Step along the rows' sums by place; the places and these sums."""
-        own, which, often = np.unique(at, return_inverse=True, return_counts=True)
+        # of equal places the last one stands for all
+        self.place[at] = np.arange(len(at))
+        own = at[self.place[at] == np.arange(len(at))]
+        self.place[own] = np.arange(len(own))
+        which = self.place[at]
         g = np.zeros((len(own), rows.shape[1]), np.float32)
         _add(g, which, rows)
-        grown = self.grown[own] + g**2
+        grown = _rows(self.grown, own) + g**2
         self.grown[own] = grown
-        self.x[own] += self.rate * g / np.sqrt(grown)
-        self.times[own] += often
+        self.x[own] = _rows(self.x, own) + self.rate * g / np.sqrt(grown)
+        self.times[own] += np.bincount(which, minlength=len(own))
         return own, g
 
 
@@ -168,72 +184,96 @@ class Trainer:
         if slots is not None:
             self.D, self.S = Rows(words[0], rate), Rows(words[1], rate)
 
-    def _within(self, word: np.ndarray, classes: np.ndarray, r: np.ndarray, dr: np.ndarray) -> None:
-        """Learn S from the tokens that do not fill their class; adds what r learns to dr."""
-        at = np.argsort(classes, kind="stable")
-        at = at[np.searchsorted(classes[at], SINGLES) :]
-        if not len(at):
+    def _within(
+        self, word: np.ndarray, classes: np.ndarray, r: np.ndarray, dr: np.ndarray, class_up: np.ndarray, g: Parameters
+    ) -> None:
+        """Learn S from the tokens, in class order, that do not fill their class; adds what r learns to dr.
+
+        class_up: what tokens push their classes' rows of Q by; these rows' sums of r come from the same products.
+        """
+        begin = np.searchsorted(classes, SINGLES)
+        _add(g.Q, classes[:begin], class_up[:begin, None] * r[:begin])
+        word, own_class, r = word[begin:], classes[begin:], r[begin:]
+        if not len(word):
             return
-        word, own_class, r = word[at], classes[at], r[at]
         first = np.flatnonzero(np.diff(own_class, prepend=-1))
         noise = self.slots.noise(own_class[first], self.dice)  # a class shares its noise in a batch
-        own = self.S.x[word]
-        other = np.repeat(self.S.x[noise], np.diff(np.append(first, len(at))), axis=0)
+        own = _rows(self.S.x, word)
+        other = np.repeat(_rows(self.S.x, noise), np.diff(np.append(first, len(word))), axis=0)
         # shares are both the noise and the bias, so only their number is left
         up = 0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ij->i", r, own) - np.float32(np.log(WITHIN))))
         down = -0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ikj->ik", r, other) - np.float32(np.log(WITHIN))))
-        dr[at] += up[:, None] * own + np.einsum("ik,ikj->ij", down, other)
-        pushed = np.empty((len(first), WITHIN, WIDTH), np.float32)
-        for out, low, high in zip(pushed, first.tolist(), [*first[1:].tolist(), len(at)]):
-            np.dot(down[low:high].T, r[low:high], out=out)
+        dr[begin:] += up[:, None] * own + np.einsum("ik,ikj->ij", down, other)
+        pushes = np.column_stack((down, class_up[begin:]))
+        if len(word) < 4 * len(first):  # few tokens a class: no products
+            pushed = np.add.reduceat(np.einsum("ik,ij->ikj", pushes, r), first, axis=0)
+        else:
+            pushed = np.empty((len(first), WITHIN + 1, WIDTH), np.float32)
+            for out, low, high in zip(pushed, first.tolist(), [*first[1:].tolist(), len(word)]):
+                np.dot(pushes[low:high].T, r[low:high], out=out)
+        g.Q[own_class[first]] += pushed[:, WITHIN]
         self.S.add(
-            np.concatenate((word, noise.ravel())), np.concatenate((up[:, None] * r, pushed.reshape(-1, WIDTH)))
+            np.concatenate((word, noise.ravel())),
+            np.concatenate((up[:, None] * r, pushed[:, :WITHIN].reshape(-1, WIDTH))),
         )
 
-    def _in_group(self, word: np.ndarray, r: np.ndarray, dr: np.ndarray, g: Parameters) -> None:
-        """Learn Q and bias of the classes among their groups; adds what r learns to dr."""
-        at = np.argsort(word // GROUP, kind="stable")
-        word, r = word[at], r[at]
+    def _in_group(
+        self, word: np.ndarray, r: np.ndarray, dr: np.ndarray, group_up: np.ndarray, g: Parameters
+    ) -> np.ndarray:
+        """Learn the classes, which are in order, among their groups; adds what r learns to dr.
+
+        group_up: what tokens push their groups' rows of U by. Returns the like for classes, whose own rows of Q are
+        left to the caller.
+        """
         group = word // GROUP
         first = np.flatnonzero(np.diff(group, prepend=-1))
         noise = self.groups.noise(group[first], self.dice)  # a group shares its noise in a batch
         odds = (self.p.bias - self.groups.log_share - np.log(WITHIN)).astype(np.float32)
-        own = self.p.Q[word]
+        own = _rows(self.p.Q, word)
         up = 0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ij->i", r, own) + odds[word]))
-        gain = up[:, None] * own
-        for low, high, drawn in zip(first.tolist(), [*first[1:].tolist(), len(at)], noise):
-            other = self.p.Q[drawn]
-            down = -0.5 - 0.5 * np.tanh(0.5 * (r[low:high] @ other.T + odds[drawn]))
-            gain[low:high] += down @ other
-            np.add.at(g.Q, drawn, down.T @ r[low:high])
-            np.add.at(g.bias, drawn, down.sum(0))
-        dr[at] += gain
-        _add(g.Q, word, up[:, None] * r)
+        dr += up[:, None] * own
+        other, ends = _rows(self.p.Q, noise), [*first.tolist(), len(word)]
+        down = np.repeat(odds[noise], np.diff(ends), axis=0)
+        for low, high, drawn in zip(ends[:-1], ends[1:], other):
+            down[low:high] += np.dot(r[low:high], drawn.T)
+        down = -0.5 - 0.5 * np.tanh(0.5 * down)
+        pushed, pushes = np.empty((len(first), WITHIN + 1, WIDTH), np.float32), np.column_stack((down, group_up))
+        for low, high, drawn, out in zip(ends[:-1], ends[1:], other, pushed):
+            dr[low:high] += np.dot(down[low:high], drawn)
+            np.dot(pushes[low:high].T, r[low:high], out=out)
+        g.U[group[first]] += pushed[:, WITHIN]
+        _add(g.Q, noise.ravel(), pushed[:, :WITHIN].reshape(-1, WIDTH))
+        g.bias += np.bincount(noise.ravel(), np.add.reduceat(down, first, axis=0).ravel(), len(self.share))
         g.bias += np.bincount(word, up, len(self.share))
+        return up
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         p, g, slots = self.p, Parameters(np.zeros(len(self.p.flat), np.float32)), self.slots
         noise = self.dice.choice(len(self.top_share), NOISE, p=self.top_share)
+        # groups are classes in a row, so that one order serves both
+        order = _by_class(word if slots is None else slots.class_of[word], len(self.share))
+        word, one, two = word[order], one[order], two[order]
         target_slot, contexts_slots = word, np.concatenate((one, two))
         if slots is not None:
             word, one, two = (slots.class_of[x] for x in (word, one, two))
-        a, b = p.R[one], p.R[two]
+        a, b = _rows(p.R, one), _rows(p.R, two)
         if slots is not None:
-            own = self.D.x[contexts_slots]
+            own = _rows(self.D.x, contexts_slots)
             a, b = a + own[: len(a)], b + own[len(a) :]
         r = a @ p.C1 + b @ p.C2
         group = word // GROUP
-        target, odds = p.U[group], p.top - self.log_kp
+        target, odds = _rows(p.U, group), p.top - self.log_kp
         data = np.einsum("ij,ij->i", r, target) + odds[group]
         other = r @ p.U[noise].T + odds[noise]
         # sigmoids by tanh, which cannot overflow
         up = 0.5 - 0.5 * np.tanh(0.5 * data)
         down = -0.5 - 0.5 * np.tanh(0.5 * other)
         dr = up[:, None] * target + down @ p.U[noise]
-        self._in_group(word, r, dr, g)
-        if slots is not None:
-            self._within(target_slot, word, r, dr)
-        _add(g.U, group, up[:, None] * r)
+        class_up = self._in_group(word, r, dr, up, g)
+        if slots is None:
+            _add(g.Q, word, class_up[:, None] * r)
+        else:
+            self._within(target_slot, word, r, dr, class_up, g)
         np.add.at(g.U, noise, down.T @ r)
         g.top += np.bincount(group, up, len(self.top_share))
         np.add.at(g.top, noise, down.sum(0))
@@ -275,7 +315,11 @@ def log_probabilities(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, _Normal
 
 
 def _log_sum(scores: np.ndarray) -> np.ndarray:
-    """Log of the rows' sums of exp(scores); overwrites these."""
+    """Log of the rows' sums of exp(scores); may overwrite these."""
+    with np.errstate(over="ignore"):
+        sums = np.exp(scores) @ np.ones(scores.shape[1], scores.dtype)
+    if 1e-30 < sums.min() and sums.max() < 1e37:
+        return np.log(sums).astype(float)
     top = scores.max(1)
     scores -= top[:, None]
     return np.log(np.exp(scores, out=scores).sum(1)).astype(float) + top
@@ -291,35 +335,38 @@ def log_likelihoods(
     to_group = np.column_stack((p.U, p.top)).T.copy()
     to_class = np.column_stack((p.Q, p.bias)).T.copy()
     to_word = np.column_stack((S, slots.log_share))[slots.order].astype(np.float32)
-    for i in range(0, len(word), CHUNK):
-        w, a, b = (x[i : i + CHUNK] for x in (word, one, two))
-        c = slots.class_of[w]
+    # a piece with one more text is not cut
+    for i in range(0, len(word), 2 * CHUNK):
+        c = slots.class_of[word[i : i + 2 * CHUNK]]
+        # all tokens of a class, and so of a group, stand together
+        order = _by_class(c, len(p.bias))
+        c, (w, a, b) = c[order], [x[i + order] for x in (word, one, two)]
         g = c // GROUP
-        r = (p.R[slots.class_of[a]] + D[a]) @ p.C1 + (p.R[slots.class_of[b]] + D[b]) @ p.C2
-        log_p = np.einsum("ij,ij->i", r, p.Q[c] + p.U[g]).astype(float) + p.bias[c] + p.top[g]
-        r1 = np.column_stack((r, np.ones(len(r), np.float32)))
+        r1 = np.ones((len(w), WIDTH + 1), np.float32)
+        r = r1[:, :WIDTH]
+        r[:] = (_rows(p.R, slots.class_of[a]) + _rows(D, a)) @ p.C1
+        r += (_rows(p.R, slots.class_of[b]) + _rows(D, b)) @ p.C2
+        log_p = np.einsum("ij,ij->i", r, _rows(p.Q, c) + _rows(p.U, g)).astype(float) + p.bias[c] + p.top[g]
         for j in range(0, len(w), 2048):
             log_p[j : j + 2048] -= _log_sum(r1[j : j + 2048] @ to_group)
-        # all tokens of a class, and so of a group, stand together
-        by_class = np.argsort(c, kind="stable")
-        bounds = np.flatnonzero(np.diff(g[by_class], prepend=-1, append=-1))
+        bounds = np.flatnonzero(np.diff(g, prepend=-1, append=-1)).tolist()
         for low, high in zip(bounds[:-1], bounds[1:]):
-            own = g[by_class[low]] * GROUP
+            vectors = to_class[:, g[low] * GROUP : (g[low] + 1) * GROUP]
             for j in range(low, high, 4096):
-                at = by_class[j : min(j + 4096, high)]
-                log_p[at] -= _log_sum(r1[at] @ to_class[:, own : own + GROUP])
-        by_class = by_class[np.searchsorted(c[by_class], SINGLES) :]
-        log_p[by_class] += np.einsum("ij,ij->i", r[by_class], S[w[by_class]]) + slots.log_share[w[by_class]]
-        bounds = np.flatnonzero(np.diff(c[by_class], prepend=-1, append=-1))
+                k = min(j + 4096, high)
+                log_p[j:k] -= _log_sum(r1[j:k] @ vectors)
+        begin = np.searchsorted(c, SINGLES)
+        log_p[begin:] += np.einsum("ij,ij->i", r[begin:], _rows(S, w[begin:])) + slots.log_share[w[begin:]]
+        bounds = (begin + np.flatnonzero(np.diff(c[begin:], prepend=-1, append=-1))).tolist()
         for low, high in zip(bounds[:-1], bounds[1:]):
-            own = c[by_class[low]]
+            own = c[low]
             vectors = to_word[slots.first[own] : slots.first[own + 1]].T
             # a frequent class is cut too, so that the scores of a piece stay small
             piece = max(1, 250_000 // vectors.shape[1])
             for j in range(low, high, piece):
-                at = by_class[j : min(j + piece, high)]
-                log_p[at] -= _log_sum(r1[at] @ vectors)
-        found[i : i + CHUNK] = log_p
+                k = min(j + piece, high)
+                log_p[j:k] -= _log_sum(r1[j:k] @ vectors)
+        found[i + order] = log_p
     return found
 
 
@@ -433,7 +480,7 @@ def _encoded(docs: DataFrame, text: str, common: dict[bytes, float], endings: in
             rows = []
             for value in batch.column(text):
                 words = [*lower_words(value.as_py()), END]
-                at = np.fromiter((get(w, last) for w in words), np.int64, len(words))
+                at = np.fromiter(map(get, words, repeat(last)), np.int64, len(words))
                 places = np.flatnonzero(at == last).tolist()
                 rare = [words[i] for i in places]
                 own = at + n_classes
@@ -506,6 +553,8 @@ def _trained(
         start = flat, _packed(words)
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # large blocks that were freed once make the allocator keep the work arrays of all steps
+            np.empty(1 << 25, np.int8)
             trainer = Trainer(start[0], share, 42 + number, 0.2, slots, _unpacked(start[1]))
             kept, held = [], 0
 
@@ -546,10 +595,10 @@ def _trained(
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows in pieces of about two chunks of tokens, a row at least."""
+    """The rows in pieces of about a chunk of tokens, a row at least."""
     for batch in batches:
         sizes = np.cumsum([len(v.as_py()) // 4 for v in batch.column("slots")])
-        cuts = np.flatnonzero(np.diff(sizes // (2 * CHUNK), prepend=0)).tolist()
+        cuts = np.flatnonzero(np.diff(sizes // CHUNK, prepend=0)).tolist()
         for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
             if high > low:
                 yield batch.slice(low, high - low)
@@ -565,6 +614,7 @@ def _scored(
     log10_rest, sent = np.log10(np.maximum(rest, 1.0)), _packed(words)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.empty(1 << 25, np.int8)  # as in training
         vectors = _unpacked(sent).astype(np.float32)
         for batch in _pieces(batches):
             texts = [_slots_from(v.as_py()) for v in batch.column("slots")]
@@ -572,24 +622,26 @@ def _scored(
             word = np.concatenate(texts)
             one, two = (np.concatenate(x) for x in zip(*before))
             found = log_likelihoods(flat, vectors, slots, word, one, two) / np.log(10)
-            sums, rares, at = [], [], 0
-            for own, rare, places in zip(texts, batch.column("rare"), batch.column("places")):
-                log10, at = found[at : at + len(own)], at + len(own)
-                places = places.as_py()
-                each = log10[places]
-                merged: dict[bytes, list] = {}
-                for w, x in zip(rare.as_py(), (each - log10_rest[own[places]]).tolist()):
-                    seen = merged.setdefault(w, [0, 0.0])
-                    seen[0] += 1
-                    seen[1] += x
-                sums.append(float(log10.sum() - each.sum()))
-                rares.append([{"word": w, "times": n, "log10": x} for w, (n, x) in merged.items()])
-            kind = pa.list_(
-                pa.struct([("word", pa.binary()), ("times", pa.int64()), ("log10", pa.float64())])
+            begins = np.cumsum([0, *[len(own) for own in texts]])
+            sizes = batch.column("rare").value_lengths().to_numpy()
+            text = np.repeat(np.arange(len(texts)), sizes)
+            at = begins[text] + batch.column("places").flatten().to_numpy()
+            # a text's rare words, each once
+            listed = batch.column("rare").flatten().dictionary_encode()
+            key = text * max(1, len(listed.dictionary)) + listed.indices.to_numpy()
+            _, first, which, times = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            each = np.bincount(which, found[at] - log10_rest[word[at]], len(first))
+            found[at] = 0.0
+            sums = np.add.reduceat(found, begins[:-1])
+            rares = pa.ListArray.from_arrays(
+                pa.array(np.searchsorted(text[first], np.arange(len(texts) + 1)), pa.int32()),
+                pa.StructArray.from_arrays(
+                    [listed.dictionary.take(listed.indices.take(pa.array(first))), pa.array(times, pa.int64()), pa.array(each)],
+                    names=["word", "times", "log10"],
+                ),
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), pa.array(sums, pa.float64()), pa.array(rares, kind)],
-                names=["rid", "log10", "rare"],
+                [batch.column("rid"), pa.array(sums, pa.float64()), rares], names=["rid", "log10", "rare"]
             )
 
     return encoded.select("rid", "slots", "rare", "places").mapInArrow(

@@ -227,3 +227,36 @@ def test_scores_equal_a_plain_softmax_of_the_trained_model(spark):
             each = np.exp(S[among] @ r + slots.log_share[among])
             plain += math.log(each[among == w][0] / each.sum())
         assert log_p == pytest.approx(plain, abs=1e-4)
+
+
+def test_a_class_is_one_product_in_a_piece(monkeypatch):
+    n_classes, dice, asked = lm.CLASSES, np.random.default_rng(3), []
+    slots = lm.Slots(np.arange(n_classes), np.ones(n_classes), n_classes)
+    flat = lm.Parameters.start(np.full(n_classes, 1 / n_classes)).flat
+    words = dice.normal(size=(2, n_classes, lm.WIDTH)).astype(np.float32)
+    word = dice.integers(lm.SINGLES, lm.SINGLES + 3, 200_000)
+    plain = lm._log_sum
+    monkeypatch.setattr(lm, "_log_sum", lambda scores: asked.append(scores.shape) or plain(scores))
+    lm.log_likelihoods(flat, words, slots, word, word, word)
+    # classes of one word each are cut at 250,000 scores only
+    assert sum(wide == 1 for _, wide in asked) == 3
+
+
+def test_log_sums_of_extreme_scores():
+    scores = np.array([[500.0, 499.0], [-500.0, -501.0], [0.0, 0.0]], np.float32)
+    both = [lm._log_sum(scores.copy()), lm._log_sum(scores[2:].copy())]
+    expected = np.logaddexp(scores[:, 0].astype(float), scores[:, 1])
+    assert np.allclose(np.concatenate(both), [*expected, expected[2]], rtol=1e-6)
+
+
+def test_rows_step_along_sums_by_place():
+    dice = np.random.default_rng(5)
+    rows = lm.Rows(dice.normal(size=(50, 4)), 0.1)
+    before, at, g = rows.x.copy(), dice.integers(0, 20, 64), dice.normal(size=(64, 4)).astype(np.float32)
+    own, sums = rows.add(at, g)
+    assert sorted(own.tolist()) == sorted(set(at.tolist()))
+    for place, found in zip(own, sums):
+        total = g[at == place].sum(0)
+        assert np.allclose(found, total, atol=1e-5) and rows.times[place] == (at == place).sum()
+        assert np.allclose(rows.x[place] - before[place], 0.1 * total / np.sqrt(1 + total**2), atol=1e-5)
+    assert (rows.x[20:] == before[20:]).all() and not rows.times[20:].any()
