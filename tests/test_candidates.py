@@ -207,6 +207,33 @@ def test_vocabulary_does_not_depend_on_the_room(spark, news):
     assert len(plain) == 7 and sorted(map(tuple, plain)) == sorted(map(tuple, small))
 
 
+def test_tfidf_of_repeated_ids_and_odd_texts(spark):
+    texts = {1: "One two, two_2 x TWO; a \u00c4pfel", 2: "one", 3: "the of a", 4: "\U0001d538\U0001d539 \U0001d538 two one"}
+    rows = [(i, None, None, t) for i, t in texts.items()] + [(5, None, "", "two one")] * 2
+    rows += [(6, None, None, "one two"), (6, None, None, "two three"), (None, None, None, "one"), (7, None, None, None)]
+    news = spark.createDataFrame(rows, "news_id long, category string, subcategory string, title string")
+    found = defaultdict(set)
+    for r in content.tfidf(news).collect():
+        found[r["news_id"]].add(r["term"])
+    # the two texts of an id form no pair; one-letter and stop words are none
+    assert found[6] == {"one", "two", "three", "one two", "two three"}
+    assert found[1] == {"one", "two", "two_2", "\u00e4pfel", "one two", "two two_2", "two_2 two", "two \u00e4pfel"}
+    assert found[4] >= {"\U0001d538\U0001d539", "two one"} and found[5] == {"two", "one", "two one"}
+    assert 3 not in found and 7 not in found and found[2] == {"one"}
+
+
+def test_texts_are_not_exploded_into_shuffled_terms(spark, monkeypatch, news):
+    made = []
+    plain = content.written
+    monkeypatch.setattr(content, "written", lambda df: made.append(df.columns) or plain(df))
+    content.tfidf(news).collect()
+    # what is kept of texts is a row per text
+    assert all("term" not in c for c in made if "text_id" in c)
+    assert content.frequent_terms(
+        spark.createDataFrame([(f"t{i}", 1) for i in range(3000)], "term string, copies long"), 5, 10_000
+    ).count() == 5
+
+
 def brute_tfidf(texts):
     import re
 
