@@ -17,26 +17,26 @@ trains on its rows, the tasks' parameters are averaged, and further rounds go on
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 from zlib import compress, crc32, decompress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from feedloom.functions.frames import written
-from feedloom.llm.common import lower_words
 
 SINGLES, ENDINGS, WIDTH, NOISE, BATCH = 256, 512, 16, 16, 16_384
 CLASSES = SINGLES + ENDINGS  # at least
 WITHIN, CHUNK, BLOCK = 8, 262_144, 1024
 GROUP = 32  # classes of a group; their numbers are whole multiples of it
 END = b""  # no word is empty
-_FLUSH = 500_000
+_PIECE = 1 << 21  # bytes of text whose words are looked up at once
 
 
 def endings_for(distinct: int) -> int:
@@ -51,6 +51,13 @@ def ending_class(token: bytes, endings: int = ENDINGS) -> int:
     return SINGLES + crc32(token[-3:] + piece.to_bytes(4, "little")) % endings
 
 
+def _ending_classes(tokens: list[bytes], endings: int) -> list[int]:
+    """The same for many tokens."""
+    n = endings // ENDINGS * 4
+    tails = [piece.to_bytes(4, "little") for piece in range(n)]
+    return [SINGLES + crc32(tails[crc32(token) % n], crc32(token[-3:])) % endings for token in tokens]
+
+
 class Parameters:
     """R, C1, C2, Q and bias of the classes, U and top of the groups, as views of one vector."""
 
@@ -70,6 +77,7 @@ class Parameters:
             parts.append(flat[at : at + n].reshape(shape))
             at += n
         self.R, self.C1, self.C2, self.Q, self.bias, self.U, self.top = parts
+        self.C = flat[self.R.size : self.R.size + 2 * WIDTH**2].reshape(2 * WIDTH, WIDTH)  # C1 above C2
 
     @classmethod
     def start(cls, share: np.ndarray, seed: int = 42) -> Parameters:
@@ -117,9 +125,46 @@ def contexts(slots: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _add(target: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """Add rows to the places of a table, summing those that share one."""
-    # column by column: an index per number would take most of the time
-    for j in range(rows.shape[1]):
-        target[:, j] += np.bincount(at, rows[:, j], len(target))
+    order = _by_class(at, len(target))
+    first = np.flatnonzero(np.diff(at[order], prepend=-1))
+    target[at[order[first]]] += _run_sums(_rows(rows, order), first)
+
+
+def _runs(first: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Runs of n things by their lengths, so that those of like length are one stack: which, the places of each, and
+    1 where a place is its own (None: all are); runs are filled up to a power of two."""
+    lengths = np.diff(first, append=n)
+    rank = np.frexp(lengths - 0.5)[1]  # the least power of two that holds them
+    for power in np.flatnonzero(np.bincount(rank)).tolist():
+        which, steps = np.flatnonzero(rank == power), np.arange(1 << power)
+        at = first[which][:, None] + steps
+        yield which, np.minimum(at, n - 1), (steps < lengths[which][:, None]).astype(np.float32) if power else None
+
+
+def _run_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows of each run; several times as fast as ``add.reduceat`` or a count per column."""
+    sums = np.empty((len(first), rows.shape[1]), rows.dtype)
+    for which, at, own in _runs(first, len(rows)):
+        found = _rows(rows, at)
+        sums[which] = found[:, 0] if own is None else np.einsum("ik,ikj->ij", own, found)
+    return sums
+
+
+def _run_products(left: np.ndarray, right: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """left' right for the rows of each run."""
+    products = np.empty((len(first), left.shape[1], right.shape[1]), right.dtype)
+    for which, at, own in _runs(first, len(left)):
+        pushes = _rows(left, at) if own is None else _rows(left, at) * own[:, :, None]
+        products[which] = np.matmul(pushes.transpose(0, 2, 1), _rows(right, at))
+    return products
+
+
+def _odds_against(scores: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(scores)); may overwrite these."""
+    with np.errstate(over="ignore"):  # of an endless exp comes a 0, as it should
+        np.exp(scores, out=scores)
+    scores += 1
+    return np.reciprocal(scores, out=scores)
 
 
 def _rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -140,19 +185,19 @@ class Rows:
         self.grown, self.times = np.ones_like(self.x), np.zeros(len(self.x), np.float32)
         self.place = np.empty(len(self.x), np.int64)  # of a row among those of a step
 
-    def add(self, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Step along the rows' sums by place; the places and these sums."""
+    def add(self, at: np.ndarray, rows: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Step along the rows' sums by place; the places and these sums. A row counts once, or ``times``."""
         # of equal places the last one stands for all
         self.place[at] = np.arange(len(at))
         own = at[self.place[at] == np.arange(len(at))]
         self.place[own] = np.arange(len(own))
         which = self.place[at]
-        g = np.zeros((len(own), rows.shape[1]), np.float32)
-        _add(g, which, rows)
+        order = _by_class(which, len(own))
+        g = _run_sums(_rows(rows, order), np.flatnonzero(np.diff(which[order], prepend=-1)))
         grown = _rows(self.grown, own) + g**2
         self.grown[own] = grown
         self.x[own] = _rows(self.x, own) + self.rate * g / np.sqrt(grown)
-        self.times[own] += np.bincount(which, minlength=len(own))
+        self.times[own] += np.bincount(which, times, len(own))
         return own, g
 
 
@@ -201,16 +246,11 @@ class Trainer:
         own = _rows(self.S.x, word)
         other = np.repeat(_rows(self.S.x, noise), np.diff(np.append(first, len(word))), axis=0)
         # shares are both the noise and the bias, so only their number is left
-        up = 0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ij->i", r, own) - np.float32(np.log(WITHIN))))
-        down = -0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ikj->ik", r, other) - np.float32(np.log(WITHIN))))
+        up = _odds_against(np.einsum("ij,ij->i", r, own) - np.float32(np.log(WITHIN)))
+        down = -_odds_against(np.float32(np.log(WITHIN)) - np.einsum("ij,ikj->ik", r, other))
         dr[begin:] += up[:, None] * own + np.einsum("ik,ikj->ij", down, other)
         pushes = np.column_stack((down, class_up[begin:]))
-        if len(word) < 4 * len(first):  # few tokens a class: no products
-            pushed = np.add.reduceat(np.einsum("ik,ij->ikj", pushes, r), first, axis=0)
-        else:
-            pushed = np.empty((len(first), WITHIN + 1, WIDTH), np.float32)
-            for out, low, high in zip(pushed, first.tolist(), [*first[1:].tolist(), len(word)]):
-                np.dot(pushes[low:high].T, r[low:high], out=out)
+        pushed = _run_products(pushes, r, first)
         g.Q[own_class[first]] += pushed[:, WITHIN]
         self.S.add(
             np.concatenate((word, noise.ravel())),
@@ -230,13 +270,13 @@ class Trainer:
         noise = self.groups.noise(group[first], self.dice)  # a group shares its noise in a batch
         odds = (self.p.bias - self.groups.log_share - np.log(WITHIN)).astype(np.float32)
         own = _rows(self.p.Q, word)
-        up = 0.5 - 0.5 * np.tanh(0.5 * (np.einsum("ij,ij->i", r, own) + odds[word]))
+        up = _odds_against(np.einsum("ij,ij->i", r, own) + odds[word])
         dr += up[:, None] * own
         other, ends = _rows(self.p.Q, noise), [*first.tolist(), len(word)]
         down = np.repeat(odds[noise], np.diff(ends), axis=0)
         for low, high, drawn in zip(ends[:-1], ends[1:], other):
             down[low:high] += np.dot(r[low:high], drawn.T)
-        down = -0.5 - 0.5 * np.tanh(0.5 * down)
+        down = -_odds_against(-down)
         pushed, pushes = np.empty((len(first), WITHIN + 1, WIDTH), np.float32), np.column_stack((down, group_up))
         for low, high, drawn, out in zip(ends[:-1], ends[1:], other, pushed):
             dr[low:high] += np.dot(down[low:high], drawn)
@@ -252,22 +292,27 @@ class Trainer:
         noise = self.dice.choice(len(self.top_share), NOISE, p=self.top_share)
         # groups are classes in a row, so that one order serves both
         order = _by_class(word if slots is None else slots.class_of[word], len(self.share))
-        word, one, two = word[order], one[order], two[order]
-        target_slot, contexts_slots = word, np.concatenate((one, two))
-        if slots is not None:
-            word, one, two = (slots.class_of[x] for x in (word, one, two))
-        a, b = _rows(p.R, one), _rows(p.R, two)
-        if slots is not None:
-            own = _rows(self.D.x, contexts_slots)
-            a, b = a + own[: len(a)], b + own[len(a) :]
-        r = a @ p.C1 + b @ p.C2
+        # a token is the one before its next and mostly the second before the one after that: what both teach is one row
+        again = two[1:] == one[:-1]
+        alone = np.flatnonzero(np.concatenate(([True], ~again)))
+        at, times = np.concatenate((one, two[alone])), np.ones(len(one) + len(alone))
+        times[: len(again)] += again
+        word, before = word[order], np.column_stack((one, two))[order]
+        target_slot = word
+        if slots is None:
+            ab = _rows(p.R, before)
+        else:
+            word = slots.class_of[word]
+            ab = _rows(p.R, slots.class_of[before])
+            ab += _rows(self.D.x, before)
+        ab = ab.reshape(len(word), -1)
+        r = ab @ p.C
         group = word // GROUP
         target, odds = _rows(p.U, group), p.top - self.log_kp
         data = np.einsum("ij,ij->i", r, target) + odds[group]
         other = r @ p.U[noise].T + odds[noise]
-        # sigmoids by tanh, which cannot overflow
-        up = 0.5 - 0.5 * np.tanh(0.5 * data)
-        down = -0.5 - 0.5 * np.tanh(0.5 * other)
+        up = _odds_against(data)
+        down = -_odds_against(-other)
         dr = up[:, None] * target + down @ p.U[noise]
         class_up = self._in_group(word, r, dr, up, g)
         if slots is None:
@@ -277,11 +322,13 @@ class Trainer:
         np.add.at(g.U, noise, down.T @ r)
         g.top += np.bincount(group, up, len(self.top_share))
         np.add.at(g.top, noise, down.sum(0))
-        g.C1 += a.T @ dr
-        g.C2 += b.T @ dr
-        at, rows = contexts_slots, np.concatenate((dr @ p.C1.T, dr @ p.C2.T))
+        g.C += ab.T @ dr
+        both = np.empty((len(word), 2 * WIDTH), np.float32)
+        both[order] = dr @ p.C.T
+        rows = np.concatenate((both[:, :WIDTH], both[alone, WIDTH:]))
+        rows[: len(again)] += both[1:, WIDTH:] * again[:, None]
         if slots is not None:
-            at, rows = self.D.add(at, rows)
+            at, rows = self.D.add(at, rows, times)
             at = slots.class_of[at]
         _add(g.R, at, rows)
         g.flat /= len(word)
@@ -314,10 +361,15 @@ def log_probabilities(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, _Normal
     return one.astype(np.float32), (p.R @ p.C2 @ score.T).astype(np.float32), _Normalisers(p)
 
 
+@lru_cache(maxsize=4096)
+def _ones(n: int, kind: np.dtype) -> np.ndarray:
+    return np.ones(n, kind)
+
+
 def _log_sum(scores: np.ndarray) -> np.ndarray:
     """Log of the rows' sums of exp(scores); may overwrite these."""
     with np.errstate(over="ignore"):
-        sums = np.exp(scores) @ np.ones(scores.shape[1], scores.dtype)
+        sums = np.exp(scores) @ _ones(scores.shape[1], scores.dtype)
     if 1e-30 < sums.min() and sums.max() < 1e37:
         return np.log(sums).astype(float)
     top = scores.max(1)
@@ -335,18 +387,21 @@ def log_likelihoods(
     to_group = np.column_stack((p.U, p.top)).T.copy()
     to_class = np.column_stack((p.Q, p.bias)).T.copy()
     to_word = np.column_stack((S, slots.log_share))[slots.order].astype(np.float32)
+    # what a slot adds to r one and two tokens on; a token's own score for its group and class
+    before = _rows(p.R, slots.class_of) + D
+    after_one, after_two = before @ p.C1, before @ p.C2
+    to_own, own_bias = p.Q + np.repeat(p.U, GROUP, axis=0), p.bias.astype(float) + np.repeat(p.top, GROUP)
     # a piece with one more text is not cut
     for i in range(0, len(word), 2 * CHUNK):
         c = slots.class_of[word[i : i + 2 * CHUNK]]
         # all tokens of a class, and so of a group, stand together
         order = _by_class(c, len(p.bias))
-        c, (w, a, b) = c[order], [x[i + order] for x in (word, one, two)]
+        c, (w, a, b) = c[order], [x[i : i + 2 * CHUNK][order] for x in (word, one, two)]
         g = c // GROUP
         r1 = np.ones((len(w), WIDTH + 1), np.float32)
         r = r1[:, :WIDTH]
-        r[:] = (_rows(p.R, slots.class_of[a]) + _rows(D, a)) @ p.C1
-        r += (_rows(p.R, slots.class_of[b]) + _rows(D, b)) @ p.C2
-        log_p = np.einsum("ij,ij->i", r, _rows(p.Q, c) + _rows(p.U, g)).astype(float) + p.bias[c] + p.top[g]
+        np.add(_rows(after_one, a), _rows(after_two, b), out=r)
+        log_p = np.einsum("ij,ij->i", r, _rows(to_own, c)) + own_bias[c]
         for j in range(0, len(w), 2048):
             log_p[j : j + 2048] -= _log_sum(r1[j : j + 2048] @ to_group)
         bounds = np.flatnonzero(np.diff(g, prepend=-1, append=-1)).tolist()
@@ -389,27 +444,46 @@ def _slots_from(sent: bytes) -> np.ndarray:
     return low + (high << 16)
 
 
+def _cut(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about ``most`` in all, a row at least."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most, prepend=0)).tolist()
+    for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+        if high > low:
+            yield batch.slice(low, high - low)
+
+
+def _texts(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about ``most`` bytes of text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        yield from _cut(batch, sizes.astype(np.int64), most)
+
+
+def word_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, cut and in lower case as ``lower_words`` does it, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, sizes = lists.flatten().cast(pa.binary()), lists.value_lengths().to_numpy().astype(np.int64)
+    # of white space at an end, and of no words, come empty ones
+    some = pc.binary_length(words).to_numpy() > 0
+    if not some.all():
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[some], minlength=len(sizes))
+        words = words.filter(pa.array(some))
+    return words, sizes
+
+
 def _token_counts(texts: DataFrame, text: str) -> DataFrame:
     """(word, c) of all tokens, ends included; every task sends each word once or a few times."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            words = pa.array(seen.keys(), pa.binary())
-            found = pa.RecordBatch.from_arrays(
-                [words, pa.array(seen.values(), pa.int64())], names=["word", "c"]
+        for piece in _texts(batches, text, 4 * _PIECE):
+            found = word_lists(piece.column(text))[0].value_counts()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([found.field("values"), pa.array([END], pa.binary())]),
+                    pa.concat_arrays([found.field("counts"), pa.array([piece.num_rows], pa.int64())]),
+                ],
+                names=["word", "c"],
             )
-            seen.clear()
-            return found
-
-        for batch in batches:
-            for value in batch.column(text):
-                seen.update(lower_words(value.as_py()))
-                seen[END] += 1
-                if len(seen) > _FLUSH:
-                    yield flush()
-        yield flush()
 
     sent = texts.select(text).mapInArrow(counted, "word binary, c long")
     return sent.groupBy("word").agg(F.sum("c").alias("c"))
@@ -444,7 +518,7 @@ def _class_mass(counts: DataFrame, singles: dict[bytes, int], endings: int) -> n
         mass = np.zeros(n_classes, np.int64)
         for batch in batches:
             words = batch.column("word").to_pylist()
-            at = [singles[w] if w in singles else ending_class(w, endings) for w in words]
+            at = [singles.get(w, own) for w, own in zip(words, _ending_classes(words, endings))]
             np.add.at(mass, at, batch.column("c").to_numpy())
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(n_classes), pa.int32()), pa.array(mass)], names=["class", "mass"]
@@ -473,25 +547,33 @@ def _encoded(docs: DataFrame, text: str, common: dict[bytes, float], endings: in
         schema = schema.add(name, kind)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = {w: i for i, w in enumerate(common)}
-        base = np.array([*common.values(), 0.0])
-        get, last = index.get, len(index)
-        for batch in batches:
-            rows = []
-            for value in batch.column(text):
-                words = [*lower_words(value.as_py()), END]
-                at = np.fromiter(map(get, words, repeat(last)), np.int64, len(words))
-                places = np.flatnonzero(at == last).tolist()
-                rare = [words[i] for i in places]
-                own = at + n_classes
-                own[places] = [ending_class(w, endings) for w in rare]
-                known = len(words) - len(rare)
-                rows.append((len(words), known, base[at].sum(), _slot_bytes(own), rare, places))
-            kinds = (
-                pa.int64(), pa.int64(), pa.float64(),
-                pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()),
-            )
-            made = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+        index, end = pa.array(common, pa.binary()), pa.array([END], pa.binary())
+        base = np.array([*common.values(), 0.0])  # the last one for words that are not common
+        for batch in _texts(batches, text, _PIECE):
+            words, sizes = word_lists(batch.column(text))
+            sizes = sizes + 1
+            begins = np.concatenate(([0], np.cumsum(sizes)))
+            words = pa.concat_arrays([words, end])
+            which = np.full(begins[-1], len(words) - 1)  # of every token, the word
+            is_word = np.ones(len(which), bool)
+            is_word[begins[1:] - 1] = False
+            which[is_word] = np.arange(len(words) - 1)
+            at = pc.fill_null(pc.index_in(words, value_set=index), -1).to_numpy()[which]
+            rare_at = np.flatnonzero(at < 0)
+            rare = words.take(pa.array(which[rare_at]))
+            own = at.astype(np.int64) + n_classes
+            own[rare_at] = _ending_classes(rare.to_pylist(), endings)
+            first = np.searchsorted(rare_at, begins)
+            offsets = pa.array(first, pa.int32())
+            places = rare_at - np.repeat(begins[:-1], np.diff(first))
+            made = [
+                pa.array(sizes, pa.int64()),
+                pa.array(sizes - np.diff(first), pa.int64()),
+                pa.array(np.add.reduceat(base[at], begins[:-1])),
+                pa.array([_slot_bytes(own[low:high]) for low, high in zip(begins[:-1], begins[1:])], pa.binary()),
+                pa.ListArray.from_arrays(offsets, rare),
+                pa.ListArray.from_arrays(offsets, pa.array(places, pa.int32())),
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in rest] + made,
                 names=[*rest, "n", "n_common", "base", "slots", "rare", "places"],
@@ -597,11 +679,7 @@ def _trained(
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows in pieces of about a chunk of tokens, a row at least."""
     for batch in batches:
-        sizes = np.cumsum([len(v.as_py()) // 4 for v in batch.column("slots")])
-        cuts = np.flatnonzero(np.diff(sizes // CHUNK, prepend=0)).tolist()
-        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
-            if high > low:
-                yield batch.slice(low, high - low)
+        yield from _cut(batch, pc.binary_length(batch.column("slots")).to_numpy() // 4, CHUNK)
 
 
 def _scored(

@@ -7,11 +7,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import LOWER, documents, fully, odd_rows, prose, words
 
 from feedloom.llm import language_model as lm
 from feedloom.llm import toxicity
+from feedloom.llm.common import lower_words
 from pyspark.sql import functions as F
 
 
@@ -260,3 +262,54 @@ def test_rows_step_along_sums_by_place():
         assert np.allclose(found, total, atol=1e-5) and rows.times[place] == (at == place).sum()
         assert np.allclose(rows.x[place] - before[place], 0.1 * total / np.sqrt(1 + total**2), atol=1e-5)
     assert (rows.x[20:] == before[20:]).all() and not rows.times[20:].any()
+
+
+def test_runs_are_summed_in_few_stacks():
+    """As many products as powers of two among the runs' lengths, not as many as runs."""
+    dice = np.random.default_rng(7)
+    sizes = np.concatenate((dice.integers(1, 9, 2000), [1, 2, 3, 4, 5, 300]))
+    first, n = np.cumsum(sizes) - sizes, int(sizes.sum())
+    left, right = dice.normal(size=(n, 3)).astype(np.float32), dice.normal(size=(n, 5)).astype(np.float32)
+    assert len(list(lm._runs(first, n))) == 5
+    sums, products = lm._run_sums(right, first), lm._run_products(left, right, first)
+    for i, (low, size) in enumerate(zip(first, sizes)):
+        own = slice(low, low + size)
+        assert np.allclose(sums[i], right[own].sum(0), atol=1e-4)
+        assert np.allclose(products[i], left[own].T @ right[own], atol=1e-4)
+    table, at = np.zeros((40, 5), np.float32), dice.integers(0, 40, n)
+    lm._add(table, at, right)
+    assert np.allclose(table, np.stack([right[at == i].sum(0) for i in range(40)]), atol=1e-3)
+
+
+def test_words_of_many_texts_are_cut_at_once():
+    spaces = [*" \t\n\x0b\x0c\r", "  ", "\n\n", ""]
+    letters = ["a", "B", "É", "日", "\x1c", "\x85", "\xa0", " ", "\x00", "The"]
+    dice = random.Random(6)
+    texts = [None, "", " ", *("".join(dice.choice(spaces + letters) for _ in range(dice.randrange(30))) for _ in range(300))]
+    found, sizes = lm.word_lists(pa.array(texts, pa.string()))
+    plain = [lower_words(t) for t in texts]
+    assert sizes.tolist() == [len(x) for x in plain]
+    assert found.to_pylist() == [w for x in plain for w in x]
+    for endings in (512, 4096):
+        tokens = [w for x in plain for w in x]
+        assert lm._ending_classes(tokens, endings) == [lm.ending_class(w, endings) for w in tokens]
+
+
+def test_a_token_teaches_as_first_and_second_before_in_one_row():
+    """Two texts in a batch: what a token's row counts, and what the row learns, is as with every context by itself."""
+    n = lm.CLASSES
+    share, dice = np.full(n, 1 / n), np.random.default_rng(8)
+    slots = lm.Slots(np.arange(n), np.ones(n), n)
+    words = dice.normal(0, 0.3, (2, n, lm.WIDTH)).astype(np.float32)
+    texts = [dice.integers(256, 300, 50), dice.integers(256, 300, 7)]
+    before = [lm.contexts(x, 256) for x in texts]
+    word, (one, two) = np.concatenate(texts), (np.concatenate(x) for x in zip(*before))
+    mixed = dice.permutation(len(word))  # no two neighbours of a text in a row
+    found = []
+    for order in (np.arange(len(word)), mixed):
+        trainer = lm.Trainer(lm.Parameters.start(share).flat, share, 1, 0.2, slots, words)
+        trainer.step(word[order], one[order], two[order])
+        found.append(trainer)
+    assert (found[0].D.times == np.bincount(np.concatenate((one, two)), minlength=n)).all()
+    assert (found[0].D.times == found[1].D.times).all()
+    assert np.allclose(found[0].D.x, found[1].D.x, atol=1e-4) and np.allclose(found[0].p.flat, found[1].p.flat, atol=1e-4)
