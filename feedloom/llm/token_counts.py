@@ -51,6 +51,19 @@ def unpacked(leaves: bytes) -> tuple[np.ndarray, np.ndarray]:
     return lengths, tokens
 
 
+class _Known(dict):
+    """Numbers of tokens by pre-token; new ones are encoded, and all are forgotten when they are too many."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) >= _CACHE:
+            self.clear()
+        n = self[piece] = len(self.encode(piece))
+        return n
+
+
 class Counter:
     """Pre-tokens of a text and the number of tokens of each, by a rank file's merges."""
 
@@ -63,18 +76,16 @@ class Counter:
             "ranks", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in lines}, special_tokens={}
         )
         self.pieces = regex.compile(pattern).findall
-        self.known: dict[str, int] = {}
+        self.known = _Known(self.encoding.encode_ordinary)
 
     def counts(self, pieces: list[str]) -> list[int]:
-        known, found = self.known, []
-        for piece in pieces:
-            n = known.get(piece)
-            if n is None:
-                if len(known) >= _CACHE:
-                    known.clear()
-                n = known[piece] = len(self.encoding.encode_ordinary(piece))
-            found.append(n)
-        return found
+        return list(map(self.known.__getitem__, pieces))
+
+    def leaves(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and tokens of a text's pre-tokens."""
+        pieces = self.pieces(text)
+        n = len(pieces)
+        return np.fromiter(map(len, pieces), np.int64, n), np.fromiter(map(self.known.__getitem__, pieces), np.int64, n)
 
 
 @lru_cache(maxsize=2)
@@ -94,50 +105,53 @@ class TokenTree:
         """``leaves`` (lengths and tokens), as ``leaves()`` gives them, spare the encoding."""
         self.counter = counter
         if leaves is None:
-            pieces = counter.pieces(text)
-            leaves = [len(p) for p in pieces], counter.counts(pieces)
+            leaves = counter.leaves(text)
         n = len(leaves[0])
         self.first = 1 << max(0, n - 1).bit_length()
         self.n, self.text, self.changed = n, text, {}
-        self.starts = np.concatenate(([0], np.cumsum(leaves[0], dtype=np.int64)))
-        self.chars = self._sums(np.asarray(leaves[0], np.int64))
-        self.tokens = self._sums(np.asarray(leaves[1], np.int64))
+        self.starts = np.zeros(n + 1, np.int64)
+        np.cumsum(leaves[0], out=self.starts[1:])
+        # plain lists: an edit reads and writes single numbers, which is slow in an array
+        self.chars, self.tokens = self._sums(leaves)
         self.read = 0  # characters re-read by edits
 
-    def _sums(self, leaves: np.ndarray) -> np.ndarray:
-        tree = np.zeros(2 * self.first, np.int64)
-        tree[self.first : self.first + len(leaves)] = leaves
+    def _sums(self, leaves: Sequence[Sequence[int]]) -> list[list[int]]:
+        trees = np.zeros((2, 2 * self.first), np.int64)
+        trees[:, self.first : self.first + self.n] = leaves
         level = self.first
         while level > 1:
-            tree[level // 2 : level] = tree[level : 2 * level].reshape(-1, 2).sum(1)
+            np.add(trees[:, level : 2 * level : 2], trees[:, level + 1 : 2 * level : 2], out=trees[:, level // 2 : level])
             level //= 2
-        return tree
+        return trees.tolist()
 
     @property
     def total(self) -> int:
-        return int(self.tokens[1])
+        return self.tokens[1]
 
     def leaves(self) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and tokens of the leaves; for a text without edits, of its pre-tokens."""
         own = slice(self.first, self.first + self.n)
-        return self.chars[own].copy(), self.tokens[own].copy()
-
-    def _set(self, leaf: int, chars: int, tokens: int) -> None:
-        at = self.first + leaf
-        up, more = chars - int(self.chars[at]), tokens - int(self.tokens[at])
-        if up or more:
-            while at:
-                self.chars[at] += up
-                self.tokens[at] += more
-                at //= 2
+        return np.array(self.chars[own], np.int64), np.array(self.tokens[own], np.int64)
+
+    def _set(self, leaf: int, chars: list[int], tokens: list[int]) -> None:
+        """New numbers for leaves in a row from this one on, and for what is above them."""
+        low = self.first + leaf
+        high = low + len(chars)
+        self.chars[low:high], self.tokens[low:high] = chars, tokens
+        low, high = low // 2, (high - 1) // 2
+        while low:
+            for tree in (self.chars, self.tokens):
+                for at in range(low, high + 1):
+                    tree[at] = tree[2 * at] + tree[2 * at + 1]
+            low, high = low // 2, high // 2
 
     def _leaf_at(self, place: int) -> tuple[int, int]:
         """The leaf that holds a character, and where it starts."""
-        at, start = 1, 0
+        at, start, chars = 1, 0, self.chars
         while at < self.first:
             at *= 2
-            if place >= start + self.chars[at]:
-                start += int(self.chars[at])
+            if place >= start + chars[at]:
+                start += chars[at]
                 at += 1
         return at - self.first, start
 
@@ -162,7 +176,7 @@ class TokenTree:
         own = slice(self.first, self.first + self.n)
         new = [len(p) for p in pieces], tokens
         chars, tokens = (
-            np.concatenate((old[own][:left], np.array(n, np.int64), old[own][stop + 1 :]))
+            np.array([*old[own][:left], *n, *old[own][stop + 1 :]], np.int64)
             for old, n in zip((self.chars, self.tokens), new)
         )
         read = self.read
@@ -171,7 +185,7 @@ class TokenTree:
 
     def edit(self, start: int, end: int, new: str) -> None:
         """Replace the characters from start up to end; places beyond the text are its end."""
-        length = int(self.chars[1])
+        length = self.chars[1]
         start = min(max(start, 0), length)
         end = min(max(end, start), length)
         if self.n == 0:
@@ -187,14 +201,14 @@ class TokenTree:
         region = region[: start - at] + new + region[end - at :]
         # ends of leaves after the edit, in the region's characters
         ends, last, more = {len(region): right}, right, 2
-        reached = begins + int(self.chars[self.first + right])
+        reached = begins + self.chars[self.first + right]
         while True:
             for _ in range(more):
                 if reached >= length:
                     break
                 # empty leaves are stepped over
                 last = self._leaf_at(reached)[0]
-                reached += int(self.chars[self.first + last])
+                reached += self.chars[self.first + last]
                 region += self._leaf_text(last)
                 ends[len(region)] = last
             pieces, cut, met = self.counter.pieces(region), 0, None
@@ -215,10 +229,10 @@ class TokenTree:
             self._lay_out(left, stop, pieces, counts)
             return
         each = max(1, -(-count // room))
-        for i in range(room):
-            own = slice(i * each, (i + 1) * each)
-            self.changed[left + i] = held = "".join(pieces[own])
-            self._set(left + i, len(held), sum(counts[own]))
+        cuts = [slice(i * each, (i + 1) * each) for i in range(room)]
+        held = ["".join(pieces[own]) for own in cuts]
+        self.changed.update(zip(range(left, stop + 1), held))
+        self._set(left, [len(text) for text in held], [sum(counts[own]) for own in cuts])
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,15 +286,19 @@ def edited_counts(
             rows, kept = [], []
             stored = batch.column(leaves) if leaves else None
             for i, (value, changes) in enumerate(zip(batch.column(text), batch.column(edits))):
-                known = stored[i].as_py() if leaves else None
-                tree = TokenTree(value.as_py() or "", counter, known and unpacked(known))
-                before = tree.n, tree.total
+                known, value = stored[i].as_py() if leaves else None, value.as_py() or ""
+                changes = [c for c in changes.as_py() or () if c is not None]
+                first = unpacked(known) if known else counter.leaves(value)
+                before = len(first[0]), int(first[1].sum())
                 if keep_leaves:
-                    kept.append(packed(*tree.leaves()))
-                for change in changes.as_py() or ():
-                    if change is not None:
-                        tree.edit(change["start"] or 0, change["stop"] or 0, change["new"] or "")
-                rows.append((*before, tree.total, int(tree.chars[1]), tree.read))
+                    kept.append(packed(*first))
+                if not changes:  # no tree is asked for
+                    rows.append((*before, before[1], int(first[0].sum()), 0))
+                    continue
+                tree = TokenTree(value, counter, first)
+                for change in changes:
+                    tree.edit(change["start"] or 0, change["stop"] or 0, change["new"] or "")
+                rows.append((*before, tree.total, tree.chars[1], tree.read))
             columns = [batch.column(c) for c in rest]
             columns += [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(numbers))]
             names = [*rest, *numbers]
@@ -307,7 +325,7 @@ def drawn_edits(doc_id: str, text: str, n: int = 4, longest: int = 40) -> Column
     def draw(i: Column, what: int, below: Column) -> Column:
         return F.pmod(F.xxhash64(F.col(doc_id), i, F.lit(what)), below).cast("int")
 
-    def one(i: Column) -> Column:
+    def one(i: Column, length: Column) -> Column:
         start = draw(i, 1, length + 1)
         new = F.substring(F.col(text), draw(i, 2, length + 1) + 1, draw(i, 3, F.lit(longest)))
         return F.struct(
@@ -316,4 +334,5 @@ def drawn_edits(doc_id: str, text: str, n: int = 4, longest: int = 40) -> Column
             F.coalesce(new, F.lit("")).alias("new"),
         )
 
-    return F.transform(F.sequence(F.lit(1), F.lit(n)), one)
+    # as a lambda's variable the length is taken once a row
+    return F.transform(F.array(length), lambda own: F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: one(i, own)))[0]

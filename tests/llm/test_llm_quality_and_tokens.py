@@ -140,6 +140,21 @@ def test_edits_after_large_and_many_insertions_read_little():
     assert tree.total == len(counter.encoding.encode_ordinary(text))
 
 
+@needs_ranks
+def test_an_edit_of_many_leaves_updates_the_tree_once(monkeypatch):
+    counter, calls = token_counts.Counter(token_counts.read_ranks(RANKS)), []
+    text = prose(3, 300)
+    lengths, tokens = counter.leaves(text)
+    assert lengths.tolist() == [len(p) for p in counter.pieces(text)] and tokens.sum() == len(counter.encoding.encode_ordinary(text))
+    tree, plain = token_counts.TokenTree(text, counter), token_counts.TokenTree._set
+    monkeypatch.setattr(token_counts.TokenTree, "_set", lambda *a: calls.append(1) or plain(*a))
+    for place in (0, 500, 1_000):
+        tree.edit(place, place + 40, "four words in place")
+    assert len(calls) == 3
+    for sums in (tree.chars, tree.tokens):
+        assert all(sums[i] == sums[2 * i] + sums[2 * i + 1] for i in range(1, tree.first))
+
+
 @needs_ranks
 def test_edits_as_a_job_and_stored_trees(spark):
     ranks = token_counts.read_ranks(RANKS)
