@@ -131,7 +131,8 @@ def _near_by_one_bit(prints: DataFrame) -> DataFrame:
     )
     hubs = around.groupBy("at").agg(F.min("fingerprint").alias("v"), F.max("fingerprint").alias("w"))
     hubs = hubs.filter("v <> w").select("at", "v")
-    return around.join(hubs, "at").filter("fingerprint <> v").select(F.col("fingerprint").alias("u"), "v").distinct()
+    # Spark sizes exploded rows like those before the explode: unhinted it would broadcast all of them
+    return around.join(hubs.hint("merge"), "at").filter("fingerprint <> v").select(F.col("fingerprint").alias("u"), "v").distinct()
 
 
 def linked(prints: DataFrame, distance: int = 4) -> DataFrame:
@@ -158,7 +159,7 @@ def linked(prints: DataFrame, distance: int = 4) -> DataFrame:
     a, b = placed.alias("a"), placed.alias("b")
     fa, fb = F.col("a.fingerprint"), F.col("b.fingerprint")
     pairs = a.join(
-        b,
+        b.hint("merge"),  # Spark sizes the cells like the fingerprints before the explode
         (F.col("a.cell") == F.col("b.cell"))
         & (fa < fb)
         & (F.col("a.root") != F.col("b.root"))
