@@ -169,10 +169,11 @@ def repeated_runs(
             still = stretches.filter(F.col("level") >= level).select(*_DOC).distinct()
             names = written(_doubled(names.join(still, _DOC, "left_semi"), 1 << (level - 1)))
         own = names.select(*_DOC, F.col("pos").alias("s"), F.col("name").alias("n1"))
-        part = stretches.filter(F.col("level") == level).join(own, [*_DOC, "s"])
+        # names are a row per line in small files: Spark would send them to the driver as a table to look up
+        part = stretches.filter(F.col("level") == level).join(own.hint("merge"), [*_DOC, "s"])
         if level:
             rest = names.select(*_DOC, F.col("pos").alias("t"), F.col("name").alias("n2"))
-            part = part.withColumn("t", F.col("e") - ((1 << level) - 1)).join(rest, [*_DOC, "t"])
+            part = part.withColumn("t", F.col("e") - ((1 << level) - 1)).join(rest.hint("merge"), [*_DOC, "t"])
         else:
             part = part.withColumn("n2", F.col("n1"))
         part = part.select(

@@ -1,8 +1,8 @@
-"""Joins of exploded rows are not sent through the driver, however small Spark thinks they are."""
+"""Joins of exploded rows or rows per line are not sent through the driver, however small Spark thinks they are."""
 
 from __future__ import annotations
 
-from feedloom.llm import graph, simhash
+from feedloom.llm import graph, lines, simhash
 
 
 def _plan(df) -> str:
@@ -23,3 +23,20 @@ def test_grid_joins_of_simhash_are_not_broadcast(spark, monkeypatch):
     assert len(plans) == 2
     for plan in plans:
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_line_names_are_not_broadcast(spark, monkeypatch):
+    plans = []
+    real = lines.written
+
+    def seen(df):
+        plans.append(_plan(df))
+        return real(df)
+
+    monkeypatch.setattr(lines, "written", seen)
+    text = "\n".join(f"line {i} of a text that comes twice" for i in range(12))
+    docs = spark.createDataFrame([(1, text), (2, f"{text}\nand an end")], "doc_id long, text string")
+    spans = lines.repeated_runs(docs, min_words=50).collect()
+    assert [(r["d"], r["first_line"], r["last_line"]) for r in spans] == [(2, 0, 11)]
+    keyed = next(p for p in plans if "first_line" in p and "n1" in p)
+    assert "SortMergeJoin" in keyed and "Broadcast" not in keyed
